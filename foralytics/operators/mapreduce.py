@@ -1,0 +1,98 @@
+"""User-written mappers, combiners and reducers over Arrow batches.
+
+The built-in functions are faster and should be the first choice; these three
+wrappers are for logic they cannot express.  User functions take and return
+pandas frames, whole batches at a time, never single rows.
+"""
+
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BatchFunction = Callable[[pd.DataFrame], pd.DataFrame]
+
+# Rows a combiner may hold before it passes its partial results on.
+HELD_ROWS = 500_000
+# Second-stage shares of a key; a key ends as at most this many partial rows.
+SHARES = 64
+
+
+def map_batches(df: DataFrame, mapper: BatchFunction, schema: str) -> DataFrame:
+    """Zero or more output rows per input row, one batch at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield mapper(batch)
+
+    return df.mapInPandas(run, schema)
+
+
+def reduce_by_key(
+    df: DataFrame, keys: Sequence[str], combiner: BatchFunction, shares: int = SHARES
+) -> DataFrame:
+    """Merge the rows of every key with an associative, commutative combiner.
+
+    ``combiner`` takes rows of many keys and returns fewer rows of the same
+    columns; applied to rows of one key it must return one row.  It runs before
+    the shuffle, then on shares of each key, then on the shares' results.  A
+    task streams its sorted rows, so neither memory nor one task ever has to
+    take all rows of a hot key.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    keys = list(keys)
+    partial = df.mapInPandas(_combine_ahead(combiner), schema)
+    # A hot key comes from many input partitions; its partial rows are dealt out
+    # by the partition they come from, which stays the same when a task is retried.
+    dealt = partial.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(shares)))
+    shared = dealt.repartition(*keys, "_share").drop("_share").sortWithinPartitions(*keys)
+    middle = shared.mapInPandas(_combine_sorted(combiner, keys), schema)
+    final = middle.repartition(*keys).sortWithinPartitions(*keys)
+    return final.mapInPandas(_combine_sorted(combiner, keys), schema)
+
+
+def chain(df: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Several steps, each fed with the output of the one before, in one plan."""
+    return reduce(lambda out, step: out.transform(step), steps, df)
+
+
+def _combine_ahead(combiner: BatchFunction):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        rows = 0
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            if rows > HELD_ROWS:
+                merged = combiner(pd.concat(held, ignore_index=True))
+                if len(merged) > HELD_ROWS // 2:
+                    yield merged
+                    held, rows = [], 0
+                else:
+                    held, rows = [merged], len(merged)
+        if held:
+            yield combiner(pd.concat(held, ignore_index=True))
+
+    return run
+
+
+def _combine_sorted(combiner: BatchFunction, keys: list[str]):
+    """Combine adjacent rows; only the last, perhaps unfinished, key is carried."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carry: pd.DataFrame | None = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            last = batch.iloc[-1][keys]
+            merged = combiner(batch if carry is None else pd.concat([carry, batch], ignore_index=True))
+            same = (merged[keys] == last) | (merged[keys].isna() & last.isna())
+            unfinished = same.all(axis=1)
+            carry = merged[unfinished]
+            yield merged[~unfinished]
+        if carry is not None:
+            yield carry
+
+    return run

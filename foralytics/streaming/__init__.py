@@ -1,0 +1 @@
+"""Left empty on purpose: every analysis reads complete, bounded tables."""
