@@ -22,15 +22,15 @@ def tag_list(argument: str) -> list[str]:
     return [t.strip() for t in argument.split(",") if t.strip()]
 
 
-def pair_rows(df: DataFrame, items: str, first: str, second: str) -> DataFrame:
-    """One row per unordered pair of the distinct items of each row's array.
+def pair_rows(df: DataFrame, items: Column, first: str, second: str) -> DataFrame:
+    """``df`` repeated for each unordered pair of the distinct items of its rows.
 
     ``first < second`` holds, so (a, b) and (b, a) are the same pair.  The pairs
     are streamed by two generators; no array of all pairs is ever built.
     """
-    ordered = df.select(F.array_sort(F.array_distinct(items)).alias("_items"))
-    heads = ordered.where(F.size("_items") > 1).select(
-        "_items", F.posexplode("_items").alias("_at", first)
+    kept = df.columns
+    heads = df.select(*kept, F.sort_array(items).alias("_items")).select(
+        *kept, "_items", F.posexplode("_items").alias("_at", first)
     )
     rest = F.slice("_items", F.col("_at") + 2, F.size("_items"))
-    return heads.select(first, F.explode(rest).alias(second))
+    return heads.select(*kept, first, F.explode(rest).alias(second))

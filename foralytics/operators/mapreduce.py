@@ -25,7 +25,9 @@ def map_batches(df: DataFrame, mapper: BatchFunction, schema: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield mapper(batch)
+            out = mapper(batch)
+            if not out.empty:
+                yield out
 
     return df.mapInPandas(run, schema)
 
@@ -91,7 +93,8 @@ def _combine_sorted(combiner: BatchFunction, keys: list[str]):
             same = (merged[keys] == last) | (merged[keys].isna() & last.isna())
             unfinished = same.all(axis=1)
             carry = merged[unfinished]
-            yield merged[~unfinished]
+            if not unfinished.all():
+                yield merged[~unfinished]
         if carry is not None:
             yield carry
 

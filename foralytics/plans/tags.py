@@ -12,6 +12,7 @@ def questions_by_year_tag(posts: DataFrame) -> DataFrame:
     """Number of questions per year and tag."""
     return (
         questions(posts)
+        .where(F.col("CreationDate").isNotNull())
         .select(year(F.col("CreationDate")).alias("year"), F.explode(parse_tags(F.col("Tags"))).alias("tag"))
         .groupBy("year", "tag")
         .agg(F.count(F.lit(1)).alias("count"))
@@ -19,12 +20,18 @@ def questions_by_year_tag(posts: DataFrame) -> DataFrame:
 
 
 def tag_cooccurrence(posts: DataFrame, min_count: int = 1) -> DataFrame:
-    """How many questions carry both tags of a pair, ``tag1 < tag2``."""
-    tagged = questions(posts).select(parse_tags(F.col("Tags")).alias("tags"))
+    """How many questions carry both tags of a pair, ``tag1 < tag2``.
+
+    Questions with the very same tag string are counted first, so a popular
+    combination is parsed and paired once, with its number of questions.
+    """
+    combinations = (
+        questions(posts).where(F.col("Tags").isNotNull()).groupBy("Tags").agg(F.count(F.lit(1)).alias("n"))
+    )
     counts = (
-        pair_rows(tagged, "tags", "tag1", "tag2")
+        pair_rows(combinations, parse_tags(F.col("Tags")), "tag1", "tag2")
         .groupBy("tag1", "tag2")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("n").alias("count"))
     )
     return counts if min_count <= 1 else counts.where(F.col("count") >= min_count)
 

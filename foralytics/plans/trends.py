@@ -16,9 +16,9 @@ from foralytics.sinks.files import key_value_lines
 
 
 def _until(events: DataFrame, as_of: str | None) -> DataFrame:
-    """Events up to and including the month ``as_of`` (``yyyy-MM``)."""
+    """Dated events, up to and including the month ``as_of`` (``yyyy-MM``)."""
     if as_of is None:
-        return events
+        return events.where(F.col("CreationDate").isNotNull())
     end = F.add_months(F.to_date(F.lit(f"{as_of}-01")), 1)
     return events.where(F.col("CreationDate") < end)
 
@@ -31,15 +31,15 @@ def _half_points(posts: DataFrame, as_of: str | None) -> DataFrame:
         month.alias("month"), F.explode(parse_tags(F.col("Tags"))).alias("tag"), F.lit(2).alias("half")
     )
     # An answer counts for the tags of its question.  Answers are counted per
-    # question and month first, and the tags travel as one array per question.
+    # question and month first, and the tags are split only after the join.
     answered = (
         _until(answers(posts), as_of)
         .groupBy("ParentId", month.alias("month"))
         .agg(F.count(F.lit(1)).alias("half"))
     )
-    tagged = asked.select("Id", parse_tags(F.col("Tags")).alias("tags")).where(F.size("tags") > 0)
+    tagged = asked.select("Id", "Tags").where(F.col("Tags").isNotNull())
     answer_events = answered.join(tagged, F.col("ParentId") == F.col("Id")).select(
-        "month", F.explode("tags").alias("tag"), "half"
+        "month", F.explode(parse_tags(F.col("Tags"))).alias("tag"), "half"
     )
     return (
         question_events.unionByName(answer_events)

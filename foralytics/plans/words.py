@@ -1,6 +1,7 @@
 """Word count."""
 
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,8 +25,10 @@ _PYTHON_WORD = re.compile(r"\b[a-zA-Z\u00c0-\uffff]+\b")
 
 
 def _emit_words(batch: pd.DataFrame) -> pd.DataFrame:
-    found = batch["value"].dropna().str.findall(_PYTHON_WORD).explode().dropna()
-    return pd.DataFrame({"word": found.str.lower().astype(object), "count": 1})
+    found = Counter()
+    for text in batch["value"].dropna():
+        found.update(word.lower() for word in _PYTHON_WORD.findall(text))
+    return pd.DataFrame({"word": list(found.keys()), "count": list(found.values())})
 
 
 def _add_counts(rows: pd.DataFrame) -> pd.DataFrame:

@@ -1,7 +1,7 @@
 """CSV dumps of the forum tables.
 
-Quotes inside a field are doubled, fields are stripped, and the header row is
-recognised by its non-numeric ``Id``.  A row is dropped only when a field the
+Quotes inside a field are doubled, fields are stripped, and the header row goes
+because its numeric columns do not parse.  A row is dropped only when a field the
 caller requires is missing or does not parse; ``strict`` drops every row with
 any bad field.
 """
@@ -69,7 +69,7 @@ def parse_csv(line: Column, schema: T.StructType, **options: str) -> Column:
 
 
 def read_posts_csv(
-    spark: SparkSession, paths: str | list[str], required: Sequence[str] = ("Id",), **how: bool
+    spark: SparkSession, paths: str | list[str], required: Sequence[str] = ("PostTypeId",), **how: bool
 ) -> DataFrame:
     return read_csv_table(spark, paths, POSTS, required, **how)
 
