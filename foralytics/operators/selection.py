@@ -46,9 +46,10 @@ def value_at(df: DataFrame, name: str, position: int, cells: int) -> tuple[int,
         raise ValueError(f"column {name} holds NULLs")
     while low < high:
         width = -(-(high - low + 1) // cells)
-        # Decimal arithmetic: the distance of two bigints may not fit a bigint.
-        distance = key.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
-        cell = F.floor(distance / F.lit(width).cast("decimal(20,0)")).cast("bigint")
+        # The distance of two bigints may not fit a bigint.
+        number = "bigint" if high - low < 2**63 else "decimal(20,0)"
+        distance = key.cast(number) - F.lit(low).cast(number)
+        cell = F.call_function("div", distance, F.lit(width).cast(number))
         counts = (
             df.where(key.between(low, high))
             .groupBy(cell.alias("cell"))

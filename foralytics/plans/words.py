@@ -24,23 +24,25 @@ def word_count(lines: DataFrame, text: str = "value") -> DataFrame:
 _PYTHON_WORD = re.compile(r"\b[a-zA-Z\u00c0-\uffff]+\b")
 
 
-def _emit_words(batch: pd.DataFrame) -> pd.DataFrame:
-    found = Counter()
-    for text in batch["value"].dropna():
-        found.update(word.lower() for word in _PYTHON_WORD.findall(text))
-    return pd.DataFrame({"word": list(found.keys()), "count": list(found.values())})
+def word_count_udf(lines: DataFrame) -> DataFrame:
+    """The same count through a user-written mapper and combiner.
 
+    Both are local functions, so they travel to the workers by value.
+    """
 
-def _add_counts(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.groupby("word", as_index=False, sort=False)["count"].sum()
+    def emit_words(batch: pd.DataFrame) -> pd.DataFrame:
+        found = Counter()
+        for text in batch["value"].dropna():
+            found.update(word.lower() for word in _PYTHON_WORD.findall(text))
+        return pd.DataFrame({"word": list(found.keys()), "count": list(found.values())})
 
+    def add_counts(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.groupby("word", as_index=False, sort=False)["count"].sum()
 
-def word_count_udf(lines: DataFrame) -> DataFrame:
-    """The same count through a user-written mapper and combiner."""
     return chain(
         lines.select("value"),
         [
-            lambda df: map_batches(df, _emit_words, "word string, count bigint"),
-            lambda df: reduce_by_key(df, ["word"], _add_counts),
+            lambda df: map_batches(df, emit_words, "word string, count bigint"),
+            lambda df: reduce_by_key(df, ["word"], add_counts),
         ],
     )
