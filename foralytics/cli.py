@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foralytics.functions.tags import tag_list
-from foralytics.functions.values import pair_text
+from foralytics.functions.values import fixed_decimals
 from foralytics.operators.selection import lower_half
 from foralytics.plans import owners, posts, rankings, tags, trends, users, words
 from foralytics.schemas import POSTS, PREGUNTAS, RESPUESTAS, USERS
@@ -55,6 +55,7 @@ def user_years(spark: SparkSession, args: argparse.Namespace) -> None:
         parquet.read_table(spark, args.users),
         parquet.read_table(spark, args.comments),
     )
+    report = report.withColumn("MediaRespuestas", fixed_decimals(F.col("MediaRespuestas"), 2))
     order = [F.desc("MaxRespuestas"), F.asc("Usuario"), F.asc("Año")]
     files.write_report(report, args.output, order)
 
@@ -113,9 +114,7 @@ def answer_audit(spark: SparkSession, args: argparse.Namespace) -> None:
 def year_tags(spark: SparkSession, args: argparse.Namespace) -> None:
     """Questions per year and tag: ``(year,tag) <tab> count``."""
     counts = tags.questions_by_year_tag(_posts(spark, args)).orderBy("year", "tag")
-    files.write_key_values(
-        counts, args.output, pair_text(F.col("year"), F.col("tag")), F.col("count")
-    )
+    tags.year_tag_lines(counts).write.mode("overwrite").text(args.output)
 
 
 def question_owners(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -131,9 +130,7 @@ def tag_pairs(spark: SparkSession, args: argparse.Namespace) -> None:
     """Tags used together: ``tag1,tag2 <tab> count``, most frequent first."""
     counts = tags.tag_cooccurrence(_posts(spark, args), args.min_count)
     counts = counts.orderBy(F.desc("count"), "tag1", "tag2")
-    files.write_key_values(
-        counts, args.output, F.concat_ws(",", "tag1", "tag2"), F.col("count")
-    )
+    tags.pair_lines(counts).write.mode("overwrite").text(args.output)
 
 
 def tag_trends(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -127,6 +127,10 @@ ORACLE: dict[str, str] = {
         FROM questions q JOIN bridge b ON q.id = b.id GROUP BY year(created), tag""",
     "tag_cooccurrence": PAIRS,
     "tag_cooccurrence_frequent": PAIRS + " HAVING count(*) >= 350",
+    "year_tag_lines": FORUM + """ SELECT '(' || year(created) || ',' || tag || ')' || chr(9) || count(*) AS value
+        FROM questions q JOIN bridge b ON q.id = b.id GROUP BY year(created), tag""",
+    "tag_pair_lines": FORUM + """ SELECT a.tag || ',' || b.tag || chr(9) || count(*) AS value
+        FROM bridge a JOIN bridge b ON a.id = b.id AND a.tag < b.tag GROUP BY a.tag, b.tag""",
     "tag_activity": ACTIVITY_ALL + """ SELECT tag, strftime(month, '%Y-%m') AS month,
         half / CAST(2 AS DOUBLE) AS activity FROM activity""",
     "tag_delta": ACTIVITY_ALL + """ SELECT tag, strftime(month, '%Y-%m') AS month,
@@ -161,8 +165,8 @@ ORACLE: dict[str, str] = {
     "extract_parquet": FORUM + """ SELECT q.id AS "QuestionId", owner AS "UserId",
         CAST(year(created) AS INTEGER) AS "Año", n AS "NRespuestas", score AS "ScoreTotal"
         FROM questions q JOIN counts c ON q.id = c.id""",
-    "file_report": """SELECT kind, CAST(3 AS BIGINT) AS n_parts, count(*) AS n_rows
-        FROM orders, (VALUES ('partitions'), ('files')) k(kind) GROUP BY kind""",
+    "file_report": """SELECT true AS one_file_per_partition, count(*) AS rows_in_partitions,
+        count(*) AS rows_in_files FROM orders""",
     "report_csv": USER_STATS,
     "table_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}" for name in TABLES

@@ -4,8 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foralytics.functions.tags import pair_rows, parse_tags
-from foralytics.functions.values import year
+from foralytics.functions.values import pair_text, year
 from foralytics.plans.posts import questions
+from foralytics.sinks.files import key_value_lines
 
 
 def questions_by_year_tag(posts: DataFrame) -> DataFrame:
@@ -39,3 +40,13 @@ def tag_cooccurrence(posts: DataFrame, min_count: int = 1) -> DataFrame:
 def question_tags(posts: DataFrame) -> DataFrame:
     """Bridge of questions and tags out of the tag strings: ``Id``, ``TagName``."""
     return questions(posts).select("Id", F.explode(parse_tags(F.col("Tags"))).alias("TagName"))
+
+
+def year_tag_lines(counts: DataFrame) -> DataFrame:
+    """``(year,tag) <tab> count`` lines."""
+    return key_value_lines(counts, pair_text(F.col("year"), F.col("tag")), F.col("count"))
+
+
+def pair_lines(counts: DataFrame) -> DataFrame:
+    """``tag1,tag2 <tab> count`` lines."""
+    return key_value_lines(counts, F.concat_ws(",", "tag1", "tag2"), F.col("count"))

@@ -48,6 +48,11 @@ def _tagged(spark: SparkSession, sf: str) -> DataFrame:
     return star_schema.posts(spark, sf, with_tags=True)
 
 
+def _partitions(spark: SparkSession) -> int:
+    """A fixed number of partitions that suits the cluster."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 # Words
 
 
@@ -68,10 +73,10 @@ def word_count_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_count_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    """Tab-separated word counts in three files, read back as lines."""
+    """Tab-separated word counts in a fixed number of files, read back as lines."""
     path = scratch_path(spark, "word-files")
     counts = word_count(spark, sf)
-    files.write_by_key(counts, path, "word", 3, F.col("word"), F.col("count"))
+    files.write_by_key(counts, path, "word", _partitions(spark), F.col("word"), F.col("count"))
     return text.read_lines(spark, path).withColumnRenamed("value", "line")
 
 
@@ -144,13 +149,14 @@ def question_owner(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def question_owner_tagged(spark: SparkSession, sf: str) -> DataFrame:
-    post_lines = csv.tagged_lines(
-        csv.in_layout(star_schema.posts(spark, sf), POSTS), csv.POST_PREFIX
-    )
-    user_lines = csv.tagged_lines(
-        csv.in_layout(star_schema.users(spark, sf), USER_LINE), csv.USER_PREFIX
-    )
-    return owners.question_owner_tagged(post_lines.unionByName(user_lines), POSTS, USER_LINE)
+    """Two files of prefixed lines read as one input and joined by prefix."""
+    path = scratch_path(spark, "tagged")
+    asked = csv.in_layout(star_schema.posts(spark, sf), POSTS)
+    people = csv.in_layout(star_schema.users(spark, sf), USER_LINE)
+    csv.tagged_lines(asked, csv.POST_PREFIX).write.text(f"{path}/posts")
+    csv.tagged_lines(people, csv.USER_PREFIX).write.text(f"{path}/users")
+    lines = text.read_lines(spark, f"{path}/posts", f"{path}/users")
+    return owners.question_owner_tagged(lines, POSTS, USER_LINE)
 
 
 def question_owner_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,6 +174,14 @@ def tag_cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
     return tags.tag_cooccurrence(_tagged(spark, sf))
 
 
+def year_tag_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return tags.year_tag_lines(questions_by_year_tag(spark, sf))
+
+
+def tag_pair_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return tags.pair_lines(tag_cooccurrence(spark, sf))
+
+
 def tag_cooccurrence_frequent(spark: SparkSession, sf: str) -> DataFrame:
     return tags.tag_cooccurrence(_tagged(spark, sf), min_count=350)
 
@@ -298,14 +312,16 @@ def extract_parquet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def file_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Partitions before and files after writing three hash partitions."""
+    """Non-empty partitions before and files after writing hash partitions."""
     path = scratch_path(spark, "files")
-    placed = _preguntas(spark, sf).repartition(3, "QuestionId")
+    placed = _preguntas(spark, sf).repartition(_partitions(spark), "QuestionId")
     files.write_gzip_parquet(placed, path)
-    before = files.partition_report(placed).select(F.lit("partitions").alias("kind"), "n_rows")
-    after = files.file_report(spark, path).select(F.lit("files").alias("kind"), "n_rows")
-    return before.unionByName(after).groupBy("kind").agg(
-        F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows")
+    before = files.partition_report(placed).select(F.col("n_rows").alias("before"), F.lit(None).alias("after"))
+    after = files.file_report(spark, path).select(F.lit(None).alias("before"), F.col("n_rows").alias("after"))
+    return before.unionByName(after).agg(
+        (F.count("before") == F.count("after")).alias("one_file_per_partition"),
+        F.sum("before").alias("rows_in_partitions"),
+        F.sum("after").alias("rows_in_files"),
     )
 
 
@@ -365,6 +381,8 @@ QUERIES: dict[str, Query] = {
         questions_by_year_tag,
         tag_cooccurrence,
         tag_cooccurrence_frequent,
+        year_tag_lines,
+        tag_pair_lines,
         tag_activity,
         tag_delta,
         tag_recent_deltas,

@@ -53,6 +53,7 @@ def test_reports(extracted, tmp_path):
     assert years[0] == "Usuario,Año,NumPreguntas,TotalRespuestas,TotalComentarios,MediaRespuestas,MaxRespuestas"
     most = [int(l.rsplit(",", 1)[1]) for l in years[1:]]
     assert most == sorted(most, reverse=True)
+    assert all(len(l.split(",")[5].split(".")[1]) == 2 for l in years[1:])
     cli.main(["tag-ranks", *e1, f"{root}/tags", "Brand#1, Brand#2", f"{out}/ranks", "--ties", "row_number"])
     ranks = lines(f"{out}/ranks")
     assert ranks[0] == "Tag,Año,QuestionId,NRespuestas,Rango"

@@ -13,7 +13,7 @@ from helpers import final_plan, plan, unordered
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON = "ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsIn"
 # Global counts end in one row; everything else stays partitioned.
-ONE_PARTITION = {"table_counts"}
+ONE_PARTITION = {"table_counts", "file_report"}
 
 
 @contextmanager
