@@ -16,7 +16,8 @@ def lower_half(df: DataFrame, order: Sequence[str], cells: int = CELLS) -> DataF
     ``order`` names non-NULL integer columns that together identify a row.  The
     row at the cut is found by counting the key in ever finer histograms, each a
     scan of the key columns and a small aggregate; the half itself is then a
-    plain filter, which reaches the file scan.
+    plain filter, which reaches the file scan.  ``df`` is read once per histogram,
+    so a costly plan should be written to a table first.
     """
     keys = df.select(*order)
     n = keys.count()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foralytics.scratch import stage
+from foralytics.sources.csv import WRITING
 
 # A report up to this size is put in one file; one task writes it in seconds.
 ONE_FILE_ROWS = 5_000_000
@@ -32,10 +33,7 @@ def write_report(
         placed = rows.repartition(1).sortWithinPartitions(*order)
     else:
         placed = rows.orderBy(*order)
-    placed.write.mode("overwrite").options(
-        header=True, compression="none", ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False, escape='"',
-    ).csv(path)
+    placed.write.mode("overwrite").options(header=True, compression="none", **WRITING).csv(path)
     return n
 
 

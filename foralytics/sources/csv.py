@@ -23,6 +23,13 @@ DIALECT = {
     "ignoreTrailingWhiteSpace": "true",
     "mode": "PERMISSIVE",
 }
+WRITING = {
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 CORRUPT = "_corrupt_record"
 
 
@@ -92,9 +99,7 @@ USER_PREFIX = "U|"
 
 def tagged_lines(df: DataFrame, prefix: str) -> DataFrame:
     """Rows of ``df`` as CSV lines behind a source prefix."""
-    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
-               "ignoreTrailingWhiteSpace": "false"}
-    line = F.to_csv(F.struct(*df.columns), options)
+    line = F.to_csv(F.struct(*df.columns), WRITING)
     return df.select(F.concat(F.lit(prefix), line).alias("value"))
 
 
@@ -119,7 +124,4 @@ def in_layout(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def write_csv_table(df: DataFrame, path: str) -> None:
     """Write in the dialect the readers expect, with a header in every file."""
-    df.write.mode("overwrite").options(
-        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    ).csv(path)
+    df.write.mode("overwrite").options(header=True, **WRITING).csv(path)

@@ -80,22 +80,35 @@ def hot_forum(spark):
     return questions.unionByName(answers), users
 
 
+SPLIT_SMALL = dict(
+    spark__sql__autoBroadcastJoinThreshold="-1",
+    spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+    spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+    spark__sql__adaptive__coalescePartitions__enabled="false",
+)
+
+
 def test_hot_owner_is_split_by_the_join(spark):
     posts, users = hot_forum(spark)
-    with settings(
-        spark,
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
-    ):
+    with settings(spark, **SPLIT_SMALL):
         df = owners.question_owner(posts, users)
         assert "skew=true" in final_plan(df)
         assert df.count() == 3 * HOT
         assert df.where("DisplayName = 'u0'").count() == HOT
 
 
+def test_hot_tag_and_year_is_split_by_the_rank_join(spark):
+    posts, _ = hot_forum(spark)
+    respuestas, preguntas = p.answers_score(posts), p.question_year(posts)
+    with settings(spark, **SPLIT_SMALL):
+        df = rankings.tag_year_rank(respuestas, preguntas, tag_plans.question_tags(posts), ["b"])
+        assert "skew=true" in final_plan(df)
+        assert df.count() == respuestas.count()
+        assert df.where("Rango = 1").count() + df.where("Rango = 2").count() == df.count()
+
+
 def test_hot_keys_give_whole_results(spark):
     posts, users = hot_forum(spark)
     respuestas, preguntas = p.answers_score(posts), p.question_year(posts)

@@ -143,3 +143,12 @@ def test_inspection(spark):
     assert [r.Id for r in parquet.first_rows(table.repartition(4), ["Id"]).collect()] == list(range(10))
     assert unordered(parquet.row_counts({"a": table, "b": table.limit(0)})) == [("a", 30), ("b", 0)]
     assert parquet.describe_columns(table) == [("Id", "bigint")]
+
+
+def test_tagged_lines_survive_the_round_trip(spark):
+    names = [(1, 'An "a", b', 5), (2, None, None), (3, "back\\slash", 0)]
+    users = spark.createDataFrame(names, "Id bigint, DisplayName string, Reputation bigint")
+    lines = csv.tagged_lines(users, csv.USER_PREFIX)
+    assert all(r.value.startswith("U|") for r in lines.collect())
+    assert unordered(csv.tagged_rows(lines, csv.USER_PREFIX, users.schema)) == names
+    assert csv.tagged_rows(lines, csv.POST_PREFIX, users.schema).count() == 0
