@@ -98,6 +98,8 @@ ORACLE: dict[str, str] = {
     "answers_score_all": FORUM + """ SELECT q.id AS "QuestionId", coalesce(n, 0) AS "NRespuestas",
         CASE WHEN n IS NULL THEN 0 ELSE score END AS "ScoreTotal"
         FROM questions q LEFT JOIN counts c ON q.id = c.id""",
+    "answered_questions": FORUM + """ SELECT id AS "Id", owner AS "OwnerUserId", created AS "CreationDate"
+        FROM questions WHERE id IN (SELECT parent FROM answers)""",
     "question_year": FORUM + """ SELECT id AS "QuestionId", owner AS "UserId",
         CAST(year(created) AS INTEGER) AS "Año" FROM questions""",
     "answer_counts": COUNTS,

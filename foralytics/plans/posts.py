@@ -1,6 +1,6 @@
 """Questions, answers, and the two tables the reports start from."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foralytics.functions.values import or_zero, year
@@ -8,13 +8,21 @@ from foralytics.operators.ranking import top_k, top_k_by_bucket, total_order
 from foralytics.schemas import ANSWER, QUESTION
 
 
+def _asked() -> Column:
+    return F.col("PostTypeId") == QUESTION
+
+
+def _answered() -> Column:
+    return F.col("PostTypeId") == ANSWER
+
+
 def questions(posts: DataFrame) -> DataFrame:
-    return posts.where(F.col("PostTypeId") == QUESTION)
+    return posts.where(_asked())
 
 
 def answers(posts: DataFrame) -> DataFrame:
     """Answers that name their question."""
-    return posts.where((F.col("PostTypeId") == ANSWER) & F.col("ParentId").isNotNull())
+    return posts.where(_answered() & F.col("ParentId").isNotNull())
 
 
 def answer_counts(posts: DataFrame) -> DataFrame:
@@ -38,26 +46,32 @@ def answer_counts_topk_buckets(posts: DataFrame, k: int = 20, buckets: int = 100
     return top_k_by_bucket(answer_counts(posts), "AnswerCount", "QuestionId", k, buckets)
 
 
-def answers_score(posts: DataFrame, include_unanswered: bool = False) -> DataFrame:
-    """Answers and their summed score for every existing, answered question.
+def _by_question(posts: DataFrame, *measures: Column) -> DataFrame:
+    """One row per question id, asked or only answered, in one scan and shuffle.
 
-    The answers are counted before the join, so a question with very many
-    answers reaches it as one row.
+    A question and its answers share the key, so whether it exists and what its
+    answers amount to come out of the same map-side combined aggregation, where
+    a join would scan the posts twice and sort both sides.
     """
-    scored = answers(posts).groupBy(F.col("ParentId").alias("QuestionId")).agg(
-        F.count(F.lit(1)).alias("NRespuestas"), F.sum("Score").alias("ScoreTotal")
-    )
-    asked = questions(posts).select(F.col("Id").alias("QuestionId"))
-    if not include_unanswered:
-        return scored.join(asked, "QuestionId", "left_semi")
-    none = F.col("NRespuestas").isNull()
-    return asked.join(scored, "QuestionId", "left").select(
-        "QuestionId",
-        or_zero(F.col("NRespuestas")).alias("NRespuestas"),
-        F.when(none, 0).otherwise(F.col("ScoreTotal")).alias("ScoreTotal"),
+    key = F.when(_asked(), F.col("Id")).when(_answered(), F.col("ParentId"))
+    return (
+        posts.where(F.col("PostTypeId").isin(QUESTION, ANSWER) & key.isNotNull())
+        .groupBy(key.alias("QuestionId"))
+        .agg(F.max(_asked()).alias("exists"), F.count(F.when(_answered(), 1)).alias("n"), *measures)
     )
 
 
+def answers_score(posts: DataFrame, include_unanswered: bool = False) -> DataFrame:
+    """Answers and their summed score for every existing, answered question."""
+    scored = _by_question(posts, F.sum(F.when(_answered(), F.col("Score"))).alias("score")).where("exists")
+    total = F.col("score")
+    if include_unanswered:
+        total = F.when(F.col("n") == 0, 0).otherwise(total)
+    else:
+        scored = scored.where("n > 0")
+    return scored.select("QuestionId", F.col("n").alias("NRespuestas"), total.alias("ScoreTotal"))
+
+
 def question_year(posts: DataFrame) -> DataFrame:
     """Owner and year of every question."""
     return questions(posts).select(
@@ -67,15 +81,18 @@ def question_year(posts: DataFrame) -> DataFrame:
     )
 
 
+def answered_questions(posts: DataFrame) -> DataFrame:
+    """The questions, with all their columns, that have an answer."""
+    return questions(posts).join(
+        answer_counts(posts).select(F.col("QuestionId").alias("Id")), "Id", "left_semi"
+    )
+
+
 def answer_audit(posts: DataFrame) -> DataFrame:
     """Answered questions whose declared number of answers is wrong."""
-    counted = answer_counts(posts)
-    declared = questions(posts).select(
-        F.col("Id").alias("QuestionId"),
-        or_zero(F.col("AnswerCount").cast("bigint")).alias("declared"),
-    )
+    declared = F.max(F.when(_asked(), F.col("AnswerCount"))).cast("bigint")
     return (
-        declared.join(counted.withColumnRenamed("AnswerCount", "actual"), "QuestionId")
-        .where(F.col("declared") != F.col("actual"))
-        .select("QuestionId", "declared", "actual")
+        _by_question(posts, or_zero(declared).alias("declared"))
+        .where("exists AND n > 0 AND declared != n")
+        .select("QuestionId", "declared", F.col("n").alias("actual"))
     )

@@ -124,6 +124,11 @@ def answers_score_all(spark: SparkSession, sf: str) -> DataFrame:
     return posts.answers_score(star_schema.posts(spark, sf), include_unanswered=True)
 
 
+def answered_questions(spark: SparkSession, sf: str) -> DataFrame:
+    answered = posts.answered_questions(star_schema.posts(spark, sf))
+    return answered.select("Id", "OwnerUserId", "CreationDate")
+
+
 def question_year(spark: SparkSession, sf: str) -> DataFrame:
     return _preguntas(spark, sf)
 
@@ -362,6 +367,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         answers_score,
         answers_score_all,
+        answered_questions,
         question_year,
         answer_counts,
         answer_counts_ordered,

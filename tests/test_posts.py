@@ -23,6 +23,15 @@ def test_answer_counts_keep_orphans_and_drop_null_parents(spark):
     assert unordered(p.answer_counts(forum(spark))) == [(1, 2), (2, 1), (99, 1)]
 
 
+def test_answered_questions(spark):
+    assert sorted(r.Id for r in p.answered_questions(forum(spark)).collect()) == [1, 2]
+
+
+def test_answers_score_is_one_shuffle(spark):
+    text = plan(p.answers_score(forum(spark)))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
 def test_ordered_counts_and_ties(spark):
     table = posts(spark, *[answer(q) for q in (5, 5, 3, 3, 9, 9, 9, 1)])
     full = [(9, 3), (3, 2), (5, 2), (1, 1)]
