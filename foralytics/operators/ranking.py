@@ -57,7 +57,8 @@ def rank_in_group(
 
     ``ties`` is ``rank``, ``dense_rank`` or ``row_number``, as in the window
     functions of these names; ``row_number`` breaks ties by the integer
-    ``tie_break``, which must be unique within a group.
+    ``tie_break``, which must be unique within a group.  It sorts at most
+    ``id_slice`` consecutive ids at a time: for ids with large gaps, widen it.
 
     A window over the rows would sort a hot group in one task.  Instead the rows
     are counted per distinct measure, the window runs over these few counts, and
