@@ -44,8 +44,3 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
-
-
-def describe_columns(df: DataFrame) -> list[tuple[str, str]]:
-    """Column names and types, as printed by the inspection job."""
-    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from foralytics.plans import owners, posts as p, rankings, tags as tag_plans, trends, users as u
-from helpers import final_plan, plan, unordered
+from helpers import final_plan, plan
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON = "ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsIn"

@@ -142,7 +142,6 @@ def test_inspection(spark):
     table = spark.range(30).select(F.col("id").alias("Id"))
     assert [r.Id for r in parquet.first_rows(table.repartition(4), ["Id"]).collect()] == list(range(10))
     assert unordered(parquet.row_counts({"a": table, "b": table.limit(0)})) == [("a", 30), ("b", 0)]
-    assert parquet.describe_columns(table) == [("Id", "bigint")]
 
 
 def test_tagged_lines_survive_the_round_trip(spark):
