@@ -1,25 +1,18 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in a folder that all executors share."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``.
+    """The cluster's ``spark.checkpoint.dir``, else its warehouse folder.
 
-    A temporary local folder stands in only where the setting is absent and the
-    session is a single local JVM, as in tests.
+    Both lie on the cluster's own file system. Everything of one application is
+    kept in one sub-folder, so that it can be removed as a whole.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="foralytics-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -27,9 +20,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back, so later actions do not recompute it."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch tables whose readers have finished."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)

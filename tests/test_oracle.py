@@ -6,13 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from foralytics.queries import TABLES
+from foralytics.oracle import ORACLE
+from foralytics.queries import QUERIES, TABLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
