@@ -4,11 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foralytics.llm import mixing, sharding
+from foralytics.llm import mixing, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        token_files.op1_token_files,
         sharding.op3_sharding,
         mixing.op8_mixing,
     )
