@@ -4,12 +4,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foralytics.llm import mixing, sharding, substrings, token_files
+from foralytics.llm import jaccard_join, mixing, sharding, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         token_files.op1_token_files,
+        jaccard_join.op2_jaccard_join,
         sharding.op3_sharding,
         substrings.op4_substrings,
         mixing.op8_mixing,
