@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from foralytics.llm.common import shuffle_partitions, slices, table
 from foralytics.llm.components import components
 from foralytics.llm.signature_tree import bitmaps, plausible_pairs, spanning
-from foralytics.llm.words import mixed, run_hashes, word_hashes
+from foralytics.llm.words import from_planes, mixed, planes, run_hashes, word_hashes
 from foralytics.scratch import discard, scratch_path, stage
 
 # Sets of one size class differ in size by half at most.
@@ -138,18 +138,6 @@ def part_keys(tokens: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tupl
         owners.append(chosen[set_of[needed]])
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of 64-bit numbers, byte by byte, which compresses well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def _from_planes(packed: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(width, -1)
-    values = np.zeros((planes.shape[1], 8), np.uint8)
-    values[:, :width] = planes.T
-    return values.view(np.uint64).ravel()
-
-
 def _batch(schema: list[tuple[str, pa.Array]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x for _, x in schema], names=[k for k, _ in schema])
 
@@ -185,8 +173,8 @@ def _send_keys(n: int, num: int, den: int, buckets: int):
             return _batch(
                 [
                     ("bucket", pa.array(bucket[cuts].astype(np.int32))),
-                    ("keys", pa.array([_planes(keys[a:b], KEY_BYTES) for a, b in edges], pa.binary())),
-                    ("owners", pa.array([_planes(owners[a:b], 8) for a, b in edges], pa.binary())),
+                    ("keys", pa.array([planes(keys[a:b], KEY_BYTES) for a, b in edges], pa.binary())),
+                    ("owners", pa.array([planes(owners[a:b], 8) for a, b in edges], pa.binary())),
                 ]
             )
 
@@ -216,8 +204,8 @@ def _list_classes(block: int):
     """The packed keys of a bucket -> the lists of classes that share a key, cut into blocks."""
 
     def lists(rows: pa.Table) -> pa.Table:
-        keys = np.concatenate([_from_planes(x, KEY_BYTES) for x in rows["keys"].to_pylist()])
-        owners = np.concatenate([_from_planes(x, 8) for x in rows["owners"].to_pylist()]).view(np.int64)
+        keys = np.concatenate([from_planes(x, KEY_BYTES) for x in rows["keys"].to_pylist()])
+        owners = np.concatenate([from_planes(x, 8) for x in rows["owners"].to_pylist()]).view(np.int64)
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
         new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
