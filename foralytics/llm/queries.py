@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foralytics.llm import decontamination, jaccard_join, mixing, scoring, sharding, substrings, token_files
+from foralytics.llm import decontamination, jaccard_join, language_id, mixing, scoring, sharding, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         decontamination.op6_decontamination,
         scoring.op7_scoring,
         mixing.op8_mixing,
+        language_id.op10_language_id,
     )
 }
 
