@@ -1,7 +1,8 @@
-"""Encoding of texts with a public tokenizer, each distinct word once."""
+"""Encoding of texts with a public tokenizer, each distinct piece of a word once."""
 
 import re
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -9,99 +10,111 @@ import pyarrow.compute as pc
 
 Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
-# Words kept between batches of one task; then the memory is given back.
-KEPT_WORDS = 400_000
-# Units that are encoded in one call, joined by spaces.
+# Pieces whose ids a Python worker keeps, for all of its tasks; then the memory is given back.
+KEPT_UNITS = 700_000
+# Pieces that are encoded in one call, joined by spaces.
 JOINED = 512
 # Letters and marks whose case, normal form and class no Unicode version changes.
-PLAIN = r"A-Za-zÀ-ÖØ-öø-ÿ"
-MARKS = r"!-&(-/:-@\[-`{-~"
+PLAIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+MARKS = r"!-&(-/:-;=-@\[-`{-~"
+# A word with anything else (an apostrophe, a less-than sign, a letter of another block)
+# stays whole; in other words, runs of marks and single digits are set apart.
+APART = rf"([^\s\x0b]*[^\s\x0b{PLAIN}0-9{MARKS}][^\s\x0b]*)|([{MARKS}]+)|([0-9])"
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _build(path: str) -> Encoder:
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    suffix = tokenizer.model.end_of_word_suffix
+    last = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, i in tokenizer.get_vocab().items():
+        last[i] = token.endswith(suffix)
+    one_run = re.compile(f"[{PLAIN}]+|[0-9]|[{MARKS}]+")
+    # Unit -> its number; the ids of unit i are flat[edges[i]:edges[i + 1]].
+    number: dict[str, int] = {}
+    held: list[np.ndarray] = [np.zeros(0, np.uint32), np.zeros(1, np.int64)]
+
+    def learn(units: list[str]) -> None:
+        pieces, sizes = [held[0]], []
+        for i in range(0, len(units), JOINED):
+            group = units[i : i + JOINED]
+            found = tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(last[ids]) + 1
+            if len(ends) == len(group):
+                pieces.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+                continue
+            # Units of several tokens with an end of their own are told apart one by one.
+            each = [x.ids for x in tokenizer.encode_batch_fast(group, add_special_tokens=False)]
+            pieces.extend(np.array(x, np.uint32) for x in each)
+            sizes.append(np.array([len(x) for x in each], np.int64))
+        number.update(zip(units, range(len(number), len(number) + len(units)), strict=True))
+        held[1] = np.concatenate([held[1], held[1][-1] + np.cumsum(np.concatenate(sizes))])
+        held[0] = np.concatenate(pieces)
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(number) > KEPT_UNITS:
+            number.clear()
+            held[:] = [np.zeros(0, np.uint32), np.zeros(1, np.int64)]
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, APART, r" \1\2\3 "))
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        coded = split.flatten().dictionary_encode()
+        units = coded.dictionary.to_pylist()
+        rows = np.fromiter(map(number.get, units, repeat(-1)), np.int64, len(units))
+        fresh = np.flatnonzero(rows < 0).tolist()
+        if fresh:
+            plain, odd = [], []
+            for i in fresh:
+                (plain if one_run.fullmatch(units[i]) else odd).append(units[i])
+            if plain:
+                learn(plain)
+            # One unit a call where a unit may be several words of the tokenizer.
+            for i in range(0, len(odd), JOINED):
+                learn_alone(odd[i : i + JOINED])
+            rows = np.fromiter(map(number.get, units), np.int64, len(units))
+        flat, edges = held
+        sizes = np.diff(edges)
+        codes = rows[coded.indices.to_numpy(zero_copy_only=False)] if len(units) else rows
+        each = sizes[codes]
+        done = np.cumsum(each)
+        total = int(done[-1]) if len(done) else 0
+        places = np.arange(total) + np.repeat(edges[codes] - (done - each), each)
+        ends = np.concatenate([[0], done])[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
+        return flat[places], np.diff(np.concatenate([[0], ends])).astype(np.int64)
+
+    def learn_alone(units: list[str]) -> None:
+        each = [x.ids for x in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        number.update(zip(units, range(len(number), len(number) + len(units)), strict=True))
+        held[1] = np.concatenate([held[1], held[1][-1] + np.cumsum([len(x) for x in each])])
+        held[0] = np.concatenate([held[0], *[np.array(x, np.uint32) for x in each]])
+
+    return encode
 
 
 def word_encoder(path: str | None = None) -> Callable[[], Encoder]:
     """Encoder of the tokenizers file at ``path``, by default the public 49k word vocabulary.
 
-    That tokenizer never joins anything across white space, lower-cases, and marks
-    the last token of every run of letters or marks and of every digit. So each
-    distinct word is encoded once. Words of plain letters, digits and marks are cut
-    into these runs, which are encoded many in one call and told apart by the end
-    marks; any other word is encoded by itself, whole.
+    That tokenizer never joins anything across white space, and marks the last
+    token of every run of letters or marks and of every digit. So texts are cut into
+    these runs, and each distinct run is encoded once: many in one call, told apart
+    by the end marks. A word whose runs could be cut differently is encoded whole.
     """
 
     def make() -> Encoder:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         where = path
         if where is None:
             import public_tokenizers
 
             where = public_tokenizers.path("word_bpe_49k.json")
-        tokenizer = Tokenizer.from_file(where)
-        suffix = tokenizer.model.end_of_word_suffix
-        last = np.zeros(tokenizer.get_vocab_size(), bool)
-        for token, i in tokenizer.get_vocab().items():
-            last[i] = token.endswith(suffix)
-        plain = re.compile(f"(?:[{PLAIN}0-9{MARKS}])+")
-        # The special tokens' strings, which a word may contain, are marks around letters.
-        runs = re.compile(f"[{PLAIN}]+|[0-9]|[{MARKS}]+")
-        unit_ids: dict[str, list[int]] = {}
-        word_ids: dict[str, list[int]] = {}
-
-        def encode_units(units: list[str]) -> None:
-            joined = [" ".join(units[i : i + JOINED]) for i in range(0, len(units), JOINED)]
-            found = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-            for i, encoding in enumerate(found):
-                ids = np.array(encoding.ids)
-                ends = np.flatnonzero(last[ids]) + 1
-                group = units[i * JOINED : (i + 1) * JOINED]
-                if len(ends) != len(group):  # a vocabulary that leaves some ends unmarked
-                    for unit, one in zip(group, tokenizer.encode_batch_fast(group, add_special_tokens=False), strict=True):
-                        unit_ids[unit] = one.ids
-                    continue
-                listed, start = ids.tolist(), 0
-                for unit, end in zip(group, ends.tolist(), strict=True):
-                    unit_ids[unit] = listed[start:end]
-                    start = end
-
-        def encode_words(words: list[str]) -> None:
-            pieces, alone, units = {}, [], set()
-            for word in words:
-                if "<|" not in word and plain.fullmatch(word):
-                    cut = [word.lower()] if word.isalpha() else [x.lower() for x in runs.findall(word)]
-                    pieces[word] = cut
-                    units.update(x for x in cut if x not in unit_ids)
-                else:
-                    alone.append(word)
-            encode_units(sorted(units))
-            for word, cut in pieces.items():
-                word_ids[word] = unit_ids[cut[0]] if len(cut) == 1 else [i for x in cut for i in unit_ids[x]]
-            for word, encoding in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-                word_ids[word] = encoding.ids
-
-        def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-            if len(word_ids) > KEPT_WORDS:
-                word_ids.clear()
-                unit_ids.clear()
-            split = pc.ascii_split_whitespace(texts)
-            counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-            coded = split.flatten().dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            encode_words([w for w in words if w and w not in word_ids])
-            word_ids.setdefault("", [])
-            known = [word_ids[w] for w in words]
-            sizes = np.array([len(x) for x in known], np.int64)
-            flat = np.array([i for x in known for i in x], np.uint32)
-            firsts = np.cumsum(sizes) - sizes
-            codes = coded.indices.to_numpy(zero_copy_only=False)
-            each = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-            done = np.cumsum(each)
-            places = np.arange(int(done[-1]) if len(done) else 0) - np.repeat(done - each, each) + np.repeat(firsts[codes], each)
-            ends = np.concatenate([[0], done])[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
-            return flat[places], np.diff(np.concatenate([[0], ends])).astype(np.int64)
-
-        return encode
+        if where not in _encoders:
+            _encoders[where] = _build(where)
+        return _encoders[where]
 
     return make
