@@ -47,58 +47,65 @@ def soft(x: np.ndarray) -> np.ndarray:
 class Direction:
     """One gated recurrent layer: update and reset gates and a candidate, in this order."""
 
-    byte: np.ndarray  # 256 x 3H
-    state: np.ndarray  # H x 3H
+    byte: np.ndarray  # 3H x 256
+    state: np.ndarray  # 3H x H
 
     def forward(self, data: np.ndarray, tape: list | None = None) -> np.ndarray:
-        """States (steps, batch, H) over ``data`` (steps, batch) of bytes."""
-        h = self.state.shape[0]
-        states = np.empty((*data.shape, h), np.float32)
-        last = np.zeros((data.shape[1], h), np.float32)
-        gates_of, candidate_of = np.ascontiguousarray(self.state[:, : 2 * h]), np.ascontiguousarray(self.state[:, 2 * h :])
+        """States (steps, H, batch) over ``data`` (steps, batch) of bytes.
+
+        Rows of one unit lie side by side, so that every operation runs over the batch.
+        """
+        h, batch = self.state.shape[1], data.shape[1]
+        states = np.empty((len(data), h, batch), np.float32)
+        last = np.zeros((h, batch), np.float32)
+        # Gates are kept as 1 + x / (1 + |x|); their half is taken into the weights and the step.
+        gates_of, candidate_of = self.state[: 2 * h], 0.5 * self.state[2 * h :]
+        read, scale, candidate_scale = (np.empty((k * h, batch), np.float32) for k in (3, 2, 1))
+        gates, held, inner = (np.empty((k * h, batch), np.float32) for k in (2, 1, 1))
         for t in range(len(data)):
-            read = self.byte[data[t]]
-            gates = last @ gates_of
-            gates += read[:, : 2 * h]
-            scale = np.abs(gates)
+            if tape is not None:
+                scale, candidate_scale, gates, held, inner = (x.copy() for x in (scale, candidate_scale, gates, held, inner))
+            np.take(self.byte, data[t], axis=1, out=read, mode="clip")
+            np.matmul(gates_of, last, out=gates)
+            gates += read[: 2 * h]
+            np.abs(gates, out=scale)
             scale += 1
             gates /= scale
-            gates *= 0.5
-            gates += 0.5
-            update, reset = gates[:, :h], gates[:, h:]
-            held = reset * last
-            inner = held @ candidate_of
-            inner += read[:, 2 * h :]
-            candidate_scale = np.abs(inner)
+            gates += 1
+            np.multiply(gates[h:], last, out=held)
+            np.matmul(candidate_of, held, out=inner)
+            inner += read[2 * h :]
+            np.abs(inner, out=candidate_scale)
             candidate_scale += 1
             inner /= candidate_scale
-            new = inner - last
-            new *= update
+            new = np.subtract(inner, last, out=states[t])
+            new *= gates[:h]
+            new *= 0.5
             new += last
-            states[t] = new
             if tape is not None:
-                tape.append((last, update, reset, held, inner, scale, candidate_scale))
-            last = states[t]
+                tape.append((last, gates, held, inner, scale, candidate_scale))
+            last = new
         return states
 
     def backward(self, data: np.ndarray, tape: list, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of ``byte`` and ``state``, given those of the states (backpropagation through time)."""
-        h = self.state.shape[0]
+        h = self.state.shape[1]
         of_byte, of_state = np.zeros_like(self.byte), np.zeros_like(self.state)
         carried = np.zeros_like(wanted[0])
         for t in range(len(data) - 1, -1, -1):
-            last, update, reset, held, inner, scale, candidate_scale = tape[t]
+            last, gates, held, inner, scale, candidate_scale = tape[t]
+            update, reset = 0.5 * gates[:h], 0.5 * gates[h:]
             grad = wanted[t] + carried
             # The slope of x / (1 + |x|) is 1 / (1 + |x|)^2; gates are half of that.
             of_inner = grad * update / candidate_scale**2
-            of_held = of_inner @ self.state[:, 2 * h :].T
-            of_update = grad * (inner - last) * 0.5 / scale[:, :h] ** 2
-            of_reset = of_held * last * 0.5 / scale[:, h:] ** 2
-            of_gates = np.concatenate([of_update, of_reset], axis=1)
-            carried = grad * (1 - update) + of_held * reset + of_gates @ self.state[:, : 2 * h].T
-            of_state[:, : 2 * h] += last.T @ of_gates
-            of_state[:, 2 * h :] += held.T @ of_inner
-            np.add.at(of_byte, data[t], np.concatenate([of_gates, of_inner], axis=1))
+            of_held = self.state[2 * h :].T @ of_inner
+            of_update = grad * (inner - last) * 0.5 / scale[:h] ** 2
+            of_reset = of_held * last * 0.5 / scale[h:] ** 2
+            of_gates = np.concatenate([of_update, of_reset])
+            carried = grad * (1 - update) + of_held * reset + self.state[: 2 * h].T @ of_gates
+            of_state[: 2 * h] += of_gates @ last.T
+            of_state[2 * h :] += of_inner @ (0.5 * held).T
+            np.add.at(of_byte.T, data[t], np.concatenate([of_gates, of_inner]).T)
         return of_byte, of_state
 
 
@@ -107,19 +114,24 @@ class Model:
     languages: list[str]
     ahead: Direction
     back: Direction
-    out: np.ndarray  # (2H + 1) x languages
+    out: np.ndarray  # languages x (2H + 1)
 
     def parameters(self) -> list[np.ndarray]:
         return [self.ahead.byte, self.ahead.state, self.back.byte, self.back.state, self.out]
 
     def labels(self, data: np.ndarray) -> np.ndarray:
-        """Log-probabilities (steps, batch, languages) of every byte of ``data`` (steps, batch)."""
-        h = self.ahead.state.shape[0]
-        ahead, back = self.ahead.forward(data), self.back.forward(data[::-1])[::-1]
-        scores = ahead @ self.out[:h] + back @ self.out[h : 2 * h] + self.out[-1]
-        scores -= scores.max(axis=-1, keepdims=True)
-        scores -= np.log(np.exp(scores).sum(axis=-1, keepdims=True))
-        return scores
+        """Probabilities (steps, languages, batch) of every byte of ``data`` (steps, batch)."""
+        h = self.ahead.state.shape[1]
+        ahead, back = self.ahead.forward(data), self.back.forward(data[::-1])
+        chance = np.empty((len(data), len(self.out), data.shape[1]), np.float32)
+        for t in range(len(data)):
+            scores = np.matmul(self.out[:, :h], ahead[t], out=chance[t])
+            scores += self.out[:, h : 2 * h] @ back[len(data) - 1 - t]
+            scores += self.out[:, -1:]
+            scores -= scores.max(axis=0)
+            np.exp(scores, out=scores)
+            scores /= scores.sum(axis=0)
+        return chance
 
 
 def segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,7 +162,7 @@ def train(rows: list[tuple[str, str]], seed: int = 1) -> Model:
         return (random.standard_normal(shape) * 0.3).astype(np.float32)
 
     h, n = HIDDEN, len(languages)
-    model = Model(languages, *(Direction(start(256, 3 * h), start(h, 3 * h)) for _ in range(2)), start(2 * h + 1, n))
+    model = Model(languages, *(Direction(start(3 * h, 256), start(3 * h, h)) for _ in range(2)), start(n, 2 * h + 1))
     data, text_of, used = segments([text.encode()[:BYTES_PER_ROW] for text, _ in rows])
     truth = np.array([languages.index(language) for _, language in rows])[text_of] if len(rows) else text_of
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.parameters()]
@@ -171,21 +183,21 @@ def train(rows: list[tuple[str, str]], seed: int = 1) -> Model:
 
 def _gradients(model: Model, data: np.ndarray, truth: np.ndarray, used: np.ndarray) -> list[np.ndarray]:
     """Of the mean loss over the bytes in use, each labelled with its text's language."""
-    h = model.ahead.state.shape[0]
+    h = model.ahead.state.shape[1]
     tapes: tuple[list, list] = ([], [])
     ahead = model.ahead.forward(data, tapes[0])
     back = model.back.forward(data[::-1], tapes[1])[::-1]
-    both = np.concatenate([ahead, back, np.ones((*data.shape, 1), np.float32)], axis=2)
-    scores = both @ model.out
-    scores -= scores.max(axis=2, keepdims=True)
+    both = np.concatenate([ahead, back, np.ones((len(data), 1, data.shape[1]), np.float32)], axis=1)
+    scores = model.out @ both
+    scores -= scores.max(axis=1, keepdims=True)
     chance = np.exp(scores)
-    chance /= chance.sum(axis=2, keepdims=True)
-    chance[:, np.arange(len(truth)), truth] -= 1
-    chance *= ((np.arange(len(data))[:, None] < used) / used.sum())[:, :, None].astype(np.float32)
-    of_out = np.einsum("tbi,tbl->il", both, chance, optimize=True)
-    of_both = chance @ model.out.T
-    of_ahead = model.ahead.backward(data, tapes[0], of_both[:, :, :h])
-    of_back = model.back.backward(data[::-1], tapes[1], of_both[::-1, :, h : 2 * h])
+    chance /= chance.sum(axis=1, keepdims=True)
+    chance[:, truth, np.arange(len(truth))] -= 1
+    chance *= ((np.arange(len(data))[:, None] < used) / used.sum())[:, None, :].astype(np.float32)
+    of_out = np.einsum("tlb,tib->li", chance, both, optimize=True)
+    of_both = model.out.T @ chance
+    of_ahead = model.ahead.backward(data, tapes[0], of_both[:, :h])
+    of_back = model.back.backward(data[::-1], tapes[1], of_both[::-1, h : 2 * h])
     return [*of_ahead, *of_back, of_out]
 
 
@@ -194,11 +206,11 @@ def pooled(model: Model, texts: list[bytes]) -> np.ndarray:
     data, text_of, used = segments(texts)
     total = np.zeros((len(texts), len(model.languages)))
     for a in range(0, len(data), SIDE_BY_SIDE):
-        some, n = data[a : a + SIDE_BY_SIDE], used[a : a + SIDE_BY_SIDE]
-        # Longest first would not help: segments are all full but the last one of a text.
-        chance = np.exp(model.labels(np.ascontiguousarray(some.T)))
-        chance *= (np.arange(SEGMENT)[:, None] < n)[:, :, None]
-        np.add.at(total, text_of[a : a + SIDE_BY_SIDE], chance.sum(axis=0))
+        n = used[a : a + SIDE_BY_SIDE]
+        chance = model.labels(np.ascontiguousarray(data[a : a + SIDE_BY_SIDE].T))
+        for i in np.flatnonzero(n < SEGMENT).tolist():
+            chance[n[i] :, :, i] = 0
+        np.add.at(total, text_of[a : a + SIDE_BY_SIDE], chance.sum(axis=0).T)
     sizes = np.array([max(1, len(x)) for x in texts])
     return total / sizes[:, None]
 
