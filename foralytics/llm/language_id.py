@@ -33,7 +33,7 @@ STEPS = 220
 BATCH = 256
 RATE = 0.02
 # A document is rejected below this pooled probability.
-LEAST = 0.5
+LEAST = 0.4
 UNKNOWN = "und"
 TEXT_BYTES = 3 << 20
 SIDE_BY_SIDE = 2048

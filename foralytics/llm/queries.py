@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foralytics.llm import decontamination, jaccard_join, language_id, mixing, scoring, sharding, substrings, token_files
+from foralytics.llm import decontamination, jaccard_join, language_id, mixing, scoring, sharding, spot_signatures, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
@@ -13,6 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         jaccard_join.op2_jaccard_join,
         sharding.op3_sharding,
         substrings.op4_substrings,
+        spot_signatures.op5_fingerprints,
         decontamination.op6_decontamination,
         scoring.op7_scoring,
         mixing.op8_mixing,
