@@ -3,6 +3,7 @@
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
     """The batches cut so that ``column`` holds about ``limit`` bytes in each; a longer row stays whole."""
     for batch in batches:
         values = batch.column(batch.schema.get_field_index(column))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > limit:

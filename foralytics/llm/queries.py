@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foralytics.llm import decontamination, jaccard_join, language_id, mixing, scoring, sharding, spot_signatures, substrings, token_files
+from foralytics.llm import decontamination, html_wrappers, jaccard_join, language_id, mixing, scoring, sharding, spot_signatures, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         decontamination.op6_decontamination,
         scoring.op7_scoring,
         mixing.op8_mixing,
+        html_wrappers.op9_html_extraction,
         language_id.op10_language_id,
     )
 }
