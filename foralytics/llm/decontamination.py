@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foralytics.llm.common import table
+from foralytics.scratch import stage
 
 RATE = 0.08
 # Shorter items are looked for without edits, from word to word.
@@ -150,6 +151,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFra
     return found
 
 
+def drop_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+    """Rows of ``docs`` that hold none of the ``items``; all columns stay.
+
+    The leaks are written first: Spark then knows their size when it plans the join.
+    """
+    key = F.xxhash64("text")
+    leaks = stage(find_leaks(docs.select(key.alias("doc_id"), "text"), items, rate).select(F.col("doc_id").alias("__key")).distinct(), "leaks")
+    return docs.join(leaks, key == F.col("__key"), "left_anti").select(*docs.columns)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents that hold a benchmark item, with the item and its edits."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -397,6 +397,20 @@ def jaccard_components(
     )
 
 
+def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """Rows of ``docs`` that are the smallest of their component; all columns stay.
+
+    Rows equal in id and text are one document. Texts without words all stay.
+    """
+    found = jaccard_components(docs, n, num, den)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
+    ).distinct()
+    keyed = docs.withColumn("__text_key", F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__text_key"] == kept["__key"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text_key"]).select(*docs.columns)
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets are alike by 0.9."""
     docs = table(spark, sf_dir, "documents")

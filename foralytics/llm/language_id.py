@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from foralytics.llm.common import remainder_of_id, slices, table
@@ -224,10 +225,7 @@ def sample(labelled: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> list[tuple[str
     return [(r["text"], r["lang"]) for r in chosen.orderBy("lang", "place").collect()]
 
 
-PREDICTED = "lang_pred string, score double"
-
-
-def _predict(model: Model):
+def _predict(model: Model, names_of_result: tuple[str, str]):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", TEXT_BYTES):
             texts = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "")
@@ -239,21 +237,28 @@ def _predict(model: Model):
                 names[known] = np.array(model.languages, object)[chance.argmax(axis=1)]
                 scores[known] = np.minimum(1.0, chance.max(axis=1))
             columns = [*batch.columns, pa.array(names.tolist(), pa.string()), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names_of_result])
 
     return predict
 
 
-def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, learnt from ``labelled`` (text, lang).
+def identify(docs: DataFrame, labelled: DataFrame, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the predicted language and its probability, learnt from ``labelled`` (text, lang).
 
     ``docs`` has a column ``text``; its other columns go through untouched and are
     no input, equal texts get equal predictions. ``und`` and 0 stand for null texts
-    and texts without a letter, and for all if nothing is labelled.
+    and texts without a letter, and for all if nothing is labelled. ``names`` must be
+    none of the columns.
     """
     model = train(sample(labelled))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_predict(model), f"{schema}, {PREDICTED}")
+    added = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
+    return docs.mapInArrow(_predict(model, names), T.StructType([*docs.schema.fields, *added]))
+
+
+def keep_known(docs: DataFrame, labelled: DataFrame, least: float = LEAST) -> DataFrame:
+    """Rows of ``docs`` whose language is told with a probability of ``least`` or more; all columns stay."""
+    told = identify(docs, labelled, ("__lang", "__chance"))
+    return told.where((F.col("__lang") != UNKNOWN) & (F.col("__chance") >= least)).drop("__lang", "__chance")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

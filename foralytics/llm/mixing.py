@@ -98,8 +98,8 @@ def systematic_copies(rows: DataFrame, group: str, key: str, size: str, expected
     return run.select(*rows.columns, copies.cast("long").alias("copies"))
 
 
-def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, times_2: int = 3) -> DataFrame:
-    """``docs`` (doc_id, source, size) with ``source_size``, ``target`` and ``copies``.
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, times_2: int = 3, key: str = "doc_id") -> DataFrame:
+    """``docs`` (``key``, source, size) with ``source_size``, ``target`` and ``copies``.
 
     Null or empty texts have size 0 and are drawn like others; null sources form
     one source, ordered last. A source without words has the target 0 and no
@@ -109,7 +109,23 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, times_2: int = 3)
     targets = source_targets(sizes, weights, times_2).withColumnRenamed("source", "_source")
     joined = docs.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return systematic_copies(joined, "source", "doc_id", "size", expected)
+    return systematic_copies(joined, "source", key, "size", expected)
+
+
+def mix_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, times_2: int = 3) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is drawn; all columns stay.
+
+    Rows equal in id, source and text are taken for copies of one row.
+    """
+    key = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
+    slim = stage(docs.select(key.alias("__key"), "source", word_count(F.col("text")).alias("size")), "mix")
+    drawn = mixed(slim, weights, times_2, "__key").groupBy("__key", F.col("source").alias("__source")).agg(
+        F.sum("copies").alias("__copies")
+    ).where("__copies > 0")
+    keyed = docs.withColumn("__row", key)
+    same = (F.col("__row") == F.col("__key")) & F.col("source").eqNullSafe(F.col("__source"))
+    once = keyed.join(stage(drawn, "drawn"), same).dropDuplicates(["__row", "source"])
+    return once.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,7 +143,7 @@ def write_token_files(
 
     ``encoder()`` is called once a task and gives a function from texts to (ids,
     ids of each text); ``end_id`` is appended to each document. A null text is
-    empty, a null id comes first, rows of one id are kept, in any order. Files
+    empty, a null id comes first, rows of one id are kept, by the hash of their text. Files
     hold ranges of ids, which is the one shuffle; an empty table gives no segment.
     """
 
@@ -172,7 +172,7 @@ def write_token_files(
     (
         docs.select("doc_id", "text")
         .repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id")
+        .sortWithinPartitions("doc_id", F.xxhash64("text"))
         .mapInArrow(segments, SEGMENTS)
         .write.option("compression", "none")
         .parquet(path)
