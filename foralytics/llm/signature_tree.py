@@ -82,7 +82,8 @@ def plausible_pairs(
     for level in reversed(levels[:-1]):
         n = len(level.least)
         children = np.arange(FAN)
-        found_a, found_b = [], []
+        # All pairs may be gone by now.
+        found_a, found_b = [a[:0]], [b[:0]]
         for at in range(0, len(a), STEP // FAN**2 + 1):
             x = a[at : at + STEP // FAN**2 + 1, None, None] * FAN + children[None, :, None]
             y = b[at : at + STEP // FAN**2 + 1, None, None] * FAN + children[None, None, :]
