@@ -146,17 +146,18 @@ def distinct_grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     used = np.zeros(256, bool)
     used[data] = True
-    small = (np.cumsum(used) - 1).astype(np.int64)[data]
+    small = (np.cumsum(used) - 1).astype(np.int32)[data]
     alphabet = int(used.sum())
     number, n = small, alphabet
     for length in range(1, DEPTH + 1):
-        code = number[: len(data) - length] * alphabet + small[length:]
+        kind = np.int32 if n * alphabet < 1 << 31 else np.int64
+        code = number[: len(data) - length].astype(kind) * kind(alphabet) + small[length:].astype(kind)
         present = np.zeros(n * alphabet, bool)
         present[code] = True
         found = np.flatnonzero(present)
         rank = np.empty(n * alphabet, np.int32)
         rank[found] = np.arange(len(found), dtype=np.int32)
-        number, n = rank[code].astype(np.int64), len(found)
+        number, n = rank[code], len(found)
     place = np.empty(n, np.int64)
     place[number] = np.arange(len(number))
     grams = np.zeros(n, np.uint64)

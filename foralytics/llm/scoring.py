@@ -21,9 +21,11 @@ from foralytics.llm.common import remainder_of_id, shuffle_partitions, table
 from foralytics.llm.words import from_planes, mixed, planes, word_codes
 from foralytics.scratch import scratch_path, stage
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 16 << 20
 # Bytes that are numbered in one table.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
+# Keys of several slices that are held before they are summed up.
+HELD_KEYS = 500_000
 # Training counts of a word or gram in a chunk, and of a word in all, stay below 2^40.
 COUNT_BYTES = 5
 ASK = "bucket int, chunk int, keys binary, counts binary"
@@ -54,6 +56,21 @@ def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return distinct, np.bincount(at.ravel(), values, len(distinct))
 
 
+class _Counts:
+    """Counts by key that are added slice by slice and summed up before they pile up."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0))]
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.held.append((keys, counts))
+        if sum(len(k) for k, _ in self.held[1:]) > max(HELD_KEYS, len(self.held[0][0])):
+            self.held = [self.total()]
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        return _grouped(*(np.concatenate(x) for x in zip(*self.held, strict=True)))
+
+
 def _predicted(firsts: np.ndarray, total: int) -> np.ndarray:
     """Whether a byte of the stream, counted from ``DEPTH`` on, is predicted: all but the zeros before a text."""
     kept = np.ones(total, bool)
@@ -64,12 +81,11 @@ def _predicted(firsts: np.ndarray, total: int) -> np.ndarray:
 
 def _distinct(texts: pa.Array, train: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
     """(distinct words, training counts) and (distinct grams, training counts) of a chunk."""
-    words: list[tuple[np.ndarray, np.ndarray]] = []
-    grams: list[tuple[np.ndarray, np.ndarray]] = []
+    words, grams = _Counts(), _Counts()
     for a, b in _text_slices(texts):
         hashes, codes, counts = word_codes(texts[a:b], lower=True)
         taught = np.repeat(train[a:b], counts)
-        words.append((hashes, np.bincount(codes, taught, len(hashes))))
+        words.add(hashes, np.bincount(codes, taught, len(hashes)))
         data, firsts = ctw.stream([x.as_buffer().to_pybytes() for x in texts[a:b]])
         distinct, number = ctw.distinct_grams(data)
         kept = _predicted(firsts, len(data))
@@ -77,8 +93,8 @@ def _distinct(texts: pa.Array, train: np.ndarray) -> tuple[tuple[np.ndarray, np.
         taught = kept & np.repeat(train[a:b], sizes)[ctw.DEPTH :]
         asked = np.zeros(len(distinct), bool)
         asked[number[kept]] = True
-        grams.append((distinct[asked], np.bincount(number[taught], minlength=len(distinct))[asked]))
-    return tuple(_grouped(*(np.concatenate(x) for x in zip(*found, strict=True))) for found in (words, grams))
+        grams.add(distinct[asked], np.bincount(number[taught], minlength=len(distinct))[asked])
+    return words.total(), grams.total()
 
 
 def _bucket_of(keys: np.ndarray, is_gram: bool, buckets: int) -> np.ndarray:
