@@ -1,0 +1,251 @@
+"""Sharding, mixing, spot signatures and page texts."""
+
+import hashlib
+import heapq
+import random
+import zlib
+
+import duckdb
+import pytest
+from tables import awkward_rows, documents, empty, prose, rows, save
+
+from foralytics.llm.html_tree import parse
+from foralytics.llm.html_wrappers import Node, aligned, fold, infer_wrappers, main_path, main_texts, of_page
+from foralytics.llm.mixing import mix_rows, mixed
+from foralytics.llm.queries import ORACLE, QUERIES
+from foralytics.llm.sharding import longest_first, shard_by_size
+from foralytics.llm.spot_signatures import ANCHORS, near_duplicates
+
+
+def many(seed, n=400):
+    random.seed(seed)
+    texts = [prose(random.randint(0, 60), random.randint(0, 40)) for _ in range(n)]
+    return [(i, t, "en", random.choice(["b", "a", None, "c", "é", "d"])) for i, t in enumerate(texts)]
+
+
+def test_longest_first_is_the_plain_schedule():
+    random.seed(1)
+    sizes = [(random.randint(1, 50), str(i)) for i in range(60)]
+    loads = [0] * 4
+    for size, _ in sorted(sizes, key=lambda x: (-x[0], x[1])):
+        heapq.heapreplace(loads, loads[0] + size) if loads == sorted(loads) else None
+        loads.sort()
+    placed = longest_first(sizes, 4)
+    got = [sum(s for s, i in sizes if placed[i] == k) for k in range(4)]
+    assert max(got) - min(got) <= 50 and sum(got) == sum(s for s, _ in sizes)
+
+
+def check_shards(got, docs):
+    assert len(got) == len(docs)
+    by_text = {}
+    for r in docs:
+        by_text.setdefault(r[1] or "", set()).add(r[0])
+    shard_of = {}
+    for r in got:
+        shard_of.setdefault(r["doc_id"], set()).add(r["shard"])
+    for ids in by_text.values():
+        assert len({s for i in ids for s in shard_of[i]}) == 1
+    for shard in {r["shard"] for r in got}:
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in got)))
+
+
+def test_shards_are_even_and_keep_groups(spark, tmp_path):
+    table = many(2)
+    got = QUERIES["op3_sharding"](spark, save(documents(spark, table, extra=True), tmp_path)).collect()
+    check_shards(got, table)
+    text = {r[0]: r[1] for r in table}
+    for r in got:
+        assert r["size"] == len(text[r["doc_id"]].encode()) + 1 and r["text_crc32"] == zlib.crc32(text[r["doc_id"]].encode())
+        assert r["law"] == "bytes" and r["grown_shard"] is None
+    loads = [sum(r["size"] for r in got if r["shard"] == k) for k in range(8)]
+    assert max(loads) - min(loads) < 0.02 * sum(loads)
+
+
+def test_shards_of_awkward_rows(spark, tmp_path):
+    check_shards(QUERIES["op3_sharding"](spark, save(documents(spark), tmp_path)).collect(), awkward_rows())
+    assert QUERIES["op3_sharding"](spark, save(empty(spark), tmp_path)).collect() == []
+
+
+def test_bundles_stand_in_for_small_groups(spark):
+    """A third of the rows in one group, and fewer lots than groups."""
+    table = [(i, "hot" if i % 3 == 0 else f"text {i}", 10) for i in range(900)]
+    df = spark.createDataFrame(table, "doc_id long, g string, size long")
+    got = shard_by_size(df, "g", "size", 4, lots=40).collect()
+    assert len({r["shard"] for r in got if r["g"] == "hot"}) == 1
+    loads = [sum(r["size"] for r in got if r["shard"] == k) for k in range(4)]
+    assert max(loads) == 3000 and max(sorted(loads)[:3]) - min(loads) <= 600
+
+
+def as_duckdb(folder, sql):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    found = con.sql(sql)
+    return found.columns, sorted(found.fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("table", [many(3), awkward_rows()[:3] + awkward_rows()[4:], [(1, None, None, None)]])
+def test_mix_equals_sql(spark, tmp_path, table):
+    folder = save(documents(spark, table, extra=True), tmp_path)
+    columns, want = as_duckdb(folder, ORACLE["op8_mixing"])
+    assert rows(QUERIES["op8_mixing"](spark, folder).select(*columns)) == want
+
+
+def test_mix_comes_near_its_targets(spark):
+    random.seed(4)
+    table = [(i, random.choice(["a", "b", "c", None]), random.randint(1, 50)) for i in range(4000)]
+    got = mixed(spark.createDataFrame(table, "doc_id long, source string, size long")).collect()
+    for source in ("a", "b", "c", None):
+        mine = [r for r in got if r["source"] == source]
+        assert abs(sum(r["copies"] * r["size"] for r in mine) - mine[0]["target"]) <= 50
+        assert mine[0]["target"] <= 2 * mine[0]["source_size"] and {r["copies"] for r in mine} <= {0, 1, 2}
+    assert sum({r["source"]: r["target"] for r in got}.values()) == pytest.approx(1.5 * sum(t[2] for t in table))
+
+
+def test_mix_rows_repeat_whole_rows(spark):
+    docs = documents(spark, many(5), extra=True)
+    copies = {r["doc_id"]: r["copies"] for r in rows_of_mix(docs)}
+    got = mix_rows(docs)
+    assert got.columns == docs.columns
+    found = {}
+    for r in got.collect():
+        found[r["doc_id"]] = found.get(r["doc_id"], 0) + 1
+    assert sum(found.values()) == sum(copies.values()) and max(found.values()) <= 2
+    assert mix_rows(empty(spark)).collect() == [] and mix_rows(documents(spark)).count() > 0
+
+
+def rows_of_mix(docs):
+    from pyspark.sql import functions as F
+
+    from foralytics.llm.common import word_count
+
+    return mixed(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))).collect()
+
+
+def plain_spots(text):
+    words = "".join(c if c.isalpha() or c.isnumeric() else " " for c in text.lower()).split()
+    out = set()
+    for i, w in enumerate(words):
+        chain = [x for x in words[i + 1 :] if x not in ANCHORS][:2]
+        if w in ANCHORS and len(chain) == 2:
+            out.add((w, *chain))
+    return out
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_fingerprints_equal_plain_spots(spark, tmp_path):
+    table = [(i, prose(40 + i, 60) + ".", "en", "s") for i in range(25)] + [(30, prose(40, 60) + ".", "en", "s"), (31, None, None, None), (32, "", None, None)]
+    got = {r["doc_id"]: r for r in QUERIES["op5_fingerprints"](spark, save(documents(spark, table, extra=True), tmp_path)).collect()}
+    table = sorted(table, key=lambda r: -r[0])
+    for k, (i, text, *_) in enumerate(table):
+        following = table[(k + 1) % len(table)][1] or ""
+        text = text or ""
+        moved = len(text) // 3
+        edited = text[: len(text) - moved] + following[:moved]
+        r = got[i]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        if plain_spots(text) and plain_spots(edited) and plain_spots(following):
+            assert len(r["fingerprint"].split()) == len(plain_spots(text))
+            assert r["near_edited"] == pytest.approx(likeness(plain_spots(text), plain_spots(edited)))
+            assert r["near_next"] == pytest.approx(likeness(plain_spots(text), plain_spots(following)))
+    assert got[30]["fingerprint"] == got[0]["fingerprint"] and got[31]["fingerprint"] == got[32]["fingerprint"] == ""
+
+
+def test_fingerprints_of_awkward_rows(spark, tmp_path):
+    got = QUERIES["op5_fingerprints"](spark, save(documents(spark, extra=True), tmp_path)).collect()
+    assert len(got) == len(awkward_rows())
+    by_text = {}
+    text = {r[0]: r[1] for r in awkward_rows()}
+    for r in got:
+        by_text.setdefault(text[r["doc_id"]] or "", set()).add(r["fingerprint"])
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+    assert all(len(x) == 1 for x in by_text.values())
+    assert QUERIES["op5_fingerprints"](spark, save(empty(spark), tmp_path)).collect() == []
+    one = QUERIES["op5_fingerprints"](spark, save(documents(spark, [(9, "the only text is here", "en", "s")]), tmp_path)).collect()
+    assert one[0]["near_next"] == 1.0
+
+
+def test_the_next_document_in_every_range(spark):
+    from foralytics.llm.spot_signatures import with_next
+
+    table = [(i * i, f"text {i}", "en", "s") for i in range(50)]
+    for parts in (1, 3, 8, 60):
+        got = {r["doc_id"]: r["next_text"] for r in with_next(documents(spark, table), parts).collect()}
+        assert got == {i * i: f"text {(i - 1) % 50}" for i in range(50)}
+
+
+def test_near_duplicates_equal_all_comparisons(spark):
+    table = [(i, prose(70 + i % 12, 150), "en", "s") for i in range(12)]
+    table += [(20 + i, t.replace("lorem", "l0rem", 3), "en", "s") for i, t, *_ in table]
+    docs = documents(spark, table)
+    queries = docs.where("doc_id % 4 = 0")
+    got = {(r[0], r[1]): r[2] for r in rows(near_duplicates(docs, queries, 0.6))}
+    want = {}
+    for i, a, *_ in table:
+        for j, b, *_ in table:
+            if i % 4 == 0 and i != j and likeness(plain_spots(a), plain_spots(b)) >= 0.6:
+                want[i, j] = likeness(plain_spots(a), plain_spots(b))
+    assert got == pytest.approx(want) and want
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body>
+<nav><ul><li><a href="/">Home</a></li><li>News</li></ul></nav><div class="cookie-notice">We use cookies</div>
+{open}<h1>{title}</h1><p><b>First &amp; {n}<br><p>Second  line&nbsp;here<i>s</i></p><div class="ad">Buy!</div>
+<form><p>Sign up</p></form><ul><li>item {n}</ul>{close}<div class="comments"><p>Nice page</p></div>
+<aside>More</aside><footer>&copy; Host</footer></body></html>"""
+
+
+def expected(title, n):
+    return f"{title}\nFirst & {n}\nSecond line heres\nitem {n}"
+
+
+@pytest.mark.parametrize("open_, close", [("<article>", "</article>"), ('<div class="story">', "</div>"), ("<main><div>", "</div></main>")])
+def test_main_texts(spark, open_, close):
+    table = [(k, f"http://h{k % 2}.example.org/{k}", PAGE.format(open=open_, close=close, title=f"Title {k}", n=k)) for k in range(8)]
+    table += [(90, None, None), (91, "http://h0.example.org/x", ""), (92, "odd", "no tags &lt;at&gt; all"), (92, "odd", "no tags &lt;at&gt; all")]
+    df = spark.createDataFrame(table, "page_id long, url string, html string")
+    got = rows(main_texts(df))
+    want = [(k, f"http://h{k % 2}.example.org/{k}", expected(f"Title {k}", k)) for k in range(8)]
+    want += [(90, None, ""), (91, "http://h0.example.org/x", ""), (92, "odd", "no tags <at> all"), (92, "odd", "no tags <at> all")]
+    assert got == sorted(want, key=repr)
+    assert main_texts(df.limit(0)).collect() == []
+
+
+def test_wrappers_have_slots_options_and_repeats():
+    a = of_page(parse("<body><h1>A</h1><p>x</p><p>y</p><div>same</div></body>"))
+    b = of_page(parse("<body><h1>B</h1><h2>sub</h2><p>x</p><div>same</div></body>"))
+    body = aligned(a, b).parts[0]
+    by_key = {p.key: p for p in body.parts}
+    assert by_key["h1"].text is None and by_key["div"].text == "4 same"
+    assert by_key["p"].repeated and by_key["h2"].optional and not by_key["h1"].optional
+    assert Node.unpacked(body.packed()) == body
+    groups = fold([Node(k) for k in "hp" * 3])
+    assert [g.key for g in groups] == ["h", "p"] and all(g.repeated for g in groups)
+
+
+def test_constant_texts_go_where_nothing_names_the_article(spark):
+    html = "<html><body><div>Welcome to this site</div><p>Story {0} begins</p><p>and {0} ends</p></body></html>"
+    df = spark.createDataFrame([(k, "http://x.org/", html.format(k)) for k in range(5)], "page_id long, url string, html string")
+    assert {r["text"] for r in main_texts(df).collect()} == {f"Story {k} begins\nand {k} ends" for k in range(5)}
+    wrapper = infer_wrappers(df.selectExpr("'x' as host", "html")).first()
+    assert '"same": ["20 Welcome to this site"]' in wrapper["rule"]
+
+
+def test_deep_pages_do_not_break():
+    page = "<html><body>" + "<div>" * 5000 + "deep" + "</div>" * 5000 + "</body></html>"
+    assert main_path(of_page(parse(page))) is not None
+
+
+def test_pages_query_on_given_pages(spark):
+    import html
+    import re
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    got = {r["page_id"]: r for r in QUERIES["op9_html_extraction"](spark, "/root/testdata/sf0.001").collect()}
+    for r in pages:
+        article = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        parts = [re.sub(r"<(?!/?(p|h1)\b)[^>]+>", "", x.replace("<br>", " ")) for x in re.split(r"</?(?:p|h1)>", article)]
+        want = "\n".join(x for x in (" ".join(html.unescape(p).split()) for p in parts) if x)
+        assert (got[r["page_id"]]["text"], got[r["page_id"]]["n_chars"]) == (want, len(want))
