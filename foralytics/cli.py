@@ -3,7 +3,7 @@
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +11,7 @@ from foralytics.functions.tags import tag_list
 from foralytics.functions.values import fixed_decimals
 from foralytics.operators.selection import lower_half
 from foralytics.plans import owners, posts, rankings, tags, trends, users, words
-from foralytics.schemas import POSTS, PREGUNTAS, RESPUESTAS, USERS
+from foralytics.schemas import COMMENTS, POST_COLUMNS, POSTS, PREGUNTAS, RESPUESTAS, TAGS, USER_COLUMNS, USERS
 from foralytics.session import job_session
 from foralytics.sinks import files
 from foralytics.sources import csv, parquet, text
@@ -19,7 +19,7 @@ from foralytics.sources import csv, parquet, text
 
 def _posts(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.format == "parquet":
-        return parquet.read_table(spark, args.posts)
+        return parquet.read_columns(spark, args.posts, POST_COLUMNS)
     return csv.read_posts_csv(spark, args.posts, multi_line=args.multi_line, strict=args.strict)
 
 
@@ -33,18 +33,23 @@ def _preguntas(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
     """Answers per question and owner and year per question, as gzip Parquet."""
-    table = parquet.read_table(spark, args.posts)
+    table = parquet.read_columns(spark, args.posts, POST_COLUMNS)
     outputs = (
         (posts.answers_score(table), args.respuestas, RESPUESTAS),
         (posts.question_year(table), args.preguntas, PREGUNTAS),
     )
     for frame, path, schema in outputs:
         frame = frame.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        files.write_gzip_parquet(frame, path)
+        partitions = files.write_gzip_parquet(frame, path)
         if args.report:
-            before = files.partition_report(frame).count()
-            after = files.file_report(spark, path).count()
-            print(f"{path}: {before} partitions and {after} files with rows")
+            found = files.written_files(spark, path)
+            print(f"{path}: {partitions} partitions with rows, {len(found)} files")
+
+
+def _write_by_user(report: DataFrame, args: argparse.Namespace, order: list[Column]) -> None:
+    """The id orders users of one name and is not written."""
+    shown = [c for c in report.columns if c != "UserId"]
+    files.write_report(report, args.output, order, shown, args.single_file)
 
 
 def user_years(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -52,12 +57,11 @@ def user_years(spark: SparkSession, args: argparse.Namespace) -> None:
     report = users.user_year_stats(
         _respuestas(spark, args),
         _preguntas(spark, args),
-        parquet.read_table(spark, args.users),
-        parquet.read_table(spark, args.comments),
+        parquet.read_columns(spark, args.users, USER_COLUMNS),
+        parquet.read_columns(spark, args.comments, COMMENTS),
     )
     report = report.withColumn("MediaRespuestas", fixed_decimals(F.col("MediaRespuestas"), 2))
-    order = [F.desc("MaxRespuestas"), F.asc("Usuario"), F.asc("Año")]
-    files.write_report(report, args.output, order)
+    _write_by_user(report, args, users.year_order())
 
 
 def tag_ranks(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -65,24 +69,24 @@ def tag_ranks(spark: SparkSession, args: argparse.Namespace) -> None:
     report = rankings.tag_year_rank(
         _respuestas(spark, args),
         _preguntas(spark, args),
-        parquet.read_table(spark, args.tags),
+        parquet.read_columns(spark, args.tags, TAGS),
         tag_list(args.wanted),
         args.ties,
     )
     order = [F.asc("Tag"), F.asc("Año"), F.desc("NRespuestas"), F.asc("QuestionId")]
-    files.write_report(report, args.output, order)
+    files.write_report(report, args.output, order, single_file=args.single_file)
 
 
 def user_tags(spark: SparkSession, args: argparse.Namespace) -> None:
     """Questions per user, tag and year with the yearly change, as CSV."""
     report = users.user_tag_year_diff(
         _preguntas(spark, args),
-        parquet.read_table(spark, args.tags),
-        parquet.read_table(spark, args.users),
+        parquet.read_columns(spark, args.tags, TAGS),
+        parquet.read_columns(spark, args.users, USER_COLUMNS),
         args.min_questions,
         args.calendar,
     )
-    files.write_report(report, args.output, [F.asc("Usuario"), F.asc("Tag"), F.asc("Año")])
+    _write_by_user(report, args, users.tag_order())
 
 
 def word_count(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -120,9 +124,12 @@ def year_tags(spark: SparkSession, args: argparse.Namespace) -> None:
 def question_owners(spark: SparkSession, args: argparse.Namespace) -> None:
     """Questions with reputation and name of their owner, from prefixed lines."""
     types = {f.name: f.dataType for f in USERS.fields}
-    columns = [c.strip() for c in args.user_columns.split(",")]
-    layout = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
-    owned = owners.question_owner_tagged(text.read_lines(spark, *args.inputs), POSTS, layout)
+    found = text.read_lines(spark, *args.inputs)
+    columns = args.user_columns.split(",") if args.user_columns else csv.header_of(found, csv.USER_PREFIX)
+    if not columns:
+        raise SystemExit("the user lines have no header: name their columns with --user-columns")
+    layout = T.StructType([T.StructField(c.strip(), types.get(c.strip(), T.StringType())) for c in columns])
+    owned = owners.question_owner_tagged(found, POSTS, layout)
     owners.owner_lines(owned).write.mode("overwrite").text(args.output)
 
 
@@ -139,6 +146,12 @@ def tag_trends(spark: SparkSession, args: argparse.Namespace) -> None:
     trends.trend_lines(trend).write.mode("overwrite").text(args.output)
 
 
+def convert(spark: SparkSession, args: argparse.Namespace) -> None:
+    """A CSV dump of posts as Parquet, once: the other jobs then split it over tasks."""
+    rows = csv.read_posts_csv(spark, args.posts, multi_line=args.multi_line, strict=args.strict)
+    rows.write.mode("overwrite").parquet(args.output)
+
+
 def lines(spark: SparkSession, args: argparse.Namespace) -> None:
     """Lines behind any URI with the file they come from, as Parquet."""
     found = text.read_lines(spark, *args.inputs, with_file=True)
@@ -186,10 +199,13 @@ def parser() -> argparse.ArgumentParser:
 
     command = job(extract, "posts", "respuestas", "preguntas")
     command.add_argument("--report", action="store_true", help="count partitions and files")
-    job(user_years, "respuestas", "preguntas", "users", "comments", "output")
+    command = job(user_years, "respuestas", "preguntas", "users", "comments", "output")
+    command.add_argument("--single-file", action="store_true", help="one file, written by one task")
     command = job(tag_ranks, "respuestas", "preguntas", "tags", "wanted", "output")
+    command.add_argument("--single-file", action="store_true", help="one file, written by one task")
     command.add_argument("--ties", choices=("rank", "dense_rank", "row_number"), default="rank")
     command = job(user_tags, "preguntas", "tags", "users", "output")
+    command.add_argument("--single-file", action="store_true", help="one file, written by one task")
     command.add_argument("--min-questions", type=int)
     command.add_argument("--calendar", action="store_true", help="compare with the calendar year before")
     command = job(word_count, "inputs", "output")
@@ -201,12 +217,15 @@ def parser() -> argparse.ArgumentParser:
     posts_job(answer_audit)
     posts_job(year_tags)
     command = job(question_owners, "inputs", "output")
-    command.add_argument("--user-columns", default=",".join(USERS.names))
+    command.add_argument("--user-columns", help="names of the user columns, if the lines have no header")
     command = posts_job(tag_pairs)
     command.add_argument("--min-count", type=int, default=1)
     command = posts_job(tag_trends)
     command.add_argument("--as-of", help="last complete month, yyyy-MM")
     command.add_argument("--periods", type=int, default=6)
+    command = job(convert, "posts", "output")
+    command.add_argument("--multi-line", action="store_true", help="quoted newlines in the CSV")
+    command.add_argument("--strict", action="store_true", help="drop records with any bad field")
     job(lines, "inputs", "output")
     command = job(half, "input", "output")
     command.add_argument("--order", required=True)

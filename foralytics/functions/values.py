@@ -39,16 +39,12 @@ def fixed_decimals(value: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", F.round(value, digits))
 
 
-def clean_long(text: Column) -> Column:
-    """Stripped integer, NULL when the text is not a number."""
-    return F.trim(text).try_cast("bigint")
-
-
 def bucket_of(key: Column, buckets: int) -> Column:
     """Hash bucket of a key, 0 to ``buckets - 1``."""
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def pair_text(*parts: Column) -> Column:
-    """Composite key or value as text: ``(a,b)``."""
-    return F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")"))
+    """Composite key or value as text: ``(a,b)``; a NULL part is empty and keeps its comma."""
+    texts = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
+    return F.concat(F.lit("("), F.concat_ws(",", *texts), F.lit(")"))

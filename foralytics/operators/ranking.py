@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from foralytics.functions.values import bucket_of, or_zero
 
-# Values of an id slice; a slice of one group holds at most this many rows.
-ID_SLICE = 1 << 20
+# Rows that one slice of a group's ids holds, about.
+SLICE_ROWS = 1 << 20
 
 
 def total_order(df: DataFrame, measure: str, tie_break: str) -> DataFrame:
@@ -51,14 +51,15 @@ def rank_in_group(
     tie_break: str,
     ties: str = "rank",
     out: str = "rank",
-    id_slice: int = ID_SLICE,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Position of each row in its group, largest measure first.
 
     ``ties`` is ``rank``, ``dense_rank`` or ``row_number``, as in the window
     functions of these names; ``row_number`` breaks ties by the integer
-    ``tie_break``, which must be unique within a group.  It sorts at most
-    ``id_slice`` consecutive ids at a time: for ids with large gaps, widen it.
+    ``tie_break``, which must be unique within a group.  The ids of a group, from
+    its least to its greatest, are cut into as many slices as hold about
+    ``slice_rows`` rows each, and a slice is sorted at a time.
 
     A window over the rows would sort a hot group in one task.  Instead the rows
     are counted per distinct measure, the window runs over these few counts, and
@@ -69,8 +70,11 @@ def rank_in_group(
     keys = [*groups, measure]
     order: list[Column] = [F.desc(measure)]
     if ties == "row_number":
-        # Equal measures are numbered slice by slice of the id range.
-        df = df.withColumn("_slice", F.floor(F.col(tie_break) / F.lit(id_slice)))
+        # Equal measures are numbered slice by slice of the group's id range.
+        df = df.join(_slice_widths(df, groups, tie_break, slice_rows), [F.col(g).eqNullSafe(F.col(f"_{g}_")) for g in groups])
+        place_in_range = F.col(tie_break).cast("decimal(20,0)") - F.col("_least")
+        df = df.withColumn("_slice", F.call_function("div", place_in_range, F.col("_width")))
+        df = df.drop("_least", "_width", *[f"_{g}_" for g in groups])
         keys.append("_slice")
         order.append(F.asc("_slice"))
     by_group = W.partitionBy(*groups).orderBy(*order)
@@ -91,3 +95,14 @@ def rank_in_group(
     return df.join(places, same).select(
         *[c for c in df.columns if c not in ("_slice", "_within")], rank.alias(out)
     )
+
+
+def _slice_widths(df: DataFrame, groups: Sequence[str], tie_break: str, slice_rows: int) -> DataFrame:
+    """Least id and ids of a slice for every group; the ids' distance may not fit a bigint."""
+    number = F.col(tie_break).cast("decimal(20,0)")
+    spread = F.max(number) - F.min(number) + 1
+    slices = F.ceil(F.count(F.lit(1)) / slice_rows).cast("decimal(20,0)")
+    width = F.call_function("div", spread + slices - 1, slices).cast("decimal(20,0)")
+    return df.groupBy(*[F.col(g).alias(f"_{g}_") for g in groups]).agg(
+        F.min(number).alias("_least"), F.greatest(width, F.lit(1).cast("decimal(20,0)")).alias("_width")
+    )

@@ -1,25 +1,57 @@
 """Halves of an ordered table, found without sorting or moving its rows."""
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Histogram cells per pass; the driver never sees more rows than this.
 CELLS = 4096
 
 
+def as_number(df: DataFrame, name: str) -> Column:
+    """The column as a bigint of the same order: a date in days, a timestamp in microseconds."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.col(name).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.TimestampNTZType):
+        # No time zone may come in: days, whole minutes and the seconds of the minute.
+        minutes = (F.unix_date(F.col(name).cast("date")).cast("bigint") * 24 + F.hour(name)) * 60 + F.minute(name)
+        return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), name) * 1_000_000).cast("bigint")
+    raise ValueError(f"column {name} of type {kind.simpleString()} cannot order a half: integers, dates and timestamps can")
+
+
+def as_value(df: DataFrame, name: str, number: int) -> Column:
+    """The literal of the column's type that :func:`as_number` gave ``number`` for."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(F.lit(number).cast("int"))
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(number).cast("bigint"))
+    if isinstance(kind, T.TimestampNTZType):
+        moment = datetime(1970, 1, 1) + timedelta(microseconds=number)
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(number).cast(kind)
+
+
 def lower_half(df: DataFrame, order: Sequence[str], cells: int = CELLS) -> DataFrame:
     """Rows at 0-based positions floor(n / 2) and up of the ordered table.
 
-    ``order`` names non-NULL integer columns that together identify a row.  The
+    ``order`` names non-NULL columns of integers, dates or timestamps that together
+    identify a row; other types are refused before any job runs.  The
     row at the cut is found by counting the key in ever finer histograms, each a
     scan of the key columns and a small aggregate; the half itself is then a
     plain filter, which reaches the file scan.  ``df`` is read once per histogram,
     so a costly plan should be written to a table first.
     """
-    keys = df.select(*order)
+    keys = df.select(*[as_number(df, name).alias(name) for name in order])
     n = keys.count()
     if n == 0:
         return df
@@ -31,7 +63,7 @@ def lower_half(df: DataFrame, order: Sequence[str], cells: int = CELLS) -> DataF
         cut.append(value)
     if equal != 1:
         raise ValueError(f"columns {list(order)} do not identify a row")
-    return df.where(at_or_after(order, cut))
+    return df.where(at_or_after(order, [as_value(df, k, v) for k, v in zip(order, cut)]))
 
 
 def value_at(df: DataFrame, name: str, position: int, cells: int) -> tuple[int, int, int]:
@@ -68,7 +100,7 @@ def value_at(df: DataFrame, name: str, position: int, cells: int) -> tuple[int,
     return low, position, n
 
 
-def at_or_after(order: Sequence[str], cut: Sequence[int]) -> Column:
+def at_or_after(order: Sequence[str], cut: Sequence[Column]) -> Column:
     """Lexicographic ``(order) >= (cut)``."""
     alternatives = []
     for i, name in enumerate(order):

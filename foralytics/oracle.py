@@ -137,11 +137,13 @@ ORACLE: dict[str, str] = {
         half / CAST(2 AS DOUBLE) AS activity FROM activity""",
     "tag_delta": ACTIVITY_ALL + """ SELECT tag, strftime(month, '%Y-%m') AS month,
         half / CAST(2 AS DOUBLE) AS delta FROM recent""",
-    "tag_recent_deltas": ACTIVITY_AS_OF + """ SELECT tag, strftime(month, '%Y-%m') AS month,
+    "tag_recent_deltas": ACTIVITY_ALL + """ SELECT tag, strftime(month, '%Y-%m') AS month,
         half / CAST(2 AS DOUBLE) AS delta FROM recent WHERE place <= 6""",
-    "tag_trend": ACTIVITY_AS_OF + f""" SELECT tag, {TREND} AS trend, round(mean, 1) AS mean_delta, months
+    "tag_trend": ACTIVITY_ALL + f""" SELECT tag, {TREND} AS trend, round(mean, 1) AS mean_delta, months
         FROM means""",
-    "tag_trend_lines": ACTIVITY_AS_OF + f""" SELECT concat_ws(chr(9), tag, {TREND},
+    "tag_trend_as_of": ACTIVITY_AS_OF + f""" SELECT tag, {TREND} AS trend, round(mean, 1) AS mean_delta, months
+        FROM means""",
+    "tag_trend_lines": ACTIVITY_ALL + f""" SELECT concat_ws(chr(9), tag, {TREND},
         printf('%.1f', round(mean, 1) + 0.0), months) AS value FROM means""",
     "comment_counts": FORUM + """ SELECT post AS "QuestionId", count(*) AS "NComentarios"
         FROM comments GROUP BY post""",
@@ -156,28 +158,46 @@ ORACLE: dict[str, str] = {
         OFFSET (SELECT count(*) // 2 FROM orders)""",
     "ordered_half_tied": """SELECT * FROM orders ORDER BY o_custkey, o_orderkey
         OFFSET (SELECT count(*) // 2 FROM orders)""",
+    "ordered_half_dates": """SELECT * FROM orders ORDER BY o_orderdate, o_orderkey
+        OFFSET (SELECT count(*) // 2 FROM orders)""",
+    "posts_csv_bodies": FORUM + """ SELECT q.id AS "Id", 1 AS "PostTypeId", CAST(NULL AS BIGINT) AS "ParentId",
+          CAST(NULL AS BIGINT) AS "Score", d.text AS "Body"
+        FROM questions q LEFT JOIN documents d ON q.id = d.doc_id
+        UNION ALL SELECT NULL, 2, parent, score, NULL FROM answers""",
+    "answer_counts_bodies": COUNTS,
     "posts_csv": FORUM + """ SELECT q.id AS "Id", 1 AS "PostTypeId", CAST(NULL AS BIGINT) AS "ParentId",
           owner AS "OwnerUserId", created AS "CreationDate", CAST(NULL AS BIGINT) AS "Score", tags AS "Tags"
         FROM questions q LEFT JOIN tag_strings t ON q.id = t.id
         UNION ALL SELECT NULL, 2, parent, NULL, created, score, NULL FROM answers""",
-    "posts_csv_strict": FORUM + """ SELECT q.id AS "Id", owner AS "OwnerUserId", created AS "CreationDate",
-        tags AS "Tags" FROM questions q LEFT JOIN tag_strings t ON q.id = t.id""",
     "users_csv": 'SELECT c_custkey AS "Id", c_name AS "DisplayName", c_acctbal AS "Reputation" FROM customer',
     "documents_csv": "SELECT * FROM documents",
     "extract_parquet": FORUM + """ SELECT q.id AS "QuestionId", owner AS "UserId",
         CAST(year(created) AS INTEGER) AS "Año", n AS "NRespuestas", score AS "ScoreTotal"
         FROM questions q JOIN counts c ON q.id = c.id""",
-    "file_report": """SELECT true AS one_file_per_partition, count(*) AS rows_in_partitions,
+    "file_report": """SELECT true AS one_file_per_partition, true AS no_more_files,
         count(*) AS rows_in_files FROM orders""",
     "report_csv": USER_STATS,
+    "report_csv_parts": USER_STATS,
     "table_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}" for name in TABLES
     ),
-    "first_posts": """SELECT o_orderkey AS "Id", o_custkey AS "OwnerUserId", o_orderdate AS "CreationDate"
-        FROM orders ORDER BY o_orderkey LIMIT 10""",
+    "first_posts": FORUM + """ SELECT created AS "CreationDate", kind AS "PostTypeId", id AS "Id",
+          parent AS "ParentId", score AS "Score" FROM (
+            SELECT created, 1 AS kind, id, CAST(NULL AS BIGINT) AS parent, CAST(NULL AS BIGINT) AS score FROM questions
+            UNION ALL SELECT created, 2, NULL, parent, score FROM answers)
+        ORDER BY created, kind, id NULLS FIRST, parent NULLS FIRST, score NULLS FIRST LIMIT 10""",
+    "post_sample": FORUM + f""", posts AS (
+          SELECT id, 1 AS kind, CAST(NULL AS BIGINT) AS parent, owner, created, CAST(NULL AS BIGINT) AS score FROM questions
+          UNION ALL SELECT NULL, 2, parent, NULL, created, score FROM answers
+        ) SELECT id AS "Id", kind AS "PostTypeId", parent AS "ParentId", owner AS "OwnerUserId",
+          created AS "CreationDate", score AS "Score" FROM posts
+        WHERE CAST('0x' || substr(md5('42:' || strftime(created, '%Y-%m-%d %H:%M:%S') || ',' || coalesce(id::VARCHAR, '') || ','
+          || coalesce(owner::VARCHAR, '') || ',' || coalesce(parent::VARCHAR, '') || ',' || kind || ','
+          || coalesce(score::VARCHAR, '')), 1, 8) AS BIGINT) < {int(0.1 * 2**32)}""",
     "post_sample_by_question": FORUM + f""", both_kinds AS (
           SELECT id, 1 AS kind, CAST(NULL AS BIGINT) AS score FROM questions
           UNION ALL SELECT parent, 2, score FROM answers
         ) SELECT id AS "QuestionId", kind AS "PostTypeId", score AS "Score" FROM both_kinds
         WHERE CAST('0x' || substr(md5('42:' || id), 1, 8) AS BIGINT) < {int(0.1 * 2**32)}""",
 }
+ORACLE["posts_csv_strict"] = ORACLE["posts_csv"]

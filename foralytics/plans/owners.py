@@ -8,7 +8,7 @@ from foralytics.functions.values import pair_text
 from foralytics.plans.posts import questions
 from foralytics.schemas import POSTS, USERS
 from foralytics.sinks.files import key_value_lines
-from foralytics.sources.csv import POST_PREFIX, USER_PREFIX, tagged_rows
+from foralytics.sources.csv import POST_KEY, POST_PREFIX, USER_PREFIX, tagged_rows
 
 
 def question_owner(posts: DataFrame, users: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def question_owner_tagged(
     The lines are routed by prefix into the two sides of the join, which unlike
     a group of both kinds does not hold all questions of an owner together.
     """
-    posts = tagged_rows(lines, POST_PREFIX, post_schema)
+    posts = tagged_rows(lines, POST_PREFIX, post_schema, POST_KEY)
     users = tagged_rows(lines, USER_PREFIX, user_schema)
     return question_owner(posts, users)
 

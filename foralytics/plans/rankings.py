@@ -24,5 +24,7 @@ def tag_year_rank(
         .join(respuestas.select("QuestionId", "NRespuestas"), "QuestionId")
         .select("Tag", "Año", "QuestionId", "NRespuestas")
     )
-    ranked = rank_in_group(rows, ["Tag", "Año"], "NRespuestas", "QuestionId", ties, out="Rango")
-    return ranked.orderBy("Tag", "Año", F.desc("NRespuestas"), "QuestionId")
+    # Ranking reads the rows more than once; from this exchange on they are shared.
+    # A question has few tags, so its key is never hot.
+    rows = rows.repartition("QuestionId", "Tag")
+    return rank_in_group(rows, ["Tag", "Año"], "NRespuestas", "QuestionId", ties, out="Rango")

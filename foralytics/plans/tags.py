@@ -49,4 +49,4 @@ def year_tag_lines(counts: DataFrame) -> DataFrame:
 
 def pair_lines(counts: DataFrame) -> DataFrame:
     """``tag1,tag2 <tab> count`` lines."""
-    return key_value_lines(counts, F.concat_ws(",", "tag1", "tag2"), F.col("count"))
+    return key_value_lines(counts, F.concat_ws(",", F.coalesce("tag1", F.lit("")), F.coalesce("tag2", F.lit(""))), F.col("count"))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from foralytics.functions.tags import parse_tags
 from foralytics.functions.values import fixed_decimals, month_start, trend_label, year_month
 from foralytics.operators.ranking import last_per_group
-from foralytics.plans.posts import answers, questions
+from foralytics.plans.posts import questions
+from foralytics.schemas import ANSWER, QUESTION
 from foralytics.sinks.files import key_value_lines
 
 
@@ -24,25 +25,28 @@ def _until(events: DataFrame, as_of: str | None) -> DataFrame:
 
 
 def _half_points(posts: DataFrame, as_of: str | None) -> DataFrame:
-    """``tag``, ``month`` (a date) and the activity in half points."""
-    month = month_start(F.col("CreationDate"))
-    asked = questions(posts)
-    question_events = _until(asked, as_of).select(
-        month.alias("month"), F.explode(parse_tags(F.col("Tags"))).alias("tag"), F.lit(2).alias("half")
-    )
-    # An answer counts for the tags of its question.  Answers are counted per
-    # question and month first, and the tags are split only after the join.
-    answered = (
-        _until(answers(posts), as_of)
-        .groupBy("ParentId", month.alias("month"))
-        .agg(F.count(F.lit(1)).alias("half"))
-    )
-    tagged = asked.select("Id", "Tags").where(F.col("Tags").isNotNull())
-    answer_events = answered.join(tagged, F.col("ParentId") == F.col("Id")).select(
-        "month", F.explode(parse_tags(F.col("Tags"))).alias("tag"), "half"
+    """``tag``, ``month`` (a date) and the activity in half points.
+
+    Questions and answers are counted per question and month in one pass over the
+    posts; these few rows take the tags of their question, split after the join.
+    """
+    asked = F.col("PostTypeId") == QUESTION
+    question = F.when(asked, F.col("Id")).when(F.col("PostTypeId") == ANSWER, F.col("ParentId"))
+    events = (
+        _until(posts, as_of)
+        .select(
+            question.alias("QuestionId"),
+            month_start(F.col("CreationDate")).alias("month"),
+            F.when(asked, 2).otherwise(1).alias("half"),
+        )
+        .where("QuestionId IS NOT NULL")
+        .groupBy("QuestionId", "month")
+        .agg(F.sum("half").alias("half"))
     )
+    tagged = questions(posts).select("Id", "Tags").where(F.col("Tags").isNotNull())
     return (
-        question_events.unionByName(answer_events)
+        events.join(tagged, F.col("QuestionId") == F.col("Id"))
+        .select("month", F.explode(parse_tags(F.col("Tags"))).alias("tag"), "half")
         .groupBy("tag", "month")
         .agg(F.sum("half").alias("half"))
     )

@@ -1,12 +1,22 @@
 """Yearly reports on users."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foralytics.functions.values import or_zero
 
 
+def year_order() -> list[Column]:
+    """Order of the yearly report, down to single rows."""
+    return [F.desc("MaxRespuestas"), F.asc("Usuario"), F.asc("Año"), F.asc("UserId")]
+
+
+def tag_order() -> list[Column]:
+    """Order of the report by tag, down to single rows."""
+    return [F.asc("Usuario"), F.asc("Tag"), F.asc("Año"), F.asc("UserId")]
+
+
 def comment_counts(comments: DataFrame) -> DataFrame:
     """Comments per post."""
     return comments.groupBy(F.col("PostId").alias("QuestionId")).agg(
@@ -25,7 +35,8 @@ def user_year_stats(
 
     Comments are counted per post before the join: joined raw they would repeat
     the questions.  The names are joined to the finished groups, so a user with
-    very many questions is a handful of rows by then.
+    very many questions is a handful of rows by then.  ``UserId`` tells users of
+    one name apart.
     """
     per_question = preguntas.join(respuestas, "QuestionId").join(
         comment_counts(comments), "QuestionId", "left"
@@ -37,18 +48,15 @@ def user_year_stats(
         F.max("NRespuestas").alias("MaxRespuestas"),
     )
     mean = F.round(F.col("TotalRespuestas") / F.col("NumPreguntas"), 2)
-    return (
-        stats.join(user_names(users), "UserId")
-        .orderBy(F.desc("MaxRespuestas"), "Usuario", "Año", "UserId")
-        .select(
-            "Usuario",
-            "Año",
-            "NumPreguntas",
-            "TotalRespuestas",
-            "TotalComentarios",
-            mean.alias("MediaRespuestas"),
-            "MaxRespuestas",
-        )
+    return stats.join(user_names(users), "UserId").select(
+        "Usuario",
+        "Año",
+        "NumPreguntas",
+        "TotalRespuestas",
+        "TotalComentarios",
+        mean.alias("MediaRespuestas"),
+        "MaxRespuestas",
+        "UserId",
     )
 
 
@@ -87,9 +95,6 @@ def user_tag_year_diff(
     if min_questions is not None:
         # Narrowing the users leaves the questions where they are.
         names = names.join(active_users(preguntas, min_questions), "UserId", "left_semi")
-    return (
-        counts.withColumn("Dif", change)
-        .join(names, "UserId")
-        .orderBy("Usuario", "Tag", "Año", "UserId")
-        .select("Usuario", "Tag", "Año", "NPreguntas", "Dif")
+    return counts.withColumn("Dif", change).join(names, "UserId").select(
+        "Usuario", "Tag", "Año", "NPreguntas", "Dif", "UserId"
     )

@@ -2,13 +2,13 @@
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foralytics.functions.text import words
-from foralytics.operators.mapreduce import chain, map_batches, reduce_by_key
 
 
 def word_count(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -25,24 +25,15 @@ _PYTHON_WORD = re.compile(r"\b[a-zA-Z\u00c0-\uffff]+\b")
 
 
 def word_count_udf(lines: DataFrame) -> DataFrame:
-    """The same count through a user-written mapper and combiner.
-
-    Both are local functions, so they travel to the workers by value.
-    """
-
-    def emit_words(batch: pd.DataFrame) -> pd.DataFrame:
-        found = Counter()
-        for text in batch["value"].dropna():
-            found.update(word.lower() for word in _PYTHON_WORD.findall(text))
-        return pd.DataFrame({"word": list(found.keys()), "count": list(found.values())})
-
-    def add_counts(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.groupby("word", as_index=False, sort=False)["count"].sum()
-
-    return chain(
-        lines.select("value"),
-        [
-            lambda df: map_batches(df, emit_words, "word string, count bigint"),
-            lambda df: reduce_by_key(df, ["word"], add_counts),
-        ],
-    )
+    """The same count with a user-written mapper; Spark sums up what it emits."""
+
+    def emit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = Counter()
+            for text in batch.column(0).to_pylist():
+                found.update(word.lower() for word in _PYTHON_WORD.findall(text or ""))
+            words_and_counts = [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(words_and_counts, names=["word", "count"])
+
+    emitted = lines.select("value").mapInArrow(emit_words, "word string, count bigint")
+    return emitted.groupBy("word").agg(F.sum("count").alias("count"))

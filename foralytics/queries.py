@@ -146,6 +146,11 @@ def ordered_half_tied(spark: SparkSession, sf: str) -> DataFrame:
     return lower_half(star_schema.table(spark, sf, "orders"), ["o_custkey", "o_orderkey"])
 
 
+def ordered_half_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordered by time, then by key."""
+    return lower_half(star_schema.table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])
+
+
 # Owners
 
 
@@ -205,10 +210,15 @@ def tag_delta(spark: SparkSession, sf: str) -> DataFrame:
 
 def tag_recent_deltas(spark: SparkSession, sf: str) -> DataFrame:
     """The deltas of the last six months of every tag."""
-    return last_per_group(trends.tag_delta(_tagged(spark, sf), AS_OF), ["tag"], "month", 6)
+    return last_per_group(trends.tag_delta(_tagged(spark, sf)), ["tag"], "month", 6)
 
 
 def tag_trend(spark: SparkSession, sf: str) -> DataFrame:
+    return trends.tag_trend(_tagged(spark, sf))
+
+
+def tag_trend_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The trend with the months after a last complete one left out, as the job's option does."""
     return trends.tag_trend(_tagged(spark, sf), AS_OF)
 
 
@@ -248,13 +258,13 @@ def user_year_stats(spark: SparkSession, sf: str) -> DataFrame:
         _preguntas(spark, sf),
         star_schema.users(spark, sf),
         star_schema.comments(spark, sf),
-    )
+    ).drop("UserId")
 
 
 def _user_tags(spark: SparkSession, sf: str, **how) -> DataFrame:
     return users.user_tag_year_diff(
         _preguntas(spark, sf), star_schema.tags(spark, sf), star_schema.users(spark, sf), **how
-    )
+    ).drop("UserId")
 
 
 def user_tag_year_diff(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,11 +292,30 @@ def posts_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def posts_csv_strict(spark: SparkSession, sf: str) -> DataFrame:
-    """Questions of the dump, read with every field of every line checked."""
+    """The whole dump, read with every field of every line checked."""
     path = scratch_path(spark, "posts-csv")
     csv.write_csv_table(csv.in_layout(_tagged(spark, sf), POSTS), path)
-    rows = csv.read_posts_csv(spark, path, strict=True)
-    return posts.questions(rows).select("Id", "OwnerUserId", "CreationDate", "Tags")
+    return csv.read_posts_csv(spark, path, strict=True).select(
+        "Id", "PostTypeId", "ParentId", "OwnerUserId", "CreationDate", "Score", "Tags"
+    )
+
+
+def _dump_with_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """A dump whose questions have the documents as bodies, with quotes, commas and newlines."""
+    path = scratch_path(spark, "posts-bodies")
+    bodies = star_schema.table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), F.col("text").alias("Body"))
+    table = star_schema.posts(spark, sf).join(bodies, "Id", "left")
+    csv.write_csv_table(csv.in_layout(table, POSTS), path)
+    return csv.read_posts_csv(spark, path, multi_line=True)
+
+
+def posts_csv_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    return _dump_with_bodies(spark, sf).select("Id", "PostTypeId", "ParentId", "Score", "Body")
+
+
+def answer_counts_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers per question out of that dump."""
+    return posts.answer_counts(_dump_with_bodies(spark, sf))
 
 
 def users_csv(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,26 +346,40 @@ def extract_parquet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def file_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Non-empty partitions before and files after writing hash partitions."""
+    """Partitions with rows, counted while hash partitions are written, and the files there are.
+
+    The key is the year, so that most partitions stay empty.
+    """
     path = scratch_path(spark, "files")
-    placed = _preguntas(spark, sf).repartition(_partitions(spark), "QuestionId")
-    files.write_gzip_parquet(placed, path)
-    before = files.partition_report(placed).select(F.col("n_rows").alias("before"), F.lit(None).alias("after"))
-    after = files.file_report(spark, path).select(F.lit(None).alias("before"), F.col("n_rows").alias("after"))
-    return before.unionByName(after).agg(
-        (F.count("before") == F.count("after")).alias("one_file_per_partition"),
-        F.sum("before").alias("rows_in_partitions"),
-        F.sum("after").alias("rows_in_files"),
+    placed = _preguntas(spark, sf).repartition(_partitions(spark) + 100, "Año")
+    partitions = files.write_gzip_parquet(placed, path)
+    found = len(files.written_files(spark, path))
+    return files.file_report(spark, path).agg(
+        (F.count(F.lit(1)) == partitions).alias("one_file_per_partition"),
+        # An empty first partition leaves a file without rows.
+        (F.lit(found) - F.count(F.lit(1)) <= 1).alias("no_more_files"),
+        F.sum("n_rows").alias("rows_in_files"),
     )
 
 
+def _report(spark: SparkSession, sf: str, single_file: bool) -> DataFrame:
+    path = scratch_path(spark, "report")
+    report = users.user_year_stats(
+        _respuestas(spark, sf), _preguntas(spark, sf), star_schema.users(spark, sf), star_schema.comments(spark, sf)
+    )
+    shown = [c for c in report.columns if c != "UserId"]
+    files.write_report(report, path, users.year_order(), shown, single_file)
+    return csv.read_csv_table(spark, path, report.select(*shown).schema, ["NumPreguntas"])
+
+
 def report_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The yearly user report written as one ordered CSV file and read back."""
-    path = scratch_path(spark, "report")
-    report = user_year_stats(spark, sf)
-    order = [F.desc("MaxRespuestas"), F.asc("Usuario"), F.asc("Año")]
-    files.write_report(report, path, order)
-    return csv.read_csv_table(spark, path, report.schema, ["NumPreguntas"])
+    return _report(spark, sf, single_file=True)
+
+
+def report_csv_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same report as ordered part files."""
+    return _report(spark, sf, single_file=False)
 
 
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -344,9 +387,9 @@ def table_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_posts(spark: SparkSession, sf: str) -> DataFrame:
-    return parquet.first_rows(star_schema.questions(spark, sf), ["Id"]).select(
-        "Id", "OwnerUserId", "CreationDate"
-    )
+    """The first rows of the posts in the order of all of their columns."""
+    order = ["CreationDate", "PostTypeId", "Id", "ParentId", "Score"]
+    return parquet.first_rows(star_schema.posts(spark, sf), order).select(*order)
 
 
 def post_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,6 +436,7 @@ QUERIES: dict[str, Query] = {
         tag_delta,
         tag_recent_deltas,
         tag_trend,
+        tag_trend_as_of,
         tag_trend_lines,
         comment_counts,
         user_year_stats,
@@ -404,13 +448,17 @@ QUERIES: dict[str, Query] = {
         user_tag_year_diff_min10,
         ordered_half,
         ordered_half_tied,
+        ordered_half_dates,
         posts_csv,
         posts_csv_strict,
+        posts_csv_bodies,
+        answer_counts_bodies,
         users_csv,
         documents_csv,
         extract_parquet,
         file_report,
         report_csv,
+        report_csv_parts,
         table_counts,
         first_posts,
         post_sample,

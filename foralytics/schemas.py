@@ -56,9 +56,41 @@ PREGUNTAS = T.StructType(
     ]
 )
 
+# What the jobs read of the tables that come as Parquet.
+POST_COLUMNS = T.StructType(
+    [POSTS[name] for name in ("Id", "PostTypeId", "ParentId", "OwnerUserId", "CreationDate", "Score")]
+)
+USER_COLUMNS = T.StructType([USERS["Id"], USERS["DisplayName"]])
+COMMENTS = T.StructType([T.StructField("PostId", T.LongType())])
+TAGS = T.StructType([T.StructField("Id", T.LongType()), T.StructField("TagName", T.StringType())])
+
 QUESTION = 1
 ANSWER = 2
 
+# Types of one family hold the same values to the analyses.
+FAMILIES = (
+    (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
+    (T.DateType, T.TimestampType, T.TimestampNTZType),
+)
+
+
+def check_layout(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """Fail before any job runs when a column is missing or of another family of types."""
+
+    def fits(actual: T.DataType | None, wanted: T.DataType) -> bool:
+        return any(isinstance(actual, f) and isinstance(wanted, f) for f in FAMILIES) or actual == wanted
+
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [
+        f"{f.name}: expected {f.dataType.simpleString()}, "
+        f"found {actual[f.name].simpleString() if f.name in actual else 'nothing'}"
+        for f in expected.fields
+        if not fits(actual.get(f.name), f.dataType)
+    ]
+    if wrong:
+        raise ValueError("unexpected schema: " + "; ".join(wrong))
+    return df
+
 
 def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Fail before any job runs when a column is missing or has another type."""

@@ -2,44 +2,48 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from foralytics.scratch import stage
 from foralytics.sources.csv import WRITING
 
-# A report up to this size is put in one file; one task writes it in seconds.
-ONE_FILE_ROWS = 5_000_000
-
 OrderKey = str | Column
 
 
-def write_gzip_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "gzip").parquet(path)
+def write_gzip_parquet(df: DataFrame, path: str) -> int:
+    """Gzip Parquet; returns the number of partitions that had rows, counted during the write."""
+    seen = Observation()
+    # One number for each task.
+    placed = df.withColumn("_partition", F.spark_partition_id())
+    watched = placed.observe(seen, F.collect_set("_partition").alias("partitions")).drop("_partition")
+    watched.write.mode("overwrite").option("compression", "gzip").parquet(path)
+    return len(seen.get["partitions"])
 
 
 def write_report(
-    df: DataFrame, path: str, order: Sequence[OrderKey], one_file_rows: int = ONE_FILE_ROWS
-) -> int:
-    """Ordered, uncompressed CSV with a header; returns the number of rows.
+    df: DataFrame, path: str, order: Sequence[OrderKey], columns: Sequence[str] | None = None, single_file: bool = False
+) -> None:
+    """Ordered, uncompressed CSV with a header in every file.
 
-    The report is one file.  A result beyond ``one_file_rows`` is too much for a
-    single task: it becomes ordered part files, each with the header, whose
-    names follow the order of the rows.
+    The rows are sorted once: into part files whose names follow the order of
+    the rows, or with ``single_file`` into one file, which one task then sorts and
+    writes. ``columns`` are the ones written; ``order`` may use others.
     """
-    rows = stage(df, "report")
-    n = rows.count()
-    if n <= one_file_rows:
-        placed = rows.repartition(1).sortWithinPartitions(*order)
-    else:
-        placed = rows.orderBy(*order)
-    placed.write.mode("overwrite").options(header=True, compression="none", **WRITING).csv(path)
-    return n
+    placed = df.repartition(1).sortWithinPartitions(*order) if single_file else df.orderBy(*order)
+    report = placed.select(*columns) if columns else placed
+    report.write.mode("overwrite").options(header=True, compression="none", **WRITING).csv(path)
+
+
+def escaped(text: Column) -> Column:
+    """One line and one field: backslash, tab, newline and carriage return as backslash sequences."""
+    for raw, sign in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(raw), F.lit(sign))
+    return text
 
 
 def key_value_lines(df: DataFrame, *fields: Column) -> DataFrame:
-    """Tab-separated text lines, one per row; a NULL field is left empty."""
-    texts = [F.coalesce(f.cast("string"), F.lit("")) for f in fields]
+    """Tab-separated text lines, one per row; a NULL field is left empty, others are escaped."""
+    texts = [F.coalesce(escaped(f.cast("string")), F.lit("")) for f in fields]
     return df.select(F.concat_ws("\t", *texts).alias("value"))
 
 
@@ -67,6 +71,14 @@ def partition_report(df: DataFrame) -> DataFrame:
     )
 
 
+def written_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files under a path, with rows or without, from its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [status.getPath().getName() for status in found]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
 def file_report(spark: SparkSession, path: str) -> DataFrame:
     """Rows of every non-empty Parquet file under a path."""
     return (

@@ -1,9 +1,10 @@
 """CSV dumps of the forum tables.
 
-Quotes inside a field are doubled, fields are stripped, and the header row goes
-because its numeric columns do not parse.  A row is dropped only when a field the
-caller requires is missing or does not parse; ``strict`` drops every row with
-any bad field.
+Quotes inside a field are doubled and fields are stripped.  Every record is first read
+as texts and then typed, so nothing is lost without a word: a record is dropped
+only when it is the header, or when a field the caller requires is missing or does
+not parse; ``strict`` drops every record with any bad field.  Reading line by line
+fails on a line whose quotes are open at its end.
 """
 
 from collections.abc import Sequence
@@ -46,27 +47,48 @@ def read_csv_table(
     required: Sequence[str] = ("Id",),
     multi_line: bool = False,
     strict: bool = False,
+    header: bool = True,
 ) -> DataFrame:
-    """Rows of headed or headless CSV files with a positional schema.
+    """Records of CSV files with a positional schema.
 
-    By default every line is one record, so large files are split over tasks.
-    ``multi_line`` accepts newlines inside quoted fields, at the price of one
-    task per file: use it for dumps that come as many files.
+    By default every line is one record, so large files are split over tasks; a
+    newline inside quotes is an error then. ``multi_line`` accepts it, at the price
+    of one task per file: convert such a dump once. With ``header``, records whose
+    first field is the name of the first column are headers, in any file or in none.
+    ``strict`` drops records with too few or too many fields or any that does not parse.
     """
-    if strict and multi_line:
-        raise ValueError("strict reading works line by line")
-    if strict:
-        return require(strict_rows(spark.read.text(paths), schema), required)
-    reader = spark.read.schema(schema).options(**DIALECT, multiLine=multi_line)
-    return require(reader.csv(paths), required)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())])
+    if multi_line:
+        reader = spark.read.schema(texts).options(**DIALECT, multiLine=True, columnNameOfCorruptRecord=CORRUPT)
+        rows = reader.csv(paths)
+    else:
+        rows = line_records(spark.read.text(paths), texts)
+    if header:
+        first = schema.fields[0].name
+        rows = rows.where(F.coalesce(F.trim(first) != first, F.lit(True)))
+    return require(typed(rows, schema, strict), required)
+
+
+def line_records(lines: DataFrame, texts: T.StructType) -> DataFrame:
+    """Lines as records of texts; a line that ends inside quotes fails the job."""
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    whole = F.when(quotes % 2 == 0, value).otherwise(
+        F.raise_error(F.concat(F.lit("a CSV record goes on after its line, read it with --multi-line: "), F.substring(value, 1, 200)))
+    )
+    row = parse_csv(whole, texts, columnNameOfCorruptRecord=CORRUPT)
+    return lines.where(F.length(F.trim(value)) > 0).select(row.alias("row")).select("row.*")
 
 
-def strict_rows(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows whose line has exactly the schema's fields, all of them parsable."""
-    checked = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    row = parse_csv(F.col("value"), checked, columnNameOfCorruptRecord=CORRUPT)
-    rows = lines.select(row.alias("row")).select("row.*")
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def typed(rows: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """Texts in the types of the schema; what does not parse is NULL, or with ``strict`` drops its record."""
+    values = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    if strict:
+        good = F.col(CORRUPT).isNull()
+        for name, value in values.items():
+            good &= value.isNotNull() | F.col(name).isNull() | (F.col(name) == "")
+        rows = rows.where(good)
+    return rows.select(*[value.alias(name) for name, value in values.items()])
 
 
 def parse_csv(line: Column, schema: T.StructType, **options: str) -> Column:
@@ -75,21 +97,27 @@ def parse_csv(line: Column, schema: T.StructType, **options: str) -> Column:
     return F.from_csv(line, ddl, {**DIALECT, **options})
 
 
+# A post is any record of a known type, also an answer without an id of its own.
+POST_KEY = ("PostTypeId",)
+
+
 def read_posts_csv(
-    spark: SparkSession, paths: str | list[str], required: Sequence[str] = ("PostTypeId",), **how: bool
+    spark: SparkSession, paths: str | list[str], required: Sequence[str] = POST_KEY, **how: bool
 ) -> DataFrame:
     return read_csv_table(spark, paths, POSTS, required, **how)
 
 
 def read_users_csv(
-    spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None
+    spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Users, picked by header name, or by position when ``schema`` is given."""
     if schema is not None:
-        return read_csv_table(spark, paths, schema).select(*USERS.names)
-    rows = spark.read.options(**DIALECT, header=True, inferSchema=False).csv(paths)
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in USERS.fields]
-    return require(rows.select(*typed), ["Id"])
+        return read_csv_table(spark, paths, schema, multi_line=multi_line).select(*USERS.names)
+    # Only the first record is read for the names.
+    names = spark.read.options(**DIALECT, header=True, inferSchema=False, multiLine=multi_line).csv(paths).columns
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    rows = read_csv_table(spark, paths, texts, required=(), multi_line=multi_line)
+    return require(typed(rows, USERS), ["Id"])
 
 
 # The prefixes that tell the sources of a mixed file apart.
@@ -103,6 +131,13 @@ def tagged_lines(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(F.concat(F.lit(prefix), line).alias("value"))
 
 
+def header_of(lines: DataFrame, prefix: str, first: str = "Id") -> list[str] | None:
+    """Column names of a source, from its header line if it has one."""
+    start = F.col("value").startswith(f"{prefix}{first},")
+    found = lines.where(start).select("value").first()
+    return [c.strip().strip('"') for c in found["value"][len(prefix) :].split(",")] if found else None
+
+
 def tagged_rows(
     lines: DataFrame, prefix: str, schema: T.StructType, required: Sequence[str] = ("Id",)
 ) -> DataFrame:

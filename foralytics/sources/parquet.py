@@ -2,11 +2,11 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foralytics.schemas import check_schema
+from foralytics.schemas import check_layout, check_schema
 
 
 def read_table(
@@ -17,9 +17,26 @@ def read_table(
     return df if expected is None else check_schema(df, expected)
 
 
+def read_columns(spark: SparkSession, path: str, needed: T.StructType) -> DataFrame:
+    """A Parquet table that has at least the ``needed`` columns, in like types."""
+    return check_layout(spark.read.parquet(path), needed)
+
+
+def drawn(key: Column, fraction: float, seed: int) -> Column:
+    """Whether the text of a key falls into the sample."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < int(fraction * 2**32)
+
+
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """A random smaller version of a table for quick trials."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    """A smaller version of a table for quick trials.
+
+    The draw depends on the values of the row alone, in the order of the column
+    names, so repeating it on other partitions gives the same rows; equal rows
+    are drawn together.
+    """
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]
+    return df.where(drawn(F.concat_ws(",", *texts), fraction, seed))
 
 
 def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
@@ -28,9 +45,7 @@ def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 42) -> D
     The draw depends on the key alone, so tables sampled by the same key still
     join, and repeating it on other partitions gives the same rows.
     """
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
-    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return df.where(draw < int(fraction * 2**32))
+    return df.where(drawn(F.col(key).cast("string"), fraction, seed))
 
 
 def first_rows(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:

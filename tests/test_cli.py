@@ -22,7 +22,10 @@ def inputs(spark, tmp_path_factory):
     star_schema.documents(spark, SF_DIR).write.text(f"{root}/text")
     posts = csv.tagged_lines(csv.in_layout(table, POSTS), csv.POST_PREFIX)
     users = star_schema.users(spark, SF_DIR).withColumn("Reputation", F.col("Reputation").cast("bigint"))
-    posts.unionByName(csv.tagged_lines(users, csv.USER_PREFIX)).write.text(f"{root}/tagged")
+    both = posts.unionByName(csv.tagged_lines(users, csv.USER_PREFIX))
+    both.write.text(f"{root}/no_header")
+    header = spark.createDataFrame([("U|" + ",".join(users.columns),)], "value string")
+    both.unionByName(header).write.text(f"{root}/tagged")
     return root
 
 
@@ -48,13 +51,13 @@ def test_extract(spark, extracted, capsys):
 def test_reports(extracted, tmp_path):
     root, out = extracted, str(tmp_path)
     e1 = [f"{root}/respuestas", f"{root}/preguntas"]
-    cli.main(["user-years", *e1, f"{root}/users", f"{root}/comments", f"{out}/years"])
+    cli.main(["user-years", *e1, f"{root}/users", f"{root}/comments", f"{out}/years", "--single-file"])
     years = lines(f"{out}/years")
     assert years[0] == "Usuario,Año,NumPreguntas,TotalRespuestas,TotalComentarios,MediaRespuestas,MaxRespuestas"
     most = [int(l.rsplit(",", 1)[1]) for l in years[1:]]
     assert most == sorted(most, reverse=True)
     assert all(len(l.split(",")[5].split(".")[1]) == 2 for l in years[1:])
-    cli.main(["tag-ranks", *e1, f"{root}/tags", "Brand#1, Brand#2", f"{out}/ranks", "--ties", "row_number"])
+    cli.main(["tag-ranks", *e1, f"{root}/tags", "Brand#1, Brand#2", f"{out}/ranks", "--ties", "row_number", "--single-file"])
     ranks = lines(f"{out}/ranks")
     assert ranks[0] == "Tag,Año,QuestionId,NRespuestas,Rango"
     assert {l.split(",")[0] for l in ranks[1:]} == {"Brand#1", "Brand#2"}
@@ -74,6 +77,9 @@ def test_posts_jobs(inputs, tmp_path):
     assert lines(f"{out}/top") == ordered[:20]
     cli.main(["answer-counts", f"{inputs}/posts", f"{out}/parquet", "--format", "parquet"])
     assert sorted(lines(f"{out}/parquet")) == sorted(ordered)
+    cli.main(["convert", root, f"{out}/converted", "--multi-line"])
+    cli.main(["answer-counts", f"{out}/converted", f"{out}/again", "--format", "parquet"])
+    assert sorted(lines(f"{out}/again")) == sorted(ordered)
     cli.main(["year-tags", root, f"{out}/years"])
     assert lines(f"{out}/years")[0].startswith("(1995,Brand#1)\t")
     cli.main(["tag-pairs", root, f"{out}/pairs", "--strict"])
@@ -93,6 +99,10 @@ def test_text_jobs(spark, inputs, tmp_path):
     cli.main(["question-owners", f"{inputs}/tagged", f"{out}/owners"])
     owned = lines(f"{out}/owners")
     assert len(owned) == 1500 and owned[0].split("\t")[1].startswith("(")
+    cli.main(["question-owners", f"{inputs}/no_header", f"{out}/named", "--user-columns", "Id,DisplayName,Reputation"])
+    assert sorted(lines(f"{out}/named")) == sorted(owned)
+    with pytest.raises(SystemExit):
+        cli.main(["question-owners", f"{inputs}/no_header", f"{out}/none"])
     cli.main(["lines", f"{inputs}/text", f"{out}/lines"])
     assert spark.read.parquet(f"{out}/lines").columns == ["file", "value"]
 

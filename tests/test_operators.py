@@ -1,12 +1,9 @@
 import random
-from collections import Counter
+from datetime import datetime
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from foralytics.operators import mapreduce
-from foralytics.operators.mapreduce import chain, map_batches, reduce_by_key
 from foralytics.operators.selection import lower_half
 from helpers import plan, unordered
 
@@ -44,31 +41,17 @@ def test_half_is_a_filter_on_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,50)]" in text
 
 
-@pytest.mark.parametrize("held", [10, 500_000])
-def test_reduce_by_key_with_a_hot_key(spark, monkeypatch, held):
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.groupby(["k", "g"], as_index=False, sort=False)["n"].sum()
+def test_half_by_date_and_time(spark):
+    draw = random.Random(5)
+    days = [(datetime(1950 + i % 90, 1 + i % 12, 1 + i % 28, i % 24, i % 60, i % 60, draw.randrange(10**6)), i) for i in range(301)]
+    for kind in ("timestamp", "timestamp_ntz", "date"):
+        df = spark.createDataFrame(days, "t timestamp_ntz, i int").select(F.col("t").cast(kind).alias("t"), "i").repartition(4)
+        every = sorted((tuple(r) for r in df.collect()))
+        assert sorted(tuple(r) for r in lower_half(df, ["t", "i"]).collect()) == every[150:]
 
-    monkeypatch.setattr(mapreduce, "HELD_ROWS", held)
-    data = [("hot" if i % 3 == 0 else f"k{i % 50}", i % 2, i) for i in range(1200)]
-    expected = Counter()
-    for k, g, n in data:
-        expected[k, g] += n
-    df = spark.createDataFrame(data, "k string, g int, n bigint").repartition(8)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        got = unordered(reduce_by_key(df, ["k", "g"], add, shares=4))
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert got == sorted(((k, g, n) for (k, g), n in expected.items()), key=repr)
 
-
-def test_map_batches_and_steps(spark):
-    def repeat(batch: pd.DataFrame) -> pd.DataFrame:
-        return batch.loc[batch.index.repeat(batch["id"])]
-
-    steps = [
-        lambda df: map_batches(df, repeat, "id bigint"),
-        lambda df: df.groupBy("id").agg(F.count(F.lit(1)).alias("n")),
-    ]
-    assert unordered(chain(spark.range(4), steps)) == [(1, 1), (2, 2), (3, 3)]
+def test_half_refuses_other_types_before_any_job(spark):
+    df = spark.createDataFrame([(1.5, "1"), (2.5, "9")], "d double, s string")
+    for name in ("d", "s"):
+        with pytest.raises(ValueError, match="cannot order a half"):
+            lower_half(df, [name])

@@ -35,9 +35,8 @@ def test_same_result_as_oracle(spark, duck, name):
     )
 
 
-def test_only_the_random_sample_has_no_oracle():
-    assert set(QUERIES) - set(ORACLE) == {"post_sample"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):

@@ -6,7 +6,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from foralytics.queries import QUERIES
 from foralytics.plans import owners, posts as p, rankings, tags as tag_plans, trends, users as u
 from helpers import final_plan, plan
 
@@ -28,10 +28,10 @@ def settings(spark, **conf):
             spark.conf.unset(k) if value is None else spark.conf.set(k, value)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        text = plan(contract.queries()[name](spark, SF_DIR))
+        text = plan(QUERIES[name](spark, SF_DIR))
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", text)
     if name != "word_count_udf":
         assert not re.search(PYTHON, text)
@@ -40,10 +40,10 @@ def test_plan_shape(spark, name):
 
 
 def test_scans_read_only_the_needed_columns(spark):
-    text = plan(contract.queries()["answer_counts"](spark, SF_DIR))
+    text = plan(QUERIES["answer_counts"](spark, SF_DIR))
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in text
     assert "EqualTo(l_returnflag,N)" in text
-    text = plan(contract.queries()["tag_year_rank"](spark, SF_DIR))
+    text = plan(QUERIES["tag_year_rank"](spark, SF_DIR))
     assert "In(p_brand, [Brand#1,Brand#2,Brand#3])" in text
 
 
@@ -140,9 +140,25 @@ def test_rank_never_windows_over_the_rows(spark):
     assert "sum(_n" in windows[0]
 
 
+def test_ranked_rows_are_joined_once(spark):
+    posts, _ = hot_forum(spark)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        ranked = rankings.tag_year_rank(
+            p.answers_score(posts), p.question_year(posts), tag_plans.question_tags(posts), ["b"]
+        )
+        text = plan(ranked)
+    assert "ReusedExchange" in text and text.count("SortMergeJoin") <= 5
+
+
+def test_activity_reads_the_posts_twice(spark):
+    posts, _ = hot_forum(spark)
+    text = plan(trends.tag_activity(posts))
+    assert text.count("Scan") <= 2 and text.count("Generate") == 1
+
+
 def test_answers_are_counted_before_the_tag_join(spark):
     posts, _ = hot_forum(spark)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         text = plan(trends.tag_activity(posts))
     join = text.index("SortMergeJoin")
-    assert "partial_count" in text[join:]
+    assert "partial_sum" in text[join:]

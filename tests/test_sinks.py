@@ -31,7 +31,7 @@ def order():
 def test_report_is_one_ordered_file(report, tmp_path):
     path = str(tmp_path / "out")
     for _ in range(2):
-        assert files.write_report(report, path, order()) == 200
+        files.write_report(report, path, order(), single_file=True)
     (file,) = parts(path, ".csv")
     lines = read(file)
     assert lines[0] == "Usuario,Año,n"
@@ -39,11 +39,23 @@ def test_report_is_one_ordered_file(report, tmp_path):
     assert [int(l.rsplit(",", 1)[1]) for l in lines[1:]] == list(range(199, -1, -1))
 
 
-def test_report_beyond_one_task_is_ordered_parts(spark, report, tmp_path):
+def test_a_hidden_column_orders_the_report(report, tmp_path):
+    files.write_report(report, str(tmp_path / "out"), order(), ["Usuario"], single_file=True)
+    (file,) = parts(str(tmp_path / "out"), ".csv")
+    assert read(file)[:2] == ["Usuario", '"u ""3"", x"']
+
+
+def test_report_is_sorted_once(report):
+    from helpers import plan
+
+    assert plan(report.orderBy(*order())).count("rangepartitioning") == 1
+
+
+def test_report_in_ordered_parts(spark, report, tmp_path):
     path = str(tmp_path / "out")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        assert files.write_report(report, path, order(), one_file_rows=50) == 200
+        files.write_report(report, path, order())
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     names = parts(path, ".csv")
@@ -70,19 +82,37 @@ def test_key_values_and_fixed_files(spark, tmp_path):
     assert everything == sorted(f"{i}\t{i * i}\t{'' if i == 3 else 'z'}" for i in range(40))
 
 
+def test_lines_hold_one_row_and_their_fields(spark):
+    df = spark.createDataFrame([("a\tb", "c\nd\r\\"), (None, "x")], "k string, v string")
+    found = [r.value for r in files.key_value_lines(df, F.col("k"), F.col("v")).collect()]
+    assert found == ["a\\tb\tc\\nd\\r\\\\", "\tx"]
+
+
+def test_empty_partitions_and_files_without_rows_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert files.write_gzip_parquet(spark.range(5).repartition(40, F.lit(1)), path) == 1
+    spark.range(0).write.mode("append").parquet(path)
+    # Spark writes a file without rows where the first partition is empty.
+    assert len(files.written_files(spark, path)) >= 2
+    assert files.file_report(spark, path).count() == 1
+
+
 def test_gzip_parquet_and_reports(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(300).repartition(3, "id")
-    files.write_gzip_parquet(df, path)
-    assert len(parts(path, ".gz.parquet")) == 3
+    assert files.write_gzip_parquet(df, path) == 3
+    assert len(parts(path, ".gz.parquet")) == len(files.written_files(spark, path)) == 3
     before, after = files.partition_report(df), files.file_report(spark, path)
     assert before.count() == after.count() == 3
     assert sorted(r.n_rows for r in before.collect()) == sorted(r.n_rows for r in after.collect())
 
 
 def test_stage_and_scratch(spark):
-    staged = scratch.stage(spark.range(5), "x")
+    path = scratch.scratch_path(spark, "x")
+    staged = scratch.stage(spark.range(5), "x", path)
     assert unordered(staged) == [(i,) for i in range(5)]
     root = spark.conf.get("spark.checkpoint.dir")
-    assert scratch.scratch_root(spark) == root
+    assert scratch.scratch_root(spark).startswith(root)
     assert scratch.scratch_path(spark, "a") != scratch.scratch_path(spark, "a")
+    scratch.discard(spark, path)
+    assert not os.path.exists(path)

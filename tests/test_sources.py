@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foralytics.plans import owners, posts as p, words
-from foralytics.schemas import POSTS, PREGUNTAS, check_schema
+from foralytics.schemas import COMMENTS, POSTS, PREGUNTAS, TAGS, check_schema
 from foralytics.sources import csv, parquet, text
 from helpers import unordered
 
@@ -67,8 +67,26 @@ def test_csv_bad_rows(spark, dump):
     assert [r.Id for r in strict.collect()] == [1]
     assert [r.Id for r in strict.select("Id").collect()] == [1]
     assert strict.count() == 1
-    with pytest.raises(ValueError):
-        csv.read_csv_table(spark, path, SMALL, strict=True, multi_line=True)
+    both = csv.read_csv_table(spark, path, SMALL, strict=True, multi_line=True)
+    assert [r.Id for r in both.collect()] == [1]
+
+
+def test_csv_line_mode_never_loses_a_record(spark, dump):
+    path = dump("d.csv", HEADER + '1,a,<a>,3\n2,"two\nlines",<a>,3\n')
+    with pytest.raises(Exception, match="--multi-line"):
+        csv.read_csv_table(spark, path, SMALL).collect()
+    assert csv.read_csv_table(spark, path, SMALL, multi_line=True).count() == 2
+
+
+def test_csv_header_goes_whatever_the_types(spark, tmp_path):
+    table = spark.createDataFrame([("a", "b"), ("c", None)], "k string, v string").repartition(2)
+    path = str(tmp_path / "t")
+    csv.write_csv_table(table, path)
+    for multi_line in (False, True):
+        got = csv.read_csv_table(spark, path, table.schema, ["k"], multi_line=multi_line)
+        assert unordered(got) == [("a", "b"), ("c", None)]
+        kept = csv.read_csv_table(spark, path, table.schema, ["k"], multi_line=multi_line, header=False)
+        assert kept.count() == 4
 
 
 def post_line(**fields):
@@ -99,6 +117,34 @@ def test_users_by_header_name(spark, dump):
     assert unordered(csv.read_users_csv(spark, path)) == [(1, "Ana", 39), (2, "Eva", None)]
 
 
+def test_users_with_newlines(spark, dump):
+    path = dump("Users.csv", 'Id,AboutMe,DisplayName,Reputation\n1,"x,\ny",Ana,39\n2,,"E\nva",\n')
+    assert unordered(csv.read_users_csv(spark, path, multi_line=True)) == [(1, "Ana", 39), (2, "E\nva", None)]
+    with pytest.raises(Exception, match="--multi-line"):
+        csv.read_users_csv(spark, path).collect()
+
+
+def test_header_of_prefixed_lines(spark):
+    lines = spark.createDataFrame([("P|Id,x",), ("U|1,2",), ("U|Id, Reputation,DisplayName",)], "value string")
+    assert csv.header_of(lines, csv.USER_PREFIX) == ["Id", "Reputation", "DisplayName"]
+    assert csv.header_of(lines.limit(2), csv.USER_PREFIX) is None
+
+
+def test_answers_without_id_stay_in_both_paths(spark, dump):
+    line = post_line(PostTypeId=2, ParentId=7)
+    tagged = spark.createDataFrame([("P|" + line,)], "value string")
+    assert csv.read_posts_csv(spark, dump("p.csv", line + "\n")).count() == 1
+    assert csv.tagged_rows(tagged, csv.POST_PREFIX, POSTS, csv.POST_KEY).count() == 1
+
+
+def test_layout_check(spark, tmp_path):
+    path = str(tmp_path / "c")
+    spark.range(3).select(F.col("id").cast("int").alias("PostId")).write.parquet(path)
+    assert parquet.read_columns(spark, path, COMMENTS).count() == 3
+    with pytest.raises(ValueError, match="TagName"):
+        parquet.read_columns(spark, path, TAGS)
+
+
 def test_tagged_files(spark, dump):
     posts = dump(
         "Posts_prefixed.csv",
@@ -132,6 +178,7 @@ def test_samples(spark):
     part = parquet.sample_rows(table, 0.2)
     assert 1_700 < part.count() < 2_300
     assert part.join(table, ["k", "v"], "left_anti").count() == 0
+    assert unordered(part) == unordered(parquet.sample_rows(table.select("v", "k").repartition(5), 0.2).select("k", "v"))
     by_key = parquet.sample_by_key(table.unionByName(table), "k", 0.2)
     assert 3_400 < by_key.count() < 4_600
     assert by_key.groupBy("k").count().where("count <> 2").count() == 0

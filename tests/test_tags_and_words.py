@@ -83,10 +83,13 @@ def test_year_tag_counts_a_repeated_tag_once_and_skips_undated(spark):
 def test_scalar_helpers(spark):
     df = spark.createDataFrame([(" 12 ", -0.04), ("x", 0.25), (None, -8.27)], "s string, m double")
     got = df.select(
-        v.clean_long(F.col("s")), v.fixed_decimals(F.col("m"), 1), v.trend_label(F.col("m"))
+        v.fixed_decimals(F.col("m"), 1), v.trend_label(F.col("m"))
     )
-    assert rows(got) == [(12, "0.0", "DECLIVE"), (None, "0.3", "CRECIMIENTO"), (None, "-8.3", "DECLIVE")]
+    assert rows(got) == [("0.0", "DECLIVE"), ("0.3", "CRECIMIENTO"), ("-8.3", "DECLIVE")]
     buckets = spark.range(1000).select(v.bucket_of(F.col("id"), 7).alias("b")).groupBy("b").count()
     assert sorted(r.b for r in buckets.collect()) == list(range(7))
     pair = spark.createDataFrame([(39, "Daniel")], "r int, n string")
     assert pair.select(v.pair_text(F.col("r"), F.col("n"))).first()[0] == "(39,Daniel)"
+    nothing = F.lit(None).cast("string")
+    assert pair.select(v.pair_text(nothing, F.col("n"))).first()[0] == "(,Daniel)"
+    assert pair.select(v.pair_text(F.col("r"), nothing)).first()[0] == "(39,)"

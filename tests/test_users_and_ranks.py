@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foralytics.operators.ranking import rank_in_group
+from foralytics.operators.ranking import _slice_widths, rank_in_group
 from foralytics.plans import owners, posts as p, rankings, users as u
 from helpers import answer, posts, question, rows, unordered
 
@@ -28,9 +28,9 @@ def test_yearly_stats_do_not_multiply_by_comments(spark):
     comments = spark.createDataFrame([(1,), (1,), (1,), (50,)], "PostId bigint")
     df = u.user_year_stats(p.answers_score(table), p.question_year(table), people(spark, "Ana"), comments)
     assert df.columns == [
-        "Usuario", "Año", "NumPreguntas", "TotalRespuestas", "TotalComentarios", "MediaRespuestas", "MaxRespuestas",
+        "Usuario", "Año", "NumPreguntas", "TotalRespuestas", "TotalComentarios", "MediaRespuestas", "MaxRespuestas", "UserId",
     ]
-    assert rows(df) == [("Ana", 2008, 2, 3, 3, 1.5, 2)]
+    assert rows(df) == [("Ana", 2008, 2, 3, 3, 1.5, 2, 1)]
 
 
 def test_same_name_is_two_users_and_ownerless_drops_out(spark):
@@ -39,7 +39,7 @@ def test_same_name_is_two_users_and_ownerless_drops_out(spark):
     )
     comments = spark.createDataFrame([], "PostId bigint")
     df = u.user_year_stats(p.answers_score(table), p.question_year(table), people(spark, "Ana", "Ana"), comments)
-    assert rows(df) == [("Ana", 2008, 1, 2, 0, 2.0, 2), ("Ana", 2008, 1, 1, 0, 1.0, 1)]
+    assert rows(df.orderBy(*u.year_order())) == [("Ana", 2008, 1, 2, 0, 2.0, 2, 2), ("Ana", 2008, 1, 1, 0, 1.0, 1, 1)]
 
 
 def test_stats_order(spark):
@@ -49,7 +49,7 @@ def test_stats_order(spark):
     )
     comments = spark.createDataFrame([], "PostId bigint")
     df = u.user_year_stats(p.answers_score(table), p.question_year(table), people(spark, "A", "B"), comments)
-    assert [(r[0], r[1]) for r in rows(df)] == [("A", 2009), ("A", 2011), ("B", 2010)]
+    assert [(r[0], r[1]) for r in rows(df.orderBy(*u.year_order()))] == [("A", 2009), ("A", 2011), ("B", 2010)]
 
 
 def test_rank_ties(spark):
@@ -61,25 +61,36 @@ def test_rank_ties(spark):
     for ties, ranks in (("rank", [1, 1, 3]), ("dense_rank", [1, 1, 2]), ("row_number", [1, 2, 3])):
         df = rankings.tag_year_rank(respuestas, preguntas, tags, ["py", "java"], ties)
         assert df.columns == ["Tag", "Año", "QuestionId", "NRespuestas", "Rango"]
-        assert rows(df) == [
+        assert rows(df.orderBy("Tag", "Año", "QuestionId")) == [
             ("java", 2008, 1, 5, 1),
             ("py", 2008, 1, 5, ranks[0]), ("py", 2008, 2, 5, ranks[1]), ("py", 2008, 3, 3, ranks[2]),
             ("py", 2009, 4, 9, 1),
         ]
 
 
+def test_slices_follow_the_ids_that_occur(spark):
+    """A hot group with ids spread over 2^62 has as many slices as its rows need."""
+    data = [("hot", i * 2**50, 1) for i in range(4000)]
+    df = spark.createDataFrame(data, "g string, id bigint, n bigint")
+    widths = _slice_widths(df, ["g"], "id", 100).first()
+    assert 4000 * 2**50 / int(widths["_width"]) <= 41
+    ranked = rank_in_group(df, ["g"], "n", "id", "row_number", out="r", slice_rows=100)
+    assert ranked.where("r <> id / power(2, 50) + 1").count() == 0
+
+
+@pytest.mark.parametrize("spread", [1, 37, 2**50])
 @pytest.mark.parametrize("ties", ["rank", "dense_rank", "row_number"])
-def test_rank_equals_a_window_over_the_rows(spark, ties):
+def test_rank_equals_a_window_over_the_rows(spark, ties, spread):
     draw = random.Random(7)
     data = [
-        (draw.choice(["hot", "hot", "a", None]), draw.choice([1, 1, None]), i * 37, draw.choice([1, 1, 1, 2, 5]))
+        (draw.choice(["hot", "hot", "a", None]), draw.choice([1, 1, None]), i * spread - 2**61, draw.choice([1, 1, 1, 2, 5]))
         for i in range(3000)
     ]
     df = spark.createDataFrame(data, "g string, y int, id bigint, n bigint").repartition(5)
     order = [F.desc("n")] + ([F.asc("id")] if ties == "row_number" else [])
     window = W.partitionBy("g", "y").orderBy(*order)
     expected = df.withColumn("r", getattr(F, ties)().over(window).cast("bigint"))
-    got = rank_in_group(df, ["g", "y"], "n", "id", ties, out="r", id_slice=1000)
+    got = rank_in_group(df, ["g", "y"], "n", "id", ties, out="r", slice_rows=100)
     assert got.columns == expected.columns
     assert unordered(got) == unordered(expected)
 
@@ -104,10 +115,12 @@ def test_yearly_change_over_a_gap(spark):
     preguntas, tags = tag_years(spark, {2008: 12, 2009: 18, 2012: 5})
     names = people(spark, "Jon")
     df = u.user_tag_year_diff(preguntas, tags, names)
-    assert df.columns == ["Usuario", "Tag", "Año", "NPreguntas", "Dif"]
-    assert rows(df) == [("Jon", "t", 2008, 12, 0), ("Jon", "t", 2009, 18, 6), ("Jon", "t", 2012, 5, -13)]
+    assert df.columns == ["Usuario", "Tag", "Año", "NPreguntas", "Dif", "UserId"]
+    assert rows(df.orderBy(*u.tag_order())) == [
+        ("Jon", "t", 2008, 12, 0, 1), ("Jon", "t", 2009, 18, 6, 1), ("Jon", "t", 2012, 5, -13, 1),
+    ]
     calendar = u.user_tag_year_diff(preguntas, tags, names, calendar=True)
-    assert [r[4] for r in rows(calendar)] == [0, 6, 5]
+    assert [r[4] for r in rows(calendar.orderBy(*u.tag_order()))] == [0, 6, 5]
 
 
 def test_minimum_counts_questions_not_tags(spark):
