@@ -27,24 +27,30 @@ ANY = "(?:" + "|".join(sorted(set(ANCHORS), key=lambda w: (-len(w), w))) + ")"
 SPOT = f"(?<= )(?=({ANY} (?:{ANY} )*+[^ ]+ (?:{ANY} )*+[^ ]+ ))"
 
 
-def spots(text: Column) -> Column:
-    """Sorted distinct 32-bit hashes of the spots of ``text``.
+def with_spots(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with sorted distinct 32-bit hashes of the spots of the column ``text``.
 
     A text without spots has one signature, of all of its words, or of its marks if
-    it has no words; null and empty texts have none.
+    it has no words; null and empty texts have none. The steps are columns of their
+    own, so that each is worked out once a text.
     """
-    whole = F.coalesce(text, F.lit(""))
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(whole), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    chains = F.array_join(F.regexp_extract_all(words, F.lit(SPOT), F.lit(1)), "\n")
+    whole, words, chains = F.coalesce(F.col(text), F.lit("")), F.col("__words"), F.col("__chains")
+    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(whole), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
     # The anchor that opens a chain follows no space, so it stays.
     signatures = F.split(F.regexp_replace(chains, f"(?<= ){ANY} ", ""), "\n")
     hashes = F.sort_array(F.array_distinct(F.transform(signatures, lambda x: F.hash(x))))
     alone = F.when(F.length(F.trim(words)) > 0, F.hash(words)).otherwise(F.hash(whole))
-    return (
+    found = (
         F.when(F.length(whole) == 0, F.array().cast("array<int>"))
         .when(F.length(chains) == 0, F.array(alone))
         .otherwise(hashes)
     )
+    return (
+        df.withColumn("__words", plain)
+        .withColumn("__chains", F.array_join(F.regexp_extract_all(words, F.lit(SPOT), F.lit(1)), "\n"))
+        .withColumn(name, found)
+        .drop("__words", "__chains")
+    )
 
 
 def fingerprint(of_spots: Column) -> Column:
@@ -77,7 +83,7 @@ def near_duplicates(docs: DataFrame, queries: DataFrame, least: float = 0.8) ->
     stated queries, and a pair is compared once. A document is not its own pair.
     """
     def indexed(df: DataFrame, name: str) -> DataFrame:
-        found = df.select(F.col("doc_id").alias(name), spots(F.col("text")).alias(f"{name}_spots"))
+        found = with_spots(df.select(F.col("doc_id").alias(name), "text"), "text", f"{name}_spots").drop("text")
         n = F.size(f"{name}_spots")
         first = F.slice(f"{name}_spots", F.lit(1), (n - F.ceil(n * least) + 1).cast("int"))
         return found.where(n > 0).withColumns({"first": first, "class": length_class(n, least)})
@@ -138,7 +144,8 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
         after = docs.sparkSession.createDataFrame(follows, "part int, doc_id long")
         ranged = ranged.unionByName(after.join(heads, "doc_id").select("part", "doc_id", "text", F.lit(True).alias("added")))
     order = Window.partitionBy("part").orderBy("added", F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc())
-    placed = ranged.repartition(parts, "part").withColumn("spots", spots(F.col("text")))
+    # The part is the number of the partition; a hash would put several in one.
+    placed = with_spots(ranged.repartitionById(parts, F.col("part")), "text", "spots")
     led = placed.select(
         "*", F.lead("text").over(order).alias("next_text"), F.lead("spots").over(order).alias("next_spots"),
         F.lead("added").over(order).isNotNull().alias("led"),
@@ -158,7 +165,7 @@ def edited_and_next(docs: DataFrame) -> DataFrame:
         F.substring(whole, F.lit(1), F.length(whole) - moved), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), moved)
     )
     texts = with_next(docs).select("doc_id", F.length(whole).cast("long").alias("n_chars"), edited.alias("edited"), "spots", "next_spots")
-    sets = texts.withColumn("edited_spots", spots(F.col("edited")))
+    sets = with_spots(texts, "edited", "edited_spots")
     return sets.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("spots")).alias("fingerprint"), fingerprint(F.col("edited_spots")).alias("edited_fingerprint"),
