@@ -9,8 +9,9 @@
    a common passage or word makes no large tree, as a part takes tokens from all
    over the text. A part that is empty says nothing; its key is sent only for the
    few sets whose other parts might all differ.
-3. Keys travel packed, many to a row, to the bucket of their hash. A bucket lists
-   the classes of every key that has several; equal lists are kept once.
+3. Keys travel packed with the id of their document, many to a row, to the bucket of
+   their hash; a task sends a class once. A bucket lists the documents of every key
+   that has several, equal lists once, and the documents give way to their classes.
 4. Trees over these lists give the pairs that size and bitmap bounds leave. The
    first pass sends only a spanning forest of them, so a group of many copies
    costs as many pairs as it has sets. The pairs are verified on the whole sets.
@@ -43,6 +44,8 @@ SENT_KEYS = 1_500_000
 KEY_BYTES = 6
 # Partners that are compared with one set in one task.
 PARTNERS = 512
+# Documents of a list that one row holds.
+ROW = 4096
 TEXT_BYTES = 4 << 20
 
 
@@ -165,22 +168,24 @@ def _send_keys(n: int, num: int, den: int, buckets: int):
 
         def packed() -> pa.RecordBatch:
             keys, owners = (np.concatenate(x) for x in zip(*held, strict=True))
+            # In order, the first bytes of the keys hardly differ and pack well.
+            order = np.argsort(keys)
+            keys, owners = keys[order], owners[order]
             bucket = (keys >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)
-            order = np.argsort(bucket.astype(np.int32), kind="stable")
-            bucket, keys, owners = bucket[order], keys[order], owners[order]
             cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             edges = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True))
             return _batch(
                 [
                     ("bucket", pa.array(bucket[cuts].astype(np.int32))),
-                    ("keys", pa.array([planes(keys[a:b], KEY_BYTES) for a, b in edges], pa.binary())),
+                    ("keys", pa.array([planes(keys[a:b] >> np.uint64(64 - 8 * KEY_BYTES), KEY_BYTES) for a, b in edges], pa.binary())),
                     ("owners", pa.array([planes(owners[a:b], 8) for a, b in edges], pa.binary())),
                 ]
             )
 
         for batch in slices(batches, "text", TEXT_BYTES):
-            tokens, sizes = shingle_sets(batch.column(0), n)
+            tokens, sizes = shingle_sets(batch.column(1), n)
             cls = digests(tokens, sizes)
+            owners = batch.column(0).to_numpy(zero_copy_only=False)
             # A class is sent once a task, however many copies it has.
             fresh = np.zeros(len(cls), bool)
             for i, c in enumerate(cls.tolist()):
@@ -189,7 +194,7 @@ def _send_keys(n: int, num: int, den: int, buckets: int):
             mine = np.repeat(fresh, sizes)
             keys, owner = part_keys(tokens[mine], sizes[fresh], num, den)
             if len(keys):
-                held.append((keys, cls[fresh][owner]))
+                held.append((keys, owners[fresh][owner]))
                 count += len(keys)
             if count > SENT_KEYS:
                 yield packed()
@@ -200,39 +205,32 @@ def _send_keys(n: int, num: int, den: int, buckets: int):
     return send
 
 
-def _list_classes(block: int):
-    """The packed keys of a bucket -> the lists of classes that share a key, cut into blocks."""
-
-    def lists(rows: pa.Table) -> pa.Table:
-        keys = np.concatenate([from_planes(x, KEY_BYTES) for x in rows["keys"].to_pylist()])
-        owners = np.concatenate([from_planes(x, 8) for x in rows["owners"].to_pylist()]).view(np.int64)
-        order = np.lexsort((owners, keys))
-        keys, owners = keys[order], owners[order]
-        new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
-        keys, owners = keys[new], owners[new]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        sizes = np.diff(np.append(starts, len(keys)))
-        digest = mixed(np.add.reduceat(mixed(owners.view(np.uint64)), starts) + sizes.astype(np.uint64)).view(np.int64)
-        several = np.flatnonzero(sizes > 1)
-        several = several[np.unique(digest[several], return_index=True)[1]]
-        out = []
-        for s in several.tolist():
-            members = owners[starts[s] : starts[s] + sizes[s]]
-            n_blocks = -(-len(members) // block)
-            for k in range(n_blocks):
-                out.append((int(digest[s]), k, n_blocks, int(members[0]), members[k * block : (k + 1) * block]))
-        return pa.table(
-            {
-                "list": pa.array([x[0] for x in out], pa.int64()), "block": pa.array([x[1] for x in out], pa.int32()),
-                "blocks": pa.array([x[2] for x in out], pa.int32()), "least": pa.array([x[3] for x in out], pa.int64()),
-                "members": pa.array([x[4] for x in out], pa.list_(pa.int64())),
-            }
-        )
-
-    return lists
+def _list_owners(rows: pa.Table) -> pa.Table:
+    """The packed keys of a bucket -> the lists of documents that share a key, ``ROW`` to a row."""
+    keys = np.concatenate([from_planes(x, KEY_BYTES) for x in rows["keys"].to_pylist()])
+    owners = np.concatenate([from_planes(x, 8) for x in rows["owners"].to_pylist()]).view(np.int64)
+    order = np.lexsort((owners, keys))
+    keys, owners = keys[order], owners[order]
+    new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
+    keys, owners = keys[new], owners[new]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.append(starts, len(keys)))
+    digest = mixed(np.add.reduceat(mixed(owners.view(np.uint64)), starts) + sizes.astype(np.uint64)).view(np.int64)
+    several = np.flatnonzero(sizes > 1)
+    several = several[np.unique(digest[several], return_index=True)[1]]
+    out = []
+    for s in several.tolist():
+        members = owners[starts[s] : starts[s] + sizes[s]]
+        out.extend((int(digest[s]), k, members[k : k + ROW]) for k in range(0, len(members), ROW))
+    return pa.table(
+        {
+            "list": pa.array([x[0] for x in out], pa.int64()), "part": pa.array([x[1] for x in out], pa.int64()),
+            "members": pa.array([x[2] for x in out], pa.list_(pa.int64())),
+        }
+    )
 
 
-LISTS = "list long, block int, blocks int, least long, members array<long>"
+LISTS = "list long, part long, members array<long>"
 
 
 def _traverse(num: int, den: int, forest: bool):
@@ -346,14 +344,25 @@ def jaccard_components(
         F.first("n_shingles").alias("n"), F.first("bits").alias("bits"),
     )
     reps = stage(reps, "classes")
+    owner = F.coalesce("doc_id", "text_key").alias("owner")
     lists = stage(
-        docs.select("text").mapInArrow(_send_keys(n, num, den, buckets), "bucket int, keys binary, owners binary")
-        .groupBy("bucket").applyInArrow(_list_classes(block), LISTS).dropDuplicates(["list", "block"]),
+        docs.select(owner, "text").mapInArrow(_send_keys(n, num, den, buckets), "bucket int, keys binary, owners binary")
+        .groupBy("bucket").applyInArrow(_list_owners, LISTS).dropDuplicates(["list", "part"]),
         "", lists_at,
     )
-    own = lists.select("list", "block", "blocks", "least", F.explode("members").alias("cls"))
+    members = lists.select("list", F.explode("members").alias("owner"))
+    classes = described.where("n_shingles > 0").select(owner, "cls")
+    listed = members.join(classes, "owner").select("list", "cls").distinct()
+    cuts = listed.groupBy("list").agg(
+        F.min("cls").alias("least"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("size")
+    ).where("size > 1")
+    own = stage(
+        listed.join(cuts.drop("size"), "list").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")), "listed"
+    )
+    discard(spark, lists_at)
+    home_of_least = F.pmod(F.xxhash64("least"), F.col("blocks")).cast("int")
     with_least = own.select("list", "block", "cls").unionByName(
-        lists.where("block > 0").select("list", "block", F.col("least").alias("cls"))
+        own.where(F.col("block") != home_of_least).select("list", "block", F.col("least").alias("cls")).distinct()
     )
 
     def pairs_of(entries: DataFrame, forest: bool) -> DataFrame:
@@ -390,7 +399,6 @@ def jaccard_components(
     joined = first.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_class = joined.join(least, "label").select("cls", "component_id")
-    discard(spark, lists_at)
     rows = described.select("doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("cls")).alias("cls"))
     return rows.join(of_class, "cls", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
