@@ -305,12 +305,18 @@ def _verify(num: int, den: int):
     return verify
 
 
-def _alike(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _sets_of(classes: DataFrame, reps: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(cls, tokens) of the ``classes``, from one document of each; written, as it is read several times."""
+    wanted = classes.join(reps.select("cls", "rep"), "cls").select(
+        "cls", F.col("rep.doc_id").alias("__id"), F.col("rep.text_key").alias("__key")
+    )
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (docs["text_key"] == F.col("__key"))
+    texts = docs.join(wanted, same).dropDuplicates(["cls"])
+    return stage(texts.select("cls", "text").mapInArrow(_full_sets(n), "cls long, tokens binary"), "sets")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Of the ``pairs`` of classes those whose whole sets are alike."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(reps.select("cls", "rep"), "cls")
-    texts = wanted.select("cls", "rep.*").join(docs, ["doc_id", "text_key"]).dropDuplicates(["cls"])
-    sets_at = scratch_path(docs.sparkSession, "sets")
-    sets = stage(texts.select("cls", "text").mapInArrow(_full_sets(n), "cls long, tokens binary"), "", sets_at)
     salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("salts"))
     salted = pairs.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
     partners = salted.join(sets.withColumnRenamed("cls", "b"), "b").select("a", "salt", "b", "tokens")
@@ -372,9 +378,10 @@ def jaccard_components(
             .mapInArrow(_traverse(num, den, forest), "a long, b long").distinct()
         )
 
+    sets = _sets_of(own.select("cls").distinct(), reps, docs, n)
     marked = with_least.select("*", F.lit(0).cast("long").alias("label"), F.lit(True).alias("own"))
     tried = stage(pairs_of(marked, True), "pairs")
-    links = stage(_alike(tried, reps, docs, n, num, den), "links")
+    links = stage(_alike(tried, sets, num, den), "links")
     labels = components(links).withColumnsRenamed({"node": "cls", "component": "label"})
     known = own.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     # Lists with several components: what is outside the one of the least class goes to every block.
@@ -393,7 +400,7 @@ def jaccard_components(
     )
     more = stage(pairs_of(entries, False).join(tried, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        links = stage(links.unionByName(_alike(more, reps, docs, n, num, den)), "links")
+        links = stage(links.unionByName(_alike(more, sets, num, den)), "links")
         labels = components(links).withColumnsRenamed({"node": "cls", "component": "label"})
     first = reps.select("cls", F.col("rep.doc_id").alias("first_id"))
     joined = first.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))

@@ -12,16 +12,17 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BITS = 512
+# Sets of a few hundred tokens leave most bits free, so the bounds are tight.
+BITS = 2048
 FAN = 8
 # Pairs of nodes that are judged at once.
-STEP = 50_000
+STEP = 20_000
 
 
 def bitmaps(tokens: np.ndarray, set_of: np.ndarray, n_sets: int) -> np.ndarray:
     """A row of ``BITS`` / 64 numbers for each set; tokens are mixed 64-bit hashes."""
     seen = np.zeros((n_sets, BITS), bool)
-    seen[set_of, (tokens >> np.uint64(64 - 9)).astype(np.int64)] = True
+    seen[set_of, (tokens >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)] = True
     return np.packbits(seen, axis=1).view(np.uint64)
 
 
