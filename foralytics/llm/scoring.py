@@ -21,11 +21,11 @@ from foralytics.llm.common import remainder_of_id, shuffle_partitions, table
 from foralytics.llm.words import from_planes, mixed, planes, word_codes
 from foralytics.scratch import scratch_path, stage
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 # Bytes that are numbered in one table.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 # Keys of several slices that are held before they are summed up.
-HELD_KEYS = 500_000
+HELD_KEYS = 200_000
 # Training counts of a word or gram in a chunk, and of a word in all, stay below 2^40.
 COUNT_BYTES = 5
 ASK = "bucket int, chunk int, keys binary, counts binary"
@@ -94,6 +94,8 @@ def _distinct(texts: pa.Array, train: np.ndarray) -> tuple[tuple[np.ndarray, np.
         asked = np.zeros(len(distinct), bool)
         asked[number[kept]] = True
         grams.add(distinct[asked], np.bincount(number[taught], minlength=len(distinct))[asked])
+        # The next slice is numbered before these names are bound again.
+        del hashes, codes, data, distinct, number, kept, taught, asked
     return words.total(), grams.total()
 
 
@@ -208,6 +210,7 @@ def _score(n_all: int, n_distinct: int, n_ends: int, buckets: int):
             each = np.where(kept, chance[number], 0.0)
             # The first zeros of the stream have no gram; a text's range begins at its own first byte.
             scores.append(np.add.reduceat(each, firsts))
+            del hashes, codes, seen, text_of, data, distinct, number, kept, asked, chance, each
         return pa.table(
             {
                 "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(np.concatenate(n_tokens)),
