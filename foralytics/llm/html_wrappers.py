@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from foralytics.llm.common import slices, table
 from foralytics.llm.html_tree import Element, blocks, parse, tidy
+from foralytics.scratch import stage
 
 # Siblings that repeat together, at most.
 GROUP = 3
@@ -234,7 +235,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     hosted = pages.select(
         "page_id", "url", "html", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^/]*//([^/?#]*)", 1)).alias("host")
     )
-    rules = infer_wrappers(hosted).select("host", "rule")
+    # Written first: Spark knows the size of the rules when it plans the join, and need not deal pages by host.
+    rules = stage(infer_wrappers(hosted).select("host", "rule"), "rules")
     return hosted.join(rules, "host").select("page_id", "url", "html", "rule").mapInArrow(
         _extract, "page_id long, url string, text string"
     )
