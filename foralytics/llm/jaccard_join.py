@@ -305,14 +305,14 @@ def _verify(num: int, den: int):
     return verify
 
 
-def _sets_of(classes: DataFrame, reps: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+def _sets_of(classes: DataFrame, reps: DataFrame, docs: DataFrame, n: int, path: str) -> DataFrame:
     """(cls, tokens) of the ``classes``, from one document of each; written, as it is read several times."""
     wanted = classes.join(reps.select("cls", "rep"), "cls").select(
         "cls", F.col("rep.doc_id").alias("__id"), F.col("rep.text_key").alias("__key")
     )
     same = docs["doc_id"].eqNullSafe(F.col("__id")) & (docs["text_key"] == F.col("__key"))
     texts = docs.join(wanted, same).dropDuplicates(["cls"])
-    return stage(texts.select("cls", "text").mapInArrow(_full_sets(n), "cls long, tokens binary"), "sets")
+    return stage(texts.select("cls", "text").mapInArrow(_full_sets(n), "cls long, tokens binary"), "", path)
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -378,7 +378,8 @@ def jaccard_components(
             .mapInArrow(_traverse(num, den, forest), "a long, b long").distinct()
         )
 
-    sets = _sets_of(own.select("cls").distinct(), reps, docs, n)
+    full_at = scratch_path(spark, "sets")
+    sets = _sets_of(own.select("cls").distinct(), reps, docs, n, full_at)
     marked = with_least.select("*", F.lit(0).cast("long").alias("label"), F.lit(True).alias("own"))
     tried = stage(pairs_of(marked, True), "pairs")
     links = stage(_alike(tried, sets, num, den), "links")
@@ -402,6 +403,7 @@ def jaccard_components(
     if not more.isEmpty():
         links = stage(links.unionByName(_alike(more, sets, num, den)), "links")
         labels = components(links).withColumnsRenamed({"node": "cls", "component": "label"})
+    discard(spark, full_at)
     first = reps.select("cls", F.col("rep.doc_id").alias("first_id"))
     joined = first.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))

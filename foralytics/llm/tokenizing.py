@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 # Pieces whose ids a Python worker keeps, for all of its tasks; then the memory is given back.
-KEPT_UNITS = 700_000
+KEPT_UNITS = 400_000
 # Pieces that are encoded in one call, joined by spaces.
 JOINED = 512
 # Letters and marks whose case, normal form and class no Unicode version changes.
