@@ -10,11 +10,17 @@ texts that differ. It begins as the first page; each further page is aligned wit
 
 Aligning two wrappers works the same way, so every task infers wrappers from its own
 pages, and one task a host aligns these: a host's pages never meet in one place. What
-varies inside a host is its content: the wrapper says which element holds it, and
-which texts are the same on every page.
+varies inside a host is its content: the wrapper says which element holds it.
+
+A text is the host's own if it stands on nearly all of its distinct pages; these are
+counted by a Spark aggregation. Own texts are dropped only where no element was entered,
+in the page, html or body: parts of it that hold nothing else, anywhere if they
+are containers, before and after the article if they are paragraphs or heads.
 """
 
+import hashlib
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,11 +36,17 @@ from foralytics.scratch import stage
 GROUP = 3
 # Share of an element's varying text that its one part must hold to be entered.
 SHARE = 0.8
-# Pages on which a text must be the same to count as the host's own.
+# Distinct pages, and share of a host's distinct pages, on which a text must stand to be the host's own.
 CONSTANT = 3
-# Constant texts are compared by their first characters and length, so wrappers stay small.
-TEXT_KEY = 200
+NEARLY_ALL = 0.9
+# Longer texts are compared by a hash of the whole text and its length, so wrappers stay small.
+TEXT_KEY = 32
+# Different texts of a repeated element, at most; with more it is a slot.
+TEXTS = 64
 MAIN = ("article", "main")
+HAS_MAIN = re.compile(r"<(?:article|main)\b", re.I)
+# Elements that hold the whole page: to enter them singles nothing out.
+WHOLE = ("html", "body")
 BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption".split())
 PAGE_BYTES = 4 << 20
 
@@ -46,7 +58,7 @@ class Node:
     repeated: bool = False
     optional: bool = False
     aside: bool = False
-    # Constant text of this element itself; None is a slot.
+    # Key of the constant text of this element itself, of a repeated one a line for each; None is a slot.
     text: str | None = ""
     # Characters of text seen in this element itself where it varies, and of any.
     chars: int = 0
@@ -64,20 +76,41 @@ def own_text(element: Element) -> str:
     return tidy("".join(p for p in element.parts if isinstance(p, str)))
 
 
+def text_key(text: str) -> str:
+    if len(text) <= TEXT_KEY:
+        return f"{len(text)} {text}"
+    return f"{len(text)} {hashlib.blake2b(text.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
+
+
+def tag_of(key: str) -> str:
+    return key.split(".")[0].split("#")[0]
+
+
 def of_page(element: Element, depth: int = 0) -> Node:
     """A page's own wrapper, repeated siblings folded; what lies deeper than 60 elements is left out."""
     text = own_text(element)
-    node = Node(element.key, aside=element.aside, chars=len(text), text=f"{len(text)} {text[:TEXT_KEY]}" if text else "")
+    node = Node(element.key, aside=element.aside, chars=len(text), text=text_key(text) if text else "")
     if not element.aside and depth < 60:
         node.parts = fold([of_page(p, depth + 1) for p in element.parts if not isinstance(p, str)])
     return node
 
 
+def both_texts(a: str | None, b: str | None, repeated: bool) -> str | None:
+    """What two elements have for text: a slot if it differs, but up to ``TEXTS`` different ones where it repeats."""
+    if a == b or a is None or b is None:
+        return a if a == b else None
+    if not repeated:
+        return None
+    texts = sorted({x for x in (*a.split("\n"), *b.split("\n")) if x})
+    return "\n".join(texts) if len(texts) <= TEXTS else None
+
+
 def aligned(a: Node, b: Node, pages: bool = True) -> Node:
     """The wrapper of what ``a`` and ``b`` stand for; ``pages``: they are of different pages."""
+    repeated = a.repeated or b.repeated or not pages
     return Node(
-        a.key, a.pages + b.pages if pages else max(a.pages, b.pages), a.repeated or b.repeated or not pages,
-        a.optional or b.optional, a.aside, a.text if a.text == b.text else None, a.chars + b.chars,
+        a.key, a.pages + b.pages if pages else max(a.pages, b.pages), repeated,
+        a.optional or b.optional, a.aside, both_texts(a.text, b.text, repeated), a.chars + b.chars,
         align(a.parts, b.parts, pages),
     )
 
@@ -123,21 +156,20 @@ def fold(parts: list[Node]) -> list[Node]:
     return parts
 
 
-def varying(node: Node, lone: bool) -> int:
-    """Characters of varying text in a node, asides left out; on a ``lone`` page all text counts."""
+def varying(node: Node, own: frozenset[str]) -> int:
+    """Characters of text in a node that is not the host's own, asides left out."""
     if node.aside:
         return 0
-    own = node.chars if node.text is None or lone or node.pages < CONSTANT else 0
-    return own + sum(varying(p, lone) for p in node.parts)
+    fixed = node.text is not None and all(x in own for x in node.text.split("\n") if x)
+    return (0 if fixed else node.chars) + sum(varying(p, own) for p in node.parts)
 
 
-def main_path(wrapper: Node) -> list[str]:
+def main_path(wrapper: Node, own: frozenset[str] = frozenset()) -> list[str]:
     """Keys from the page down to the element that holds the varying text.
 
     An ``article`` or ``main`` element wins, the one with most of it; otherwise the way leads into a part
     as long as it holds nearly all that varies and is no block of text itself.
     """
-    lone = wrapper.pages < 2
     best: tuple[int, list[str]] = (0, [])
     todo: list[tuple[Node, list[str]]] = [(wrapper, [])]
     while todo:
@@ -145,43 +177,106 @@ def main_path(wrapper: Node) -> list[str]:
         if node.aside:
             continue
         here = [*path, node.key]
-        held = varying(node, lone)
-        if node.key.split(".")[0].split("#")[0] in MAIN and held > best[0]:
+        held = varying(node, own)
+        if tag_of(node.key) in MAIN and held > best[0]:
             best = (held, here)
         todo.extend((p, here) for p in node.parts)
     if best[1]:
         return best[1][1:]
     path, node = [], wrapper
     while True:
-        held = varying(node, lone)
-        inner = [p for p in node.parts if held and varying(p, lone) >= SHARE * held and not p.repeated]
-        if not inner or inner[0].key.split(".")[0].split("#")[0] in BLOCK:
+        held = varying(node, own)
+        inner = [p for p in node.parts if held and varying(p, own) >= SHARE * held and not p.repeated]
+        if not inner or tag_of(inner[0].key) in BLOCK:
             return path
         node = inner[0]
         path.append(node.key)
 
 
-def constants(wrapper: Node) -> list[str]:
-    """Texts that are the same on all pages that have them, ``CONSTANT`` or more."""
-    out, todo = set(), [wrapper]
-    while todo:
-        node = todo.pop()
-        if node.text and node.pages >= CONSTANT and not node.aside:
-            out.add(node.text)
-        todo.extend(node.parts)
+def constants(wrapper: Node, path: list[str], own: frozenset[str]) -> list[str]:
+    """The host's own texts outside the element at ``path``; in the whole page, those of parts that hold no others."""
+    if not varying(wrapper, own):
+        return []
+    out: set[str] = set()
+
+    def gather(node: Node) -> None:
+        if not node.aside and not varying(node, own):
+            out.update(x for x in (node.text or "").split("\n") if x)
+            for part in node.parts:
+                gather(part)
+
+    found = [wrapper]
+    for key in [*path, None]:
+        if key is None and path and tag_of(path[-1]) not in WHOLE:
+            break
+        inside = []
+        for node in found:
+            out.update(x for x in (node.text or "").split("\n") if x in own)
+            for part in node.parts:
+                if part.key == key:
+                    inside.append(part)
+                else:
+                    gather(part)
+        found = inside
     return sorted(out)
 
 
 def main_text(page: Element, path: list[str], same: frozenset[str]) -> str:
-    """Blocks of the elements at ``path`` without the host's constant texts; "" if there are none."""
+    """Blocks of the elements at ``path``; of the whole page without the host's own texts. "" if there are none."""
     found = [page]
     for key in path:
         found = [p for e in found for p in e.parts if not isinstance(p, str) and p.key == key and not p.aside]
-    texts = [t for e in found for t in blocks(e)]
-    semantic = path and path[-1].split(".")[0].split("#")[0] in MAIN
-    if not semantic and same:
-        texts = [t for t in texts if f"{len(t)} {t[:TEXT_KEY]}" not in same]
-    return "\n".join(texts)
+    if not same or path and tag_of(path[-1]) not in WHOLE:
+        return "\n".join(t for e in found for t in blocks(e))
+
+    def owned(part: Element) -> bool:
+        return part.tag not in BLOCK and not part.aside and all(text_key(t) in same for t in blocks(part))
+
+    texts = []
+    for e in found:
+        rest = Element(e.tag, e.key, False)
+        # An empty element in its place still parts the texts around it.
+        rest.parts = [p if isinstance(p, str) or not owned(p) else Element(p.tag, p.key, False) for p in e.parts]
+        texts += blocks(rest)
+    while texts and text_key(texts[-1]) in same:
+        texts.pop()
+    first = next((i for i, t in enumerate(texts) if text_key(t) not in same), 0)
+    return "\n".join(texts[first:])
+
+
+def own_texts(page: Element) -> set[str]:
+    """Keys of the texts of a page's elements, asides left out."""
+    out, todo = set(), [page]
+    while todo:
+        element = todo.pop()
+        if not element.aside:
+            if text := own_text(element):
+                out.add(text_key(text))
+            todo.extend(p for p in element.parts if not isinstance(p, str))
+    return out
+
+
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "html", PAGE_BYTES):
+        out: list[tuple[str, bytes, str | None]] = []
+        for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            page = hashlib.blake2b(source.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            out.append((host, page, None))
+            # An article needs no own texts: such a page counts, but its texts do not.
+            if not HAS_MAIN.search(source):
+                out.extend((host, page, x) for x in own_texts(parse(source)))
+        columns = list(zip(*out, strict=True)) or [[]] * 3
+        kinds = (pa.string(), pa.binary(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["host", "page", "text"])
+
+
+def host_texts(pages: DataFrame) -> DataFrame:
+    """(host, own): the texts on nearly all distinct pages of a host; pages equal in html count once."""
+    seen = pages.mapInArrow(_seen, "host string, page binary, text string").distinct()
+    counted = stage(seen.groupBy("host", "text").agg(F.count("*").alias("pages")).where(F.col("pages") >= CONSTANT), "host-texts")
+    sizes = counted.where("text is null").select("host", F.col("pages").alias("of"))
+    own = counted.where("text is not null").join(sizes, "host").where(F.col("pages") >= NEARLY_ALL * F.col("of"))
+    return own.groupBy("host").agg(F.collect_list("text").alias("own"))
 
 
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,14 +294,25 @@ def _join_up(rows: pa.Table) -> pa.Table:
     for packed in sorted(rows["wrapper"].to_pylist()):
         node = Node.unpacked(json.loads(packed))
         wrapper = node if wrapper is None else aligned(wrapper, node)
-    rule = json.dumps({"path": main_path(wrapper), "same": constants(wrapper)})
-    return pa.table({"host": rows["host"].slice(0, 1), "wrapper": pa.array([json.dumps(wrapper.packed())]), "rule": pa.array([rule])})
+    return pa.table({"host": rows["host"].slice(0, 1), "wrapper": pa.array([json.dumps(wrapper.packed())])})
+
+
+def _rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rules = []
+        for packed, texts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            wrapper, own = Node.unpacked(json.loads(packed)), frozenset(texts or ())
+            path = main_path(wrapper, own)
+            rules.append(json.dumps({"path": path, "same": constants(wrapper, path, own)}))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rules, pa.string())], names=["host", "wrapper", "rule"])
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper, rule) of every host of ``pages`` (host, html), from all of its pages."""
-    partial = pages.select("host", F.coalesce("html", F.lit("")).alias("html")).mapInArrow(_infer, "host string, wrapper string")
-    return partial.groupBy("host").applyInArrow(_join_up, "host string, wrapper string, rule string")
+    pages = pages.select("host", F.coalesce("html", F.lit("")).alias("html"))
+    partial = pages.mapInArrow(_infer, "host string, wrapper string")
+    wrappers = partial.groupBy("host").applyInArrow(_join_up, "host string, wrapper string")
+    return wrappers.join(host_texts(pages), "host", "left").mapInArrow(_rules, "host string, wrapper string, rule string")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +328,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = parse(source or "")
             path, same = rules[rule]
             # A page unlike its host's wrapper is taken by itself.
-            texts.append(main_text(page, path, same) or main_text(page, main_path(of_page(page)), same))
+            texts.append(main_text(page, path, same) or main_text(page, main_path(of_page(page), same), same))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 

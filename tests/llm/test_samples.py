@@ -249,3 +249,29 @@ def test_pages_query_on_given_pages(spark):
         parts = [re.sub(r"<(?!/?(p|h1)\b)[^>]+>", "", x.replace("<br>", " ")) for x in re.split(r"</?(?:p|h1)>", article)]
         want = "\n".join(x for x in (" ".join(html.unescape(p).split()) for p in parts) if x)
         assert (got[r["page_id"]]["text"], got[r["page_id"]]["n_chars"]) == (want, len(want))
+
+
+def extracted(spark, sources, host="x.org"):
+    """Texts of pages of one host, in order."""
+    df = spark.createDataFrame([(k, f"http://{host}/{k}", s) for k, s in enumerate(sources)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(main_texts(df).collect(), key=lambda r: r["page_id"])]
+
+
+def test_copies_and_shared_heads_are_no_host_texts(spark):
+    page = "<html><body><div>Welcome to this site</div><h1>Title {0}</h1><h2>Ingredients</h2><p>Body {0}</p><div>All rights</div></body></html>"
+    extra = "<h2>Shared by three</h2></body>"
+    numbers = [*range(30), 0, 0, 0, 1, 2]
+    sources = [page.format(k) for k in numbers]
+    for k in (10, 11, 12):
+        sources[k] = sources[k].replace("</body>", extra)
+    want = [f"Title {k}\nIngredients\nBody {k}" for k in numbers]
+    for k in (10, 11, 12):
+        want[k] += "\nShared by three"
+    assert extracted(spark, sources) == want
+    assert extracted(spark, ["<html><body><h1>Only</h1><p>one text</p></body></html>"] * 4) == ["Only\none text"] * 4
+
+
+def test_long_texts_that_begin_alike_differ(spark):
+    start = "word " * 60
+    page = "<html><body><div>" + start + "here</div><p>Story {0}</p><p>" + start + "{1}</p></body></html>"
+    assert extracted(spark, [page.format(k, 1000 + k) for k in range(5)]) == [f"Story {k}\n{start}{1000 + k}" for k in range(5)]
