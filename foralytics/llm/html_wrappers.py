@@ -34,8 +34,8 @@ from foralytics.scratch import stage
 
 # Siblings that repeat together, at most.
 GROUP = 3
-# Share of an element's varying text that its one part must hold to be entered.
-SHARE = 0.8
+# Elements deeper than this are one with the element around them.
+DEPTH = 60
 # Distinct pages, and share of a host's distinct pages, on which a text must stand to be the host's own.
 CONSTANT = 3
 NEARLY_ALL = 0.9
@@ -87,10 +87,10 @@ def tag_of(key: str) -> str:
 
 
 def of_page(element: Element, depth: int = 0) -> Node:
-    """A page's own wrapper, repeated siblings folded; what lies deeper than 60 elements is left out."""
-    text = own_text(element)
+    """A page's own wrapper, repeated siblings folded; an element at ``DEPTH`` has all text below it as its own."""
+    text = own_text(element) if depth < DEPTH else tidy(" ".join(blocks(element)))
     node = Node(element.key, aside=element.aside, chars=len(text), text=text_key(text) if text else "")
-    if not element.aside and depth < 60:
+    if not element.aside and depth < DEPTH:
         node.parts = fold([of_page(p, depth + 1) for p in element.parts if not isinstance(p, str)])
     return node
 
@@ -168,7 +168,7 @@ def main_path(wrapper: Node, own: frozenset[str] = frozenset()) -> list[str]:
     """Keys from the page down to the element that holds the varying text.
 
     An ``article`` or ``main`` element wins, the one with most of it; otherwise the way leads into a part
-    as long as it holds nearly all that varies and is no block of text itself.
+    as long as it alone holds what varies and is no block of text itself.
     """
     best: tuple[int, list[str]] = (0, [])
     todo: list[tuple[Node, list[str]]] = [(wrapper, [])]
@@ -185,9 +185,9 @@ def main_path(wrapper: Node, own: frozenset[str] = frozenset()) -> list[str]:
         return best[1][1:]
     path, node = [], wrapper
     while True:
-        held = varying(node, own)
-        inner = [p for p in node.parts if held and varying(p, own) >= SHARE * held and not p.repeated]
-        if not inner or tag_of(inner[0].key) in BLOCK:
+        inner = [p for p in node.parts if varying(p, own)]
+        # Varying text of the element itself, beside its parts, would be lost inside of one.
+        if len(inner) != 1 or varying(node, own) > varying(inner[0], own) or inner[0].repeated or tag_of(inner[0].key) in BLOCK:
             return path
         node = inner[0]
         path.append(node.key)
@@ -246,13 +246,14 @@ def main_text(page: Element, path: list[str], same: frozenset[str]) -> str:
 
 def own_texts(page: Element) -> set[str]:
     """Keys of the texts of a page's elements, asides left out."""
-    out, todo = set(), [page]
+    out, todo = set(), [(page, 0)]
     while todo:
-        element = todo.pop()
+        element, depth = todo.pop()
         if not element.aside:
-            if text := own_text(element):
+            if text := own_text(element) if depth < DEPTH else tidy(" ".join(blocks(element))):
                 out.add(text_key(text))
-            todo.extend(p for p in element.parts if not isinstance(p, str))
+            if depth < DEPTH:
+                todo.extend((p, depth + 1) for p in element.parts if not isinstance(p, str))
     return out
 
 

@@ -275,3 +275,17 @@ def test_long_texts_that_begin_alike_differ(spark):
     start = "word " * 60
     page = "<html><body><div>" + start + "here</div><p>Story {0}</p><p>" + start + "{1}</p></body></html>"
     assert extracted(spark, [page.format(k, 1000 + k) for k in range(5)]) == [f"Story {k}\n{start}{1000 + k}" for k in range(5)]
+
+
+def test_parts_beside_the_largest_stay(spark):
+    page = "<html><body><div>Welcome to this site</div><h1>Title {0}</h1><div class=entry>" + "<p>Story {0} goes on and on and on</p>" * 9 + "{1}</div></body></html>"
+    second = "</div><div class=more><p>Second part {0}</p>"
+    sources = [page.format(k, second.format(k) if k == 4 else "") for k in range(8)]
+    want = ["\n".join([f"Title {k}", *[f"Story {k} goes on and on and on"] * 9, *[f"Second part {k}"] * (k == 4)]) for k in range(8)]
+    assert extracted(spark, sources) == want
+
+
+def test_text_below_the_depth_limit_counts():
+    deep = "<div>" * 70 + "long and deep text " * 20 + "</div>" * 70
+    page = parse(f"<html><body><div class=a>{deep}</div><div class=b>short</div></body></html>")
+    assert main_path(of_page(page)) == ["html", "body"]
