@@ -44,11 +44,15 @@ class Element:
 
 
 def _marks(attributes: str) -> tuple[str, bool]:
-    """(key, whether the marks tell of an aside)."""
+    """(key, whether the marks tell of an aside); words of classes and ids with digits are a page's own and no part of the key."""
     key, aside = "", False
     for m in MARK.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
-        key += f".{value}" if m[1].lower() == "class" else f"#{value}" if m[1].lower() == "id" and not re.search(r"\d", value) else ""
+        if m[1].lower() == "class":
+            words = " ".join(w for w in value.split() if not re.search(r"\d", w))
+            key += f".{words}" if words else ""
+        elif m[1].lower() == "id" and not re.search(r"\d", value):
+            key += f"#{value}"
         aside = aside or any(w.lower() in ASIDE_WORDS for w in WORDS.findall(value))
     return key, aside
 
@@ -97,6 +101,8 @@ def parse(source: str) -> Element:
         while stack[-1].tag in over:
             stack.pop()
         key, aside = _marks(token[4]) if token[4] else ("", False)
+        # A page has one html and one body, whose classes often name the page.
+        key = "" if tag in ("html", "body") else key
         element = Element(tag, tag + key, tag in ASIDE or (aside and tag not in ("html", "body", "article", "main")))
         stack[-1].parts.append(element)
         if tag not in VOID and not token[4].endswith("/"):

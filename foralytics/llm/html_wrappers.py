@@ -9,8 +9,9 @@ texts that differ. It begins as the first page; each further page is aligned wit
 * a text that differs becomes a slot.
 
 Aligning two wrappers works the same way, so every task infers wrappers from its own
-pages, and one task a host aligns these: a host's pages never meet in one place. What
-varies inside a host is its content: the wrapper says which element holds it.
+pages, and these are aligned in rounds of up to ``FAN`` of a host: a host's pages never
+meet in one place. What varies inside a host is its content: the wrapper says which
+element holds it.
 
 A text is the host's own if it stands on nearly all of its distinct pages; these are
 counted by a Spark aggregation. Own texts are dropped only where no element was entered,
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,9 @@ from foralytics.scratch import stage
 
 # Siblings that repeat together, at most.
 GROUP = 3
+# Wrappers of a host that one task aligns, at most, up to FAN to the power of ROUNDS + 1 tasks.
+FAN = 64
+ROUNDS = 2
 # Elements deeper than this are one with the element around them.
 DEPTH = 60
 # Distinct pages, and share of a host's distinct pages, on which a text must stand to be the host's own.
@@ -280,6 +285,9 @@ def host_texts(pages: DataFrame) -> DataFrame:
     return own.groupBy("host").agg(F.collect_list("text").alias("own"))
 
 
+PARTIAL = "host string, part long, wrapper string"
+
+
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wrappers: dict[str, Node] = {}
     for batch in slices(batches, "html", PAGE_BYTES):
@@ -287,7 +295,9 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             node = of_page(parse(source))
             wrappers[host] = aligned(wrappers[host], node) if host in wrappers else node
     packed = [json.dumps(w.packed()) for w in wrappers.values()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(wrappers), pa.string()), pa.array(packed, pa.string())], names=["host", "wrapper"])
+    parts = [TaskContext.get().partitionId()] * len(packed)
+    columns = [pa.array(list(wrappers), pa.string()), pa.array(parts, pa.int64()), pa.array(packed, pa.string())]
+    yield pa.RecordBatch.from_arrays(columns, names=["host", "part", "wrapper"])
 
 
 def _join_up(rows: pa.Table) -> pa.Table:
@@ -295,7 +305,7 @@ def _join_up(rows: pa.Table) -> pa.Table:
     for packed in sorted(rows["wrapper"].to_pylist()):
         node = Node.unpacked(json.loads(packed))
         wrapper = node if wrapper is None else aligned(wrapper, node)
-    return pa.table({"host": rows["host"].slice(0, 1), "wrapper": pa.array([json.dumps(wrapper.packed())])})
+    return pa.table({"host": rows["host"].slice(0, 1), "part": rows["part"].slice(0, 1), "wrapper": pa.array([json.dumps(wrapper.packed())])})
 
 
 def _rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,9 +321,12 @@ def _rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper, rule) of every host of ``pages`` (host, html), from all of its pages."""
     pages = pages.select("host", F.coalesce("html", F.lit("")).alias("html"))
-    partial = pages.mapInArrow(_infer, "host string, wrapper string")
-    wrappers = partial.groupBy("host").applyInArrow(_join_up, "host string, wrapper string")
-    return wrappers.join(host_texts(pages), "host", "left").mapInArrow(_rules, "host string, wrapper string, rule string")
+    wrappers = pages.mapInArrow(_infer, PARTIAL)
+    for done in range(ROUNDS, -1, -1):
+        # The tasks' numbers lose a digit of base FAN a round; the last round has one group a host.
+        wrappers = wrappers.withColumn("part", F.expr(f"part div {FAN}") if done else F.lit(0).cast("long"))
+        wrappers = wrappers.groupBy("host", "part").applyInArrow(_join_up, PARTIAL)
+    return wrappers.select("host", "wrapper").join(host_texts(pages), "host", "left").mapInArrow(_rules, "host string, wrapper string, rule string")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -289,3 +289,17 @@ def test_text_below_the_depth_limit_counts():
     deep = "<div>" * 70 + "long and deep text " * 20 + "</div>" * 70
     page = parse(f"<html><body><div class=a>{deep}</div><div class=b>short</div></body></html>")
     assert main_path(of_page(page)) == ["html", "body"]
+
+
+def test_classes_of_single_pages_do_not_part_a_host(spark):
+    page = "<html><body class='postid-{0} slug-{1}'><div>Welcome to this site</div><div class='entry post-{0}'><h1>Title {0}</h1><p>Story {0}</p></div></body></html>"
+    sources = [page.format(100 + k, "abcdefgh"[k]) for k in range(8)]
+    assert extracted(spark, sources) == [f"Title {100 + k}\nStory {100 + k}" for k in range(8)]
+
+
+def test_wrappers_are_aligned_in_rounds(spark):
+    html = "<html><body><div>Welcome</div><div class=entry><h1>Title {0}</h1><p>Story {0}</p></div></body></html>"
+    df = spark.createDataFrame([("x", html.format(k)) for k in range(150)], "host string, html string").repartition(150)
+    got = infer_wrappers(df)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("FlatMapGroupsInArrow") == 3
+    assert [r["rule"] for r in got.collect()] == ['{"path": ["html", "body", "div.entry"], "same": ["7 Welcome"]}']
