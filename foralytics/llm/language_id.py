@@ -217,11 +217,12 @@ def pooled(model: Model, texts: list[bytes]) -> np.ndarray:
 
 
 def sample(labelled: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """Up to ``rows`` texts of each language, by the hash of the text: the documented bound of the training."""
+    """Up to ``rows`` different texts of each language, by the hash of the text: the documented bound of the training."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    chosen = labelled.where("lang is not null and text is not null").select(
-        "lang", F.substring("text", 1, BYTES_PER_ROW).alias("text")
-    ).withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
+    texts = labelled.where("lang is not null and text is not null").select("lang", F.substring("text", 1, BYTES_PER_ROW).alias("text"))
+    # Texts that the training cannot tell apart take one place.
+    different = texts.groupBy("lang", F.substring(F.col("text").cast("binary"), 1, BYTES_PER_ROW)).agg(F.min("text").alias("text"))
+    chosen = different.select("lang", "text").withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
     return [(r["text"], r["lang"]) for r in chosen.orderBy("lang", "place").collect()]
 
 

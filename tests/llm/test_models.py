@@ -176,3 +176,13 @@ def test_pooling_covers_whole_texts():
     chance = language_id.pooled(model, [long, b"aaaa aaaa", b"bbbb", b""])
     assert chance[0][1] == pytest.approx(9 / 14, abs=0.05)
     assert chance[1].argmax() == 0 and chance[2].argmax() == 1 and chance[3].sum() == 0
+
+
+def test_copies_take_one_place_of_the_sample(spark):
+    cut = language_id.BYTES_PER_ROW
+    table = [("copied text " * 3, "en")] * 500 + [(f"text {k}", "en") for k in range(50)]
+    table += [("é" * (cut - 1) + str(k), "fr") for k in range(9)] + [("x" * cut + str(k), "de") for k in range(9)] + [(None, "en"), ("a", None)]
+    got = language_id.sample(spark.createDataFrame(table, "text string, lang string"), 40)
+    by_lang = {k: [t for t, lang in got if lang == k] for k in ("en", "fr", "de")}
+    assert len(by_lang["en"]) == len(set(by_lang["en"])) == 40 and len(by_lang["fr"]) == len(by_lang["de"]) == 1
+    assert len(language_id.sample(spark.createDataFrame(table, "text string, lang string"))) == 53
