@@ -93,9 +93,9 @@ def find_items(text: str, automaton: ahocorasick.Automaton) -> dict[Item, tuple[
     for end, owners in automaton.iter(text):
         for item, piece_end in owners:
             start = end + 1 - piece_end
-            if (item.item_id, start) in tried or best.get(item, (1,))[0] == 0:
+            if (item, start) in tried or best.get(item, (1,))[0] == 0:
                 continue
-            tried.add((item.item_id, start))
+            tried.add((item, start))
             first = max(0, start - item.edits)
             found = item.distance(text[first : start + len(item.text) + item.edits])
             if found and (item not in best or found[0] < best[item][0]):

@@ -194,3 +194,12 @@ def test_no_documents_and_no_items(spark):
     assert remove_repeats(empty(spark)).collect() == []
     some = spark.createDataFrame([(1, "an item of some length that is nowhere")], "item_id long, text string")
     assert find_leaks(empty(spark), some).collect() == []
+
+
+def test_items_of_one_id_that_begin_alike_are_all_found(spark):
+    random.seed(9)
+    begin, one, two = (" ".join(f"w{random.randint(0, 999):03}" for _ in range(20)) for _ in range(3))
+    docs = documents(spark, [(1, f"before {begin} {one} after", "en", "s"), (2, f"before {begin} {two} after", "en", "s")])
+    for item_id in (None, 7):
+        items = spark.createDataFrame([(item_id, f"{begin} {one}"), (item_id, f"{begin} {two}")], "item_id long, text string")
+        assert rows(find_leaks(docs, items).select("doc_id", "item_id", "edits")) == [(1, item_id, 0), (2, item_id, 0)]
