@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foralytics.llm import decontamination, html_wrappers, jaccard_join, language_id, mixing, periodic_runs, scoring, sharding, spot_signatures, substrings, token_files
+from foralytics.llm import decontamination, html_wrappers, jaccard_join, language_id, merkle_manifest, mixing, periodic_runs, quality_classifier, scoring, sharding, spot_signatures, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mixing.op8_mixing,
         html_wrappers.op9_html_extraction,
         language_id.op10_language_id,
+        merkle_manifest.op11_merkle_manifest,
+        quality_classifier.op12_quality,
         periodic_runs.op13_periodic_runs,
     )
 }
