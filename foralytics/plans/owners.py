@@ -3,12 +3,16 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from foralytics.functions.values import pair_text
+from foralytics.functions.values import bucket_of, pair_text
 from foralytics.plans.posts import questions
-from foralytics.schemas import POSTS, USERS
+from foralytics.schemas import POSTS, QUESTION, USERS
 from foralytics.sinks.files import key_value_lines
-from foralytics.sources.csv import POST_KEY, POST_PREFIX, USER_PREFIX, tagged_rows
+from foralytics.sources.csv import POST_PREFIX, USER_PREFIX, tagged_structs
+
+# Partitions that the questions of one owner are dealt over.
+SALTS = 8
 
 
 def question_owner(posts: DataFrame, users: DataFrame) -> DataFrame:
@@ -23,16 +27,30 @@ def question_owner(posts: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def question_owner_tagged(
-    lines: DataFrame, post_schema: T.StructType = POSTS, user_schema: T.StructType = USERS
+    lines: DataFrame, post_schema: T.StructType = POSTS, user_schema: T.StructType = USERS, salts: int = SALTS
 ) -> DataFrame:
-    """The same table out of one mixed input of prefixed post and user lines.
+    """The same table out of one mixed input of prefixed post and user lines, read once.
 
-    The lines are routed by prefix into the two sides of the join, which unlike
-    a group of both kinds does not hold all questions of an owner together.
+    Questions and users meet in the partition of the owner, users first, and every
+    question takes the fields of the users before it. Users are sent to ``salts``
+    partitions each and the questions of an owner are dealt over them by their id, so an
+    owner with very many questions is no single task. As in a join, a question whose
+    owner occurs twice comes out twice.
     """
-    posts = tagged_rows(lines, POST_PREFIX, post_schema, POST_KEY)
-    users = tagged_rows(lines, USER_PREFIX, user_schema)
-    return question_owner(posts, users)
+    both = tagged_structs(lines, post=(POST_PREFIX, post_schema), user=(USER_PREFIX, user_schema))
+    is_user = F.col("user.Id").isNotNull()
+    asked = (F.col("post.PostTypeId") == QUESTION) & F.col("post.OwnerUserId").isNotNull()
+    everywhere = F.sequence(F.lit(0), F.lit(salts - 1))
+    met = both.where(is_user | asked).select(
+        F.coalesce("user.Id", "post.OwnerUserId").alias("owner"),
+        is_user.alias("is_user"),
+        F.col("post.Id").alias("QuestionId"),
+        F.when(is_user, F.struct("user.Reputation", "user.DisplayName")).alias("fields"),
+        F.explode(F.when(is_user, everywhere).otherwise(F.array(bucket_of(F.col("post.Id"), salts)))).alias("salt"),
+    )
+    before = Window.partitionBy("owner", "salt").orderBy(F.desc("is_user")).rowsBetween(Window.unboundedPreceding, 0)
+    owned = met.withColumn("users", F.collect_list("fields").over(before)).where(~F.col("is_user"))
+    return owned.select("QuestionId", F.inline("users"))
 
 
 def owner_lines(owned: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ Quotes inside a field are doubled and fields are stripped.  Every record is firs
 as texts and then typed, so nothing is lost without a word: a record is dropped
 only when it is the header, or when a field the caller requires is missing or does
 not parse; ``strict`` drops every record with any bad field.  Reading line by line
-fails on a line whose quotes are open at its end.
+fails on a line whose quotes are open at its end.  A record is parsed once, by a
+generator in the plan that no filter and no projection crosses.
 """
 
 from collections.abc import Sequence
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foralytics.schemas import POSTS, USERS
+from foralytics.sources.csv_records import quote_count, read_records
 
 # The CSV dialect, doubled quotes and stripped fields.
 DIALECT = {
@@ -51,33 +53,38 @@ def read_csv_table(
 ) -> DataFrame:
     """Records of CSV files with a positional schema.
 
-    By default every line is one record, so large files are split over tasks; a
-    newline inside quotes is an error then. ``multi_line`` accepts it, at the price
-    of one task per file: convert such a dump once. With ``header``, records whose
+    By default every line is one record, and a newline inside quotes is an error;
+    ``multi_line`` accepts it, at the price of a pass that counts quotes. Large files
+    are split over tasks either way. With ``header``, records whose
     first field is the name of the first column are headers, in any file or in none.
     ``strict`` drops records with too few or too many fields or any that does not parse.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())])
-    if multi_line:
-        reader = spark.read.schema(texts).options(**DIALECT, multiLine=True, columnNameOfCorruptRecord=CORRUPT)
-        rows = reader.csv(paths)
-    else:
-        rows = line_records(spark.read.text(paths), texts)
+    records = read_records(spark, paths) if multi_line else whole_lines(spark.read.text(paths))
+    rows = parsed(records, "value", texts, columnNameOfCorruptRecord=CORRUPT, multiLine="true")
     if header:
         first = schema.fields[0].name
         rows = rows.where(F.coalesce(F.trim(first) != first, F.lit(True)))
     return require(typed(rows, schema, strict), required)
 
 
-def line_records(lines: DataFrame, texts: T.StructType) -> DataFrame:
-    """Lines as records of texts; a line that ends inside quotes fails the job."""
+def whole_lines(lines: DataFrame) -> DataFrame:
+    """Lines as records; one that ends inside quotes fails the job."""
     value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    whole = F.when(quotes % 2 == 0, value).otherwise(
+    whole = F.when(quote_count() % 2 == 0, value).otherwise(
         F.raise_error(F.concat(F.lit("a CSV record goes on after its line, read it with --multi-line: "), F.substring(value, 1, 200)))
     )
-    row = parse_csv(whole, texts, columnNameOfCorruptRecord=CORRUPT)
-    return lines.where(F.length(F.trim(value)) > 0).select(row.alias("row")).select("row.*")
+    return lines.where(F.length(F.trim(value)) > 0).select(whole.alias("value"))
+
+
+def parsed(lines: DataFrame, value: str | Column, schema: T.StructType, **options: str) -> DataFrame:
+    """One row a line in the columns of the schema, each line parsed once.
+
+    The parsed struct goes through a generator of one row: what is asked of its fields
+    later is asked of its output, where an expression would be parsed again for each use.
+    """
+    line = F.col(value) if isinstance(value, str) else value
+    return lines.select(F.inline(F.array(parse_csv(line, schema, **options))))
 
 
 def typed(rows: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
@@ -143,8 +150,18 @@ def tagged_rows(
 ) -> DataFrame:
     """The rows of one source out of prefixed lines of several."""
     mine = lines.where(F.col("value").startswith(prefix))
-    row = parse_csv(F.col("value").substr(len(prefix) + 1, 2**31 - 1), schema)
-    return require(mine.select(row.alias("row")).select("row.*"), required)
+    return require(parsed(mine, F.col("value").substr(len(prefix) + 1, 2**31 - 1), schema), required)
+
+
+def tagged_structs(lines: DataFrame, **sources: tuple[str, T.StructType]) -> DataFrame:
+    """A struct column for each source (prefix, schema), in one pass: of a line all but its own are NULL."""
+    value = F.col("value")
+    structs = [
+        F.when(value.startswith(prefix), parse_csv(value.substr(len(prefix) + 1, 2**31 - 1), schema)).alias(name)
+        for name, (prefix, schema) in sources.items()
+    ]
+    # One generator over all of them, so each line is parsed once and by one schema.
+    return lines.select(F.inline(F.array(F.struct(*structs))))
 
 
 def in_layout(df: DataFrame, schema: T.StructType) -> DataFrame:
