@@ -24,19 +24,35 @@ def tag_cooccurrence(posts: DataFrame, min_count: int = 1) -> DataFrame:
     """How many questions carry both tags of a pair, ``tag1 < tag2``.
 
     Questions with the very same tag string are counted first, so a popular
-    combination is parsed and paired once, with its number of questions.
+    combination is parsed and paired once, with its number of questions. With
+    ``min_count``, tags on fewer questions than that are taken out before any pair is
+    made, as no pair of theirs can be on more.
     """
     combinations = (
         questions(posts).where(F.col("Tags").isNotNull()).groupBy("Tags").agg(F.count(F.lit(1)).alias("n"))
-    )
+    ).select("Tags", "n", parse_tags(F.col("Tags")).alias("items"))
+    if min_count > 1:
+        combinations = of_frequent_tags(combinations, min_count)
     counts = (
-        pair_rows(combinations, parse_tags(F.col("Tags")), "tag1", "tag2")
+        pair_rows(combinations.select("n", "items"), F.col("items"), "tag1", "tag2")
         .groupBy("tag1", "tag2")
         .agg(F.sum("n").alias("count"))
     )
     return counts if min_count <= 1 else counts.where(F.col("count") >= min_count)
 
 
+def of_frequent_tags(combinations: DataFrame, min_count: int) -> DataFrame:
+    """(items, n) with only the tags of at least ``min_count`` questions, where two or more are left.
+
+    Combinations that are alike after that are counted as one.
+    """
+    single = combinations.select("Tags", "n", F.explode("items").alias("tag"))
+    frequent = single.groupBy("tag").agg(F.sum("n").alias("total")).where(F.col("total") >= min_count)
+    # A combination has few tags, each in it once.
+    kept = single.join(frequent, "tag", "left_semi").groupBy("Tags", "n").agg(F.array_sort(F.collect_list("tag")).alias("items"))
+    return kept.where(F.size("items") > 1).groupBy("items").agg(F.sum("n").alias("n"))
+
+
 def question_tags(posts: DataFrame) -> DataFrame:
     """Bridge of questions and tags out of the tag strings: ``Id``, ``TagName``."""
     return questions(posts).select("Id", F.explode(parse_tags(F.col("Tags"))).alias("TagName"))

@@ -93,3 +93,18 @@ def test_scalar_helpers(spark):
     nothing = F.lit(None).cast("string")
     assert pair.select(v.pair_text(nothing, F.col("n"))).first()[0] == "(,Daniel)"
     assert pair.select(v.pair_text(F.col("r"), nothing)).first()[0] == "(39,)"
+
+
+def test_rare_tags_make_no_pair(spark):
+    # Two frequent tags, and on every question 30 that are on no other.
+    rows = [question(i, tags="<a><b>" * (i % 4 > 0) + "".join(f"<r{i}x{k}>" for k in range(30))) for i in range(60)]
+    table = posts(spark, *rows, question(100, tags="<c><a>"), question(101, tags="<c><b>"), question(102, tags="<c>"))
+    assert unordered(t.tag_cooccurrence(table, 2)) == [("a", "b", 45)]
+    assert unordered(t.tag_cooccurrence(table, 46)) == []
+    every = {(a, b): n for a, b, n in unordered(t.tag_cooccurrence(table))}
+    assert len(every) > 60 * 30 * 29 / 2 and every["a", "b"] == 45
+    counted = table.where("PostTypeId = 1").groupBy("Tags").count().select("Tags", F.col("count").alias("n"), parse_tags(F.col("Tags")).alias("items"))
+    # All combinations shrink to those of frequent tags, and alike ones to one.
+    assert unordered(t.of_frequent_tags(counted, 3)) == [(["a", "b"], 45), (["a", "c"], 1), (["b", "c"], 1)]
+    for least in (2, 3, 4, 45):
+        assert unordered(t.tag_cooccurrence(table, least)) == sorted((a, b, n) for (a, b), n in every.items() if n >= least)
