@@ -1,10 +1,13 @@
+import bisect
 import random
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from foralytics.operators.selection import lower_half
+from foralytics.operators.quantiles import summary
+from foralytics.operators.selection import lower_half, row_at
 from helpers import plan, unordered
 
 
@@ -14,13 +17,13 @@ def test_half_of_consecutive_keys(spark, n):
     assert sorted(r.id for r in lower_half(df, ["id"]).collect()) == list(range(n // 2, n))
 
 
-@pytest.mark.parametrize("cells", [9, 4096])
-def test_half_equals_a_sort(spark, cells):
+@pytest.mark.parametrize("size", [9, 60, 4096])
+def test_half_equals_a_sort(spark, size):
     draw = random.Random(3)
     data = [(draw.choice([5, 5, 5, -(2**62), 2**62, draw.randrange(-99, 99)]), i) for i in range(501)]
     draw.shuffle(data)
     df = spark.createDataFrame(data, "a bigint, b bigint")
-    got = lower_half(df, ["a", "b"], cells)
+    got = lower_half(df, ["a", "b"], size)
     assert unordered(got) == sorted(sorted(data)[250:], key=repr)
     first = set(unordered(df.exceptAll(got)))
     assert len(first) == 250 and not first & set(unordered(got))
@@ -51,7 +54,63 @@ def test_half_by_date_and_time(spark):
 
 
 def test_half_refuses_other_types_before_any_job(spark):
-    df = spark.createDataFrame([(1.5, "1"), (2.5, "9")], "d double, s string")
+    df = spark.createDataFrame([(1.5, [1]), (2.5, [9])], "d double, s array<int>")
     for name in ("d", "s"):
         with pytest.raises(ValueError, match="cannot order a half"):
             lower_half(df, [name])
+
+
+def test_half_by_texts_and_decimals(spark):
+    draw = random.Random(7)
+    data = [("".join(draw.choice("aZé漢🙂 \n'") for _ in range(draw.randint(0, 6))), Decimal(draw.randrange(-(10**20), 10**20)) / 100, i) for i in range(700)]
+    df = spark.createDataFrame(data, "t string, d decimal(38,2), i int").repartition(5)
+    for order, key in ((["t", "i"], lambda r: (r[0].encode(), r[2])), (["d"], lambda r: r[1]), (["d", "t"], lambda r: r[1])):
+        wanted = sorted((tuple(r) for r in df.collect()), key=key)[350:]
+        for size in (8, 100):
+            assert unordered(lower_half(df, order, size)) == sorted(wanted, key=repr)
+
+
+def test_half_with_a_third_of_the_rows_in_one_value(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("id")).alias("k"), "id").repartition(6)
+    want = sorted((tuple(r) for r in df.collect()))[4500:]
+    assert sorted(tuple(r) for r in lower_half(df, ["k", "id"], 40).collect()) == want
+    # The equal rows are no obstacle unless the cut is among them.
+    assert row_at(df.select("k"), 4500, None, 40) == ((want[0][0],), 1)
+    assert row_at(df.select("k"), 1000, None, 40) == ((77,), 3001)
+    with pytest.raises(ValueError, match="identify"):
+        lower_half(df.select(F.col("k") % 2), ["(k % 2)"], 40)
+
+
+@pytest.mark.parametrize("size", [16, 300])
+def test_ranks_of_a_summary_are_within_its_slack(spark, size):
+    draw = random.Random(size)
+    values = [draw.choice([draw.randrange(50), draw.randrange(10**9)]) for _ in range(20_000)]
+    found = summary(spark.createDataFrame([(v,) for v in values], "v bigint").repartition(9), size)
+    assert found.count == len(values) and 0 < found.slack < len(values)
+    assert len(found.rows) <= 4 * size and found.rows == sorted(found.rows)
+    values.sort()
+    seen = 0
+    for (value,), weight in zip(found.rows, found.weights):
+        assert bisect.bisect_left(values, value) - found.slack <= seen + weight
+        seen += weight
+        assert seen <= bisect.bisect_right(values, value) + found.slack
+    for position in range(0, len(values), 777):
+        low, high = found.bracket(position)
+        assert (low is None or low[0] <= values[position]) and (high is None or values[position] <= high[0])
+
+
+def test_half_scans_the_table_twice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(60_000).select((F.col("id") * F.col("id") * F.col("id")).alias("k")).repartition(4).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        reads.add(1)
+        yield from batches
+
+    # Every scan starts a task for each of the partitions.
+    table = spark.read.parquet(path).coalesce(1)
+    counted = table.mapInArrow(watched, table.schema)
+    half = lower_half(counted, ["k"], 64)
+    assert reads.value == 2
+    assert half.count() == 30_000
