@@ -24,11 +24,11 @@ def _posts(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _respuestas(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    return parquet.read_table(spark, args.respuestas, RESPUESTAS)
+    return parquet.read_buckets(spark, args.respuestas, RESPUESTAS)
 
 
 def _preguntas(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    return parquet.read_table(spark, args.preguntas, PREGUNTAS)
+    return parquet.read_buckets(spark, args.preguntas, PREGUNTAS)
 
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -40,6 +40,11 @@ def extract(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     for frame, path, schema in outputs:
         frame = frame.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        if args.buckets:
+            files.write_buckets(frame, path, "QuestionId", args.buckets)
+            if args.report:
+                print(f"{path}: {args.buckets} buckets, {len(files.written_files(spark, path))} files")
+            continue
         partitions = files.write_gzip_parquet(frame, path)
         if args.report:
             found = files.written_files(spark, path)
@@ -159,7 +164,7 @@ def lines(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def half(spark: SparkSession, args: argparse.Namespace) -> None:
-    """The second half of a Parquet table in the order of integer columns."""
+    """The second half of a Parquet table in the order of columns that identify a row."""
     order = [c.strip() for c in args.order.split(",")]
     table = parquet.read_table(spark, args.input)
     lower_half(table, order).orderBy(*order).write.mode("overwrite").parquet(args.output)
@@ -170,13 +175,16 @@ def inspect(spark: SparkSession, args: argparse.Namespace) -> None:
     table = parquet.read_table(spark, args.input)
     table.printSchema()
     table.show(10)
-    print(f"rows: {table.count()}")
+    print(f"rows: {parquet.stored_row_counts(spark, {args.input: args.input}).first()['n_rows']}")
 
 
 def sample(spark: SparkSession, args: argparse.Namespace) -> None:
     """A smaller version of a Parquet table."""
-    table = parquet.read_table(spark, args.input)
-    parquet.sample_rows(table, args.fraction, args.seed).write.mode("overwrite").parquet(args.output)
+    if args.by_block:
+        part = parquet.sample_by_block(spark, args.input, args.fraction, args.seed)
+    else:
+        part = parquet.sample_rows(parquet.read_table(spark, args.input), args.fraction, args.seed)
+    part.write.mode("overwrite").parquet(args.output)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -199,13 +207,14 @@ def parser() -> argparse.ArgumentParser:
 
     command = job(extract, "posts", "respuestas", "preguntas")
     command.add_argument("--report", action="store_true", help="count partitions and files")
+    command.add_argument("--buckets", type=int, help="files by the hash of the question, which the reports join as they lie")
     command = job(user_years, "respuestas", "preguntas", "users", "comments", "output")
-    command.add_argument("--single-file", action="store_true", help="one file, written by one task")
+    command.add_argument("--single-file", action="store_true", help="one file, joined up from sorted parts")
     command = job(tag_ranks, "respuestas", "preguntas", "tags", "wanted", "output")
-    command.add_argument("--single-file", action="store_true", help="one file, written by one task")
+    command.add_argument("--single-file", action="store_true", help="one file, joined up from sorted parts")
     command.add_argument("--ties", choices=("rank", "dense_rank", "row_number"), default="rank")
     command = job(user_tags, "preguntas", "tags", "users", "output")
-    command.add_argument("--single-file", action="store_true", help="one file, written by one task")
+    command.add_argument("--single-file", action="store_true", help="one file, joined up from sorted parts")
     command.add_argument("--min-questions", type=int)
     command.add_argument("--calendar", action="store_true", help="compare with the calendar year before")
     command = job(word_count, "inputs", "output")
@@ -233,6 +242,7 @@ def parser() -> argparse.ArgumentParser:
     command = job(sample, "input", "output")
     command.add_argument("--fraction", type=float, default=0.1)
     command.add_argument("--seed", type=int, default=42)
+    command.add_argument("--by-block", action="store_true", help="read only as many files as hold the fraction")
     return top
 
 

@@ -148,6 +148,7 @@ ORACLE: dict[str, str] = {
     "comment_counts": FORUM + """ SELECT post AS "QuestionId", count(*) AS "NComentarios"
         FROM comments GROUP BY post""",
     "user_year_stats": USER_STATS,
+    "user_year_stats_extracted": USER_STATS,
     "tag_year_rank": RANKED.format(rank="rank() OVER w", ties="", **_ranked),
     "tag_year_rank_dense": RANKED.format(rank="dense_rank() OVER w", ties="", **_ranked),
     "tag_year_rank_rows": RANKED.format(rank="row_number() OVER w", ties=", q.id", **_ranked),
@@ -160,6 +161,9 @@ ORACLE: dict[str, str] = {
         OFFSET (SELECT count(*) // 2 FROM orders)""",
     "ordered_half_dates": """SELECT * FROM orders ORDER BY o_orderdate, o_orderkey
         OFFSET (SELECT count(*) // 2 FROM orders)""",
+    "ordered_half_texts": """SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders
+        ORDER BY o_orderpriority, CAST(o_totalprice AS DECIMAL(15, 2)), o_orderkey
+        OFFSET (SELECT count(*) // 2 FROM orders)""",
     "posts_csv_bodies": FORUM + """ SELECT q.id AS "Id", 1 AS "PostTypeId", CAST(NULL AS BIGINT) AS "ParentId",
           CAST(NULL AS BIGINT) AS "Score", d.text AS "Body"
         FROM questions q LEFT JOIN documents d ON q.id = d.doc_id
@@ -199,5 +203,8 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT parent, 2, score FROM answers
         ) SELECT id AS "QuestionId", kind AS "PostTypeId", score AS "Score" FROM both_kinds
         WHERE CAST('0x' || substr(md5('42:' || id), 1, 8) AS BIGINT) < {int(0.1 * 2**32)}""",
+    "orders_sample_by_block": f"""SELECT * FROM orders
+        WHERE CAST('0x' || substr(md5('42:' || concat_ws(',', o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderkey,
+          o_orderpriority, o_orderstatus, o_totalprice)), 1, 8) AS BIGINT) < {int(0.1 * 2**32)}""",
 }
 ORACLE["posts_csv_strict"] = ORACLE["posts_csv"]

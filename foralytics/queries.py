@@ -151,6 +151,13 @@ def ordered_half_dates(spark: SparkSession, sf: str) -> DataFrame:
     return lower_half(star_schema.table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])
 
 
+def ordered_half_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordered by a text, then by a decimal, then by key."""
+    priced = star_schema.table(spark, sf, "orders").withColumn("price", F.col("o_totalprice").cast("decimal(15,2)"))
+    half = lower_half(priced, ["o_orderpriority", "price", "o_orderkey"])
+    return half.select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
 # Owners
 
 
@@ -345,6 +352,19 @@ def extract_parquet(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def user_year_stats_extracted(spark: SparkSession, sf: str) -> DataFrame:
+    """The yearly report out of the tables that the extraction job hands over in buckets of the question."""
+    root = scratch_path(spark, "handed-over")
+    files.write_buckets(_respuestas(spark, sf), f"{root}/respuestas", "QuestionId", grouped=True)
+    files.write_buckets(_preguntas(spark, sf), f"{root}/preguntas", "QuestionId")
+    return users.user_year_stats(
+        parquet.read_buckets(spark, f"{root}/respuestas", RESPUESTAS),
+        parquet.read_buckets(spark, f"{root}/preguntas", PREGUNTAS),
+        star_schema.users(spark, sf),
+        star_schema.comments(spark, sf),
+    ).drop("UserId")
+
+
 def file_report(spark: SparkSession, sf: str) -> DataFrame:
     """Partitions with rows, counted while hash partitions are written, and the files there are.
 
@@ -383,7 +403,7 @@ def report_csv_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return parquet.row_counts({name: star_schema.table(spark, sf, name) for name in TABLES})
+    return parquet.stored_row_counts(spark, {name: f"{sf}/{name}.parquet" for name in TABLES})
 
 
 def first_posts(spark: SparkSession, sf: str) -> DataFrame:
@@ -404,6 +424,11 @@ def post_sample_by_question(spark: SparkSession, sf: str) -> DataFrame:
     return parquet.sample_by_key(both, "QuestionId", 0.1)
 
 
+def orders_sample_by_block(spark: SparkSession, sf: str) -> DataFrame:
+    """A tenth of the bytes of the orders' files: of a table in one file, rows drawn from it."""
+    return parquet.sample_by_block(spark, f"{sf}/orders.parquet", 0.1)
+
+
 # Name of each query in the driver contract.
 QUERIES: dict[str, Query] = {
     query.__name__: query
@@ -449,6 +474,7 @@ QUERIES: dict[str, Query] = {
         ordered_half,
         ordered_half_tied,
         ordered_half_dates,
+        ordered_half_texts,
         posts_csv,
         posts_csv_strict,
         posts_csv_bodies,
@@ -456,6 +482,7 @@ QUERIES: dict[str, Query] = {
         users_csv,
         documents_csv,
         extract_parquet,
+        user_year_stats_extracted,
         file_report,
         report_csv,
         report_csv_parts,
@@ -463,5 +490,6 @@ QUERIES: dict[str, Query] = {
         first_posts,
         post_sample,
         post_sample_by_question,
+        orders_sample_by_block,
     )
 }

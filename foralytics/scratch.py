@@ -34,3 +34,27 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file on the path's file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes | None:
+    """Content of a small file, None if there is none."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(conf)
+    if not fs.exists(source):
+        return None
+    stream = fs.open(source)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()

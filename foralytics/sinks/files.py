@@ -1,15 +1,39 @@
 """Parquet, CSV and tab-separated output."""
 
+import json
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from foralytics.scratch import discard, write_bytes
 from foralytics.sources.csv import WRITING
+from foralytics.sources.parquet import LAYOUT
 
 OrderKey = str | Column
 
 
+def write_buckets(df: DataFrame, path: str, key: str, buckets: int | None = None, grouped: bool = False) -> None:
+    """Gzip Parquet in ``buckets`` files by the hash of ``key``, each sorted by it, for :func:`read_buckets`.
+
+    Tables in the same number of buckets are joined by the key without another
+    shuffle. By default there are as many as shuffle partitions; with ``grouped`` the rows
+    lie in these already, as they do behind a ``groupBy`` of the key, and are not moved again.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = df if grouped else df.repartition(buckets, key)
+    name = f"buckets_{uuid.uuid4().hex}"
+    discard(spark, path)
+    writer = placed.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer.option("compression", "gzip").option("path", path).saveAsTable(name)
+    # The layout goes beside the files; the table's name is of no use to another job.
+    spark.sql(f"DROP TABLE {name}")
+    write_bytes(spark, f"{path}/{LAYOUT}", json.dumps({"key": key, "buckets": buckets}).encode())
+
+
 def write_gzip_parquet(df: DataFrame, path: str) -> int:
     """Gzip Parquet; returns the number of partitions that had rows, counted during the write."""
     seen = Observation()
@@ -25,13 +49,66 @@ def write_report(
 ) -> None:
     """Ordered, uncompressed CSV with a header in every file.
 
-    The rows are sorted once: into part files whose names follow the order of
-    the rows, or with ``single_file`` into one file, which one task then sorts and
-    writes. ``columns`` are the ones written; ``order`` may use others.
+    The rows are sorted once, by all tasks: into part files whose names follow the order
+    of the rows, which ``single_file`` then joins up. ``columns`` are the ones written; ``order``
+    may use others.
     """
-    placed = df.repartition(1).sortWithinPartitions(*order) if single_file else df.orderBy(*order)
+    placed = df.orderBy(*order)
     report = placed.select(*columns) if columns else placed
-    report.write.mode("overwrite").options(header=True, compression="none", **WRITING).csv(path)
+    writer = report.write.mode("overwrite").options(header=not single_file, compression="none", **WRITING)
+    if not single_file:
+        writer.csv(path)
+        return
+    spark = df.sparkSession
+    discard(spark, path)
+    # A name that readers of the folder pass over.
+    parts = f"{path.rstrip('/')}/_parts"
+    writer.csv(parts)
+    join_files(spark, header_line(report.columns), parts, f"{path.rstrip('/')}/part-00000.csv")
+    discard(spark, parts)
+
+
+def header_line(names: Sequence[str]) -> bytes:
+    """Names as a line of CSV."""
+    quoted = ['"' + n.replace('"', '""') + '"' if set(n) & set(',"\n\r') or n != n.strip() else n for n in names]
+    return (",".join(quoted) + "\n").encode()
+
+
+def join_files(spark: SparkSession, head: bytes, folder: str, target: str) -> None:
+    """``head`` and then the data files of a folder, by name, as one file.
+
+    A file system that can join files does so without moving a byte (HDFS does).
+    Others have no way but to copy the bytes in a row, through a buffer of 1 MB.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(target)
+    fs = place.getFileSystem(conf)
+    parts = [jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}") for name in written_files(spark, folder)]
+    parts = [p for p in parts if fs.getFileStatus(p).getLen() > 0]
+    write_bytes(spark, target, head)
+    if not parts:
+        return
+    sources = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+    for i, part in enumerate(parts):
+        sources[i] = part
+    try:
+        fs.concat(place, sources)
+    except UnsupportedOperationException:
+        _copy_in_a_row(spark, fs, head, parts, place)
+
+
+def _copy_in_a_row(spark: SparkSession, fs, head: bytes, parts: list, place) -> None:
+    out = fs.create(place, True)
+    try:
+        out.write(bytearray(head))
+        for part in parts:
+            source = fs.open(part)
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
 
 
 def escaped(text: Column) -> Column:

@@ -120,3 +120,18 @@ def test_table_jobs(spark, inputs, tmp_path, capsys):
 def test_wrong_arguments():
     with pytest.raises(SystemExit):
         cli.main(["extract", "only-one"])
+
+
+def test_reports_over_buckets_are_the_same(spark, extracted, tmp_path):
+    root, out = extracted, str(tmp_path)
+    cli.main(["extract", f"{root}/posts", f"{out}/respuestas", f"{out}/preguntas", "--buckets", "4", "--report"])
+    assert len(glob.glob(f"{out}/preguntas/*.gz.parquet")) == 4
+    for tables in (root, out):
+        cli.main(["user-years", f"{tables}/respuestas", f"{tables}/preguntas", f"{root}/users", f"{root}/comments", f"{out}/years-{len(tables)}", "--single-file"])
+    assert lines(f"{out}/years-{len(root)}") == lines(f"{out}/years-{len(out)}")
+
+
+def test_sample_by_block(spark, inputs, tmp_path):
+    cli.main(["sample", f"{inputs}/posts", f"{tmp_path}/part", "--fraction", "0.3", "--by-block"])
+    part, whole = (spark.read.parquet(p).count() for p in (f"{tmp_path}/part", f"{inputs}/posts"))
+    assert 0 < part < whole

@@ -1,3 +1,4 @@
+import csv
 import glob
 import os
 
@@ -5,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from foralytics import scratch
+from foralytics.schemas import PREGUNTAS
 from foralytics.sinks import files
+from foralytics.sources import parquet
 from helpers import unordered
 
 
@@ -116,3 +119,73 @@ def test_stage_and_scratch(spark):
     assert scratch.scratch_path(spark, "a") != scratch.scratch_path(spark, "a")
     scratch.discard(spark, path)
     assert not os.path.exists(path)
+
+
+def test_one_file_without_one_task(spark, tmp_path):
+    from helpers import plan
+
+    table = spark.range(5000).select(F.col("id").alias("n"), F.concat(F.lit("a,\"b\"\n"), "id").alias('odd "name", x')).repartition(9)
+    path = str(tmp_path / "out")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert "SinglePartition" not in plan(table.orderBy(F.desc("n")))
+        files.write_report(table, path, [F.desc("n")], single_file=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (file,) = parts(path)
+    assert sorted(n for n in os.listdir(path) if not n.startswith(".")) == ["part-00000.csv"]
+    with open(file, encoding="utf8", newline="") as f:
+        rows = list(csv.reader(f))
+    assert rows[0] == ["n", 'odd "name", x']
+    assert rows[1:] == [[str(i), f'a,"b"\n{i}'] for i in range(4999, -1, -1)]
+
+
+def test_one_file_of_no_rows(spark, tmp_path):
+    files.write_report(spark.range(0), str(tmp_path / "out"), ["id"], single_file=True)
+    assert read(parts(str(tmp_path / "out"))[0]) == ["id"]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, no_broadcast):
+    from helpers import final_plan
+
+    left = spark.range(3000).select(F.col("id").alias("QuestionId"), (F.col("id") % 5).alias("`Año`".strip("`")))
+    right = spark.range(2000).select((F.col("id") * 2).alias("QuestionId"), F.lit("x").alias("v"))
+    for name, table in (("l", left), ("r", right)):
+        files.write_buckets(table, str(tmp_path / name), "QuestionId", 4)
+        assert len(parts(str(tmp_path / name), ".gz.parquet")) == 4
+    a, b = (parquet.read_buckets(spark, str(tmp_path / name)) for name in "lr")
+    joined = a.join(b, "QuestionId")
+    assert "Exchange" not in final_plan(joined)
+    assert unordered(joined) == unordered(left.join(right, "QuestionId"))
+    grouped = a.groupBy("QuestionId").count()
+    assert "Exchange" not in final_plan(grouped) and grouped.count() == 3000
+    # Written again, and by a frame that is grouped already.
+    files.write_buckets(right.groupBy("QuestionId").count(), str(tmp_path / "r"), "QuestionId", grouped=True)
+    assert parquet.read_buckets(spark, str(tmp_path / "r")).where("count = 1").count() == 2000
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
+    with pytest.raises(ValueError, match="UserId"):
+        parquet.read_buckets(spark, str(tmp_path / "r"), PREGUNTAS)
+
+
+def test_plain_tables_are_read_as_they_are(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.range(7).write.parquet(path)
+    assert parquet.read_buckets(spark, path).count() == 7
+    assert parquet.read_buckets(spark, path).dtypes == [("id", "bigint")]
+
+
+def test_yearly_report_over_bucketed_tables_moves_no_question(spark, no_broadcast):
+    from foralytics import queries
+    from helpers import plan
+
+    report = queries.user_year_stats_extracted(spark, "/root/testdata/sf0.001")
+    text = plan(report)
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning(QuestionId" in line]
+    assert not moved and text.count("Bucketed: true") == 2

@@ -185,6 +185,33 @@ def test_samples(spark):
     assert unordered(by_key) == unordered(parquet.sample_by_key(table.unionByName(table).repartition(7), "k", 0.2))
 
 
+def test_samples_by_block_read_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(40_000).select(F.col("id").alias("k"), F.rand(1).alias("v")).repartition(40).write.parquet(path)
+    table, sizes = spark.read.parquet(path), parquet.stored_files(spark, path)
+    assert len(sizes) == 40 and all(size > 0 for _, size in sizes)
+    for fraction in (0.0, 0.01, 0.2, 0.5, 1.0):
+        part = parquet.sample_by_block(spark, path, fraction)
+        read = {r[0] for r in part.select("k").join(table.select("k", "_metadata.file_name"), "k").select("file_name").distinct().collect()}
+        # One file is 1,000 rows, and all but the last file come whole.
+        assert abs(part.count() - fraction * 40_000) <= 1000
+        assert len(read) <= fraction * 40 + 1
+        assert unordered(part) == unordered(parquet.sample_by_block(spark, path, fraction))
+        assert part.join(table, ["k", "v"], "left_anti").isEmpty()
+    assert unordered(parquet.sample_by_block(spark, path, 0.2, 1)) != unordered(parquet.sample_by_block(spark, path, 0.2, 2))
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    for name, n in (("a", 700), ("b", 0)):
+        spark.range(n).repartition(3).write.parquet(str(tmp_path / name))
+    counts = parquet.stored_row_counts(spark, {name: str(tmp_path / name) for name in "ab"})
+    text = counts._jdf.queryExecution().executedPlan().toString()
+    assert text.count("PushedAggregation: [COUNT(*)]") == 2
+    assert unordered(counts) == [("a", 700), ("b", 0)]
+    # The session of the caller reads as before.
+    assert "PushedAggregation" not in spark.read.parquet(str(tmp_path / "a")).agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_inspection(spark):
     table = spark.range(30).select(F.col("id").alias("Id"))
     assert [r.Id for r in parquet.first_rows(table.repartition(4), ["Id"]).collect()] == list(range(10))
