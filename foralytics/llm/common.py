@@ -27,6 +27,11 @@ def remainder_of_id(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def row_key(doc_id: Column, *others: Column) -> Column:
+    """One text, never null, for a row's id and other values; a null value differs from any other."""
+    return F.concat_ws(" ", *[F.coalesce(F.concat(F.lit("="), v.cast("string")), F.lit("")) for v in (doc_id, *others)])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

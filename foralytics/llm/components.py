@@ -16,8 +16,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     clean = links.where("a is not null and b is not null and a <> b").select("a", "b")
-    both = stage(clean.unionByName(clean.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    path = scratch_path(spark, "labels")
+    both_at, path = scratch_path(spark, "both-ways"), scratch_path(spark, "labels")
+    both = stage(clean.unionByName(clean.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "", both_at)
     nearest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
     labels = stage(nearest.select("node", F.least("node", "low").alias("label")), "", path)
     while True:
@@ -37,4 +37,5 @@ def components(links: DataFrame) -> DataFrame:
         discard(spark, path)
         labels, path = after, next_path
         if not changed:
+            discard(spark, both_at)
             return labels.select("node", F.col("label").alias("component"))

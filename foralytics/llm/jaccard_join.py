@@ -7,8 +7,10 @@
    into one part more than that; so some part is equal in both. The hash of each
    part is a key, and sets with a common key share a tree. No pair is missed, and
    a common passage or word makes no large tree, as a part takes tokens from all
-   over the text. A part that is empty says nothing; its key is sent only for the
-   few sets whose other parts might all differ.
+   over the text. A part that is empty or holds one token says little, as a common
+   passage may have put it there. There are a quarter more parts than needed, so that
+   equal parts of more tokens are left over; keys of the others are sent only for the
+   few sets whose parts of more tokens might all differ.
 3. Keys travel packed with the id of their document, many to a row, to the bucket of
    their hash; a task sends a class once. A bucket lists the documents of every key
    that has several, equal lists once, and the documents give way to their classes.
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foralytics.llm.common import shuffle_partitions, slices, table
+from foralytics.llm.common import row_key, shuffle_partitions, slices, table
 from foralytics.llm.components import components
 from foralytics.llm.signature_tree import bitmaps, plausible_pairs, spanning
 from foralytics.llm.words import from_planes, mixed, planes, run_hashes, word_hashes
@@ -42,6 +44,8 @@ BLOCK = 1024
 # Keys that a task gathers before it sends them, packed by bucket.
 SENT_KEYS = 1_500_000
 KEY_BYTES = 6
+# Classes that a task remembers to have sent.
+SEEN = 200_000
 # Partners that are compared with one set in one task.
 PARTNERS = 512
 # Documents of a list that one row holds.
@@ -116,7 +120,7 @@ def part_keys(tokens: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tupl
         chosen, top, differ = chosen[some], top[some], differ[some]
         if not len(chosen):
             continue
-        parts = differ + 1 + 1 + differ // 10
+        parts = differ + 1 + 1 + differ // 4
         first = np.cumsum(parts) - parts
         total = int(parts.sum())
         place = np.full(len(sizes), -1)
@@ -129,13 +133,17 @@ def part_keys(tokens: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tupl
         part = ((salted >> np.uint64(32)) * parts[owner].astype(np.uint64)) >> np.uint64(32)
         slot = first[owner] + part.astype(np.int64)
         sums = _sums(mixed(salted), slot, total)
-        filled = np.bincount(slot, minlength=total) > 0
+        held = np.bincount(slot, minlength=total)
         set_of = np.repeat(np.arange(len(chosen)), parts)
         number = np.arange(total) - first[set_of]
-        empty = parts - np.bincount(set_of[filled], minlength=len(chosen))
         a = sizes[chosen]
+        # At most so many tokens, and parts, differ from a partner's.
         worst = (den - num) * (a + np.minimum(a * den // num, top)) // (den + num)
-        needed = filled | ((worst >= parts - empty) & (empty > 0))[set_of]
+        needed = held > 1
+        for few in (1, 0):
+            # A part that is equal in both is as full in both; some equal one is fuller unless this holds.
+            fuller = np.bincount(set_of[held > few], minlength=len(chosen))
+            needed |= (held == few) & (worst >= fuller)[set_of]
         tag = mixed((seed[set_of] << np.uint64(32)) + number.astype(np.uint64))
         keys.append(mixed(sums + tag)[needed])
         owners.append(chosen[set_of[needed]])
@@ -186,11 +194,14 @@ def _send_keys(n: int, num: int, den: int, buckets: int):
             tokens, sizes = shingle_sets(batch.column(1), n)
             cls = digests(tokens, sizes)
             owners = batch.column(0).to_numpy(zero_copy_only=False)
-            # A class is sent once a task, however many copies it has.
+            # A class is sent once as long as it is remembered, however many copies it has.
             fresh = np.zeros(len(cls), bool)
             for i, c in enumerate(cls.tolist()):
                 fresh[i] = c not in seen
                 seen.add(c)
+            if len(seen) > SEEN:
+                # Sent again, a class is only listed again.
+                seen.clear()
             mine = np.repeat(fresh, sizes)
             keys, owner = part_keys(tokens[mine], sizes[fresh], num, den)
             if len(keys):
@@ -306,12 +317,14 @@ def _verify(num: int, den: int):
 
 
 def _sets_of(classes: DataFrame, reps: DataFrame, docs: DataFrame, n: int, path: str) -> DataFrame:
-    """(cls, tokens) of the ``classes``, from one document of each; written, as it is read several times."""
-    wanted = classes.join(reps.select("cls", "rep"), "cls").select(
-        "cls", F.col("rep.doc_id").alias("__id"), F.col("rep.text_key").alias("__key")
-    )
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (docs["text_key"] == F.col("__key"))
-    texts = docs.join(wanted, same).dropDuplicates(["cls"])
+    """(cls, tokens) of the ``classes``, from one document of each; written, as it is read several times.
+
+    The document of a class is found by one key, which also tells its repeated rows, so texts are shuffled once.
+    """
+    row = row_key(F.col("rep.doc_id"), F.col("rep.text_key"))
+    wanted = classes.join(reps.select("cls", "rep"), "cls").select("cls", row.alias("row"))
+    keyed = docs.select(row_key(F.col("doc_id"), F.col("text_key")).alias("row"), "text")
+    texts = keyed.join(wanted, "row").dropDuplicates(["row"])
     return stage(texts.select("cls", "text").mapInArrow(_full_sets(n), "cls long, tokens binary"), "", path)
 
 
@@ -341,9 +354,9 @@ def jaccard_components(
     spark = docs.sparkSession
     buckets = buckets or 4 * shuffle_partitions(spark)
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    sets_at, lists_at = scratch_path(spark, "described"), scratch_path(spark, "lists")
+    at = {name: scratch_path(spark, name) for name in ("lists", "listed", "tried", "links", "sets", "open", "more", "missing", "more-links", "more-sets")}
     described = stage(
-        docs.mapInArrow(_describe(n), "doc_id long, text_key long, n_shingles long, cls long, bits binary"), "", sets_at
+        docs.mapInArrow(_describe(n), "doc_id long, text_key long, n_shingles long, cls long, bits binary"), "described"
     )
     reps = described.where("n_shingles > 0").groupBy("cls").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")).alias("rep"),
@@ -354,7 +367,7 @@ def jaccard_components(
     lists = stage(
         docs.select(owner, "text").mapInArrow(_send_keys(n, num, den, buckets), "bucket int, keys binary, owners binary")
         .groupBy("bucket").applyInArrow(_list_owners, LISTS).dropDuplicates(["list", "part"]),
-        "", lists_at,
+        "", at["lists"],
     )
     members = lists.select("list", F.explode("members").alias("owner"))
     classes = described.where("n_shingles > 0").select(owner, "cls")
@@ -363,9 +376,9 @@ def jaccard_components(
         F.min("cls").alias("least"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("size")
     ).where("size > 1")
     own = stage(
-        listed.join(cuts.drop("size"), "list").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")), "listed"
+        listed.join(cuts.drop("size"), "list").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")), "", at["listed"]
     )
-    discard(spark, lists_at)
+    discard(spark, at["lists"])
     home_of_least = F.pmod(F.xxhash64("least"), F.col("blocks")).cast("int")
     with_least = own.select("list", "block", "cls").unionByName(
         own.where(F.col("block") != home_of_least).select("list", "block", F.col("least").alias("cls")).distinct()
@@ -378,18 +391,21 @@ def jaccard_components(
             .mapInArrow(_traverse(num, den, forest), "a long, b long").distinct()
         )
 
-    full_at = scratch_path(spark, "sets")
-    sets = _sets_of(own.select("cls").distinct(), reps, docs, n, full_at)
     marked = with_least.select("*", F.lit(0).cast("long").alias("label"), F.lit(True).alias("own"))
-    tried = stage(pairs_of(marked, True), "pairs")
-    links = stage(_alike(tried, sets, num, den), "links")
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+
+    tried = stage(pairs_of(marked, True), "", at["tried"])
+    sets = _sets_of(ends(tried), reps, docs, n, at["sets"])
+    links = stage(_alike(tried, sets, num, den), "", at["links"])
     labels = components(links).withColumnsRenamed({"node": "cls", "component": "label"})
     known = own.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     # Lists with several components: what is outside the one of the least class goes to every block.
     mixed_lists = known.groupBy("list").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("label", "cls").alias("main")
     ).where("low <> high").select("list", "main")
-    open_rows = stage(known.join(mixed_lists, "list"), "open")
+    open_rows = stage(known.join(mixed_lists, "list"), "", at["open"])
+    discard(spark, at["listed"])
     elsewhere = (
         open_rows.where("blocks > 1 and label <> main")
         .select("list", F.col("block").alias("home"), "blocks", "cls", "label")
@@ -399,11 +415,16 @@ def jaccard_components(
     entries = open_rows.select("list", "block", "cls", "label", F.lit(True).alias("own")).unionByName(
         elsewhere.select("list", "block", "cls", "label", F.lit(False).alias("own"))
     )
-    more = stage(pairs_of(entries, False).join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = stage(pairs_of(entries, False).join(tried, ["a", "b"], "left_anti"), "", at["more"])
+    discard(spark, at["open"], at["tried"])
     if not more.isEmpty():
-        links = stage(links.unionByName(_alike(more, sets, num, den)), "links")
+        # Nearly all of these sets are there from the first pass.
+        missing = stage(ends(more).join(sets, "cls", "left_anti"), "", at["missing"])
+        if not missing.isEmpty():
+            sets = sets.unionAll(_sets_of(missing, reps, docs, n, at["more-sets"]))
+        links = stage(links.unionByName(_alike(more, sets, num, den)), "", at["more-links"])
         labels = components(links).withColumnsRenamed({"node": "cls", "component": "label"})
-    discard(spark, full_at)
+    discard(spark, *(at[name] for name in ("sets", "more-sets", "more", "missing", "links", "more-links")))
     first = reps.select("cls", F.col("rep.doc_id").alias("first_id"))
     joined = first.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))
@@ -417,15 +438,15 @@ def jaccard_components(
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """Rows of ``docs`` that are the smallest of their component; all columns stay.
 
-    Rows equal in id and text are one document. Texts without words all stay.
+    Rows equal in id and text are one document, of which any row stays, also where other columns
+    differ. Texts without words all stay. ``docs`` must have no column ``__row``.
     """
     found = jaccard_components(docs, n, num, den)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
+        row_key(F.col("doc_id"), F.col("text_key")).alias("__row")
     ).distinct()
-    keyed = docs.withColumn("__text_key", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__text_key"] == kept["__key"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text_key"]).select(*docs.columns)
+    keyed = docs.withColumn("__row", row_key(F.col("doc_id"), F.xxhash64("text")))
+    return keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foralytics.llm.common import table, word_count
-from foralytics.scratch import stage
+from foralytics.llm.common import row_key, table, word_count
+from foralytics.scratch import discard, scratch_path, stage
 
 WEIGHTS = (5, 2, 1)
 CAP = 2
@@ -115,16 +115,18 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, times_2: int = 3,
 def mix_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, times_2: int = 3) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is drawn; all columns stay.
 
-    Rows equal in id, source and text are taken for copies of one row.
+    Rows equal in id, source and text are taken for copies of one row, any of which stands for
+    all where other columns differ. ``docs`` must have no column ``__row``, ``__copies`` or ``__copy``.
     """
-    key = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
-    slim = stage(docs.select(key.alias("__key"), "source", word_count(F.col("text")).alias("size")), "mix")
-    drawn = mixed(slim, weights, times_2, "__key").groupBy("__key", F.col("source").alias("__source")).agg(
-        F.sum("copies").alias("__copies")
-    ).where("__copies > 0")
-    keyed = docs.withColumn("__row", key)
-    same = (F.col("__row") == F.col("__key")) & F.col("source").eqNullSafe(F.col("__source"))
-    once = keyed.join(stage(drawn, "drawn"), same).dropDuplicates(["__row", "source"])
+    spark = docs.sparkSession
+    at = {name: scratch_path(spark, name) for name in ("mix", "drawn")}
+    key = row_key(F.col("doc_id"), F.col("source"), F.xxhash64("text"))
+    slim = stage(docs.select(key.alias("__row"), "source", word_count(F.col("text")).alias("size")), "", at["mix"])
+    drawn = mixed(slim, weights, times_2, "__row").groupBy("__row").agg(F.sum("copies").alias("__copies")).where("__copies > 0")
+    drawn = stage(drawn, "", at["drawn"])
+    discard(spark, at["mix"])
+    # One key joins the rows and tells repeated ones, so texts are shuffled once.
+    once = docs.withColumn("__row", key).join(drawn, "__row").dropDuplicates(["__row"])
     return once.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 

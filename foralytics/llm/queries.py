@@ -25,6 +25,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+
+
+def _tagged(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
 ORACLE: dict[str, str] = {
     "op8_mixing": f"""
         WITH sized AS (
@@ -64,4 +70,62 @@ ORACLE: dict[str, str] = {
                source, (upto // {mixing.UNITS} - (upto - units) // {mixing.UNITS})::BIGINT AS copies
         FROM run
     """,
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE heads AS (
+            SELECT doc_id, text, coalesce('=' || source, '') AS tree, {' || '.join(_tagged(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} AS head,
+                   doc_id IS NULL OR xor(4294967295, list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                       lambda crc, byte: list_reduce(
+                           list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                           lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END))) % 2 = 0 AS cut
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, tree, sha256(head || {_tagged('text')}) AS leaf,
+                   CASE WHEN cut THEN sha256(head || {_tagged("replace(text, chr(10), '')")}) ELSE sha256(head || {_tagged('text')}) END AS changed
+            FROM heads
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS slot,
+                   count(*) OVER (PARTITION BY tree) AS n
+            FROM leaves
+        ), nodes AS (
+            SELECT tree, 0 AS level, slot, leaf AS digest, n FROM numbered
+            UNION ALL
+            SELECT tree, level + 1, slot // 3, sha256(string_agg(digest, '' ORDER BY slot)), any_value((n + 2) // 3)
+            FROM nodes WHERE n > 1 GROUP BY tree, level, slot // 3
+        ), subroots AS (
+            SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS slot, count(*) OVER () AS n
+            FROM nodes WHERE n = 1
+        ), tops AS (
+            SELECT 0 AS level, slot, subroot AS digest, n FROM subroots
+            UNION ALL
+            SELECT level + 1, slot // 3, sha256(string_agg(digest, '' ORDER BY slot)), any_value((n + 2) // 3)
+            FROM tops WHERE n > 1 GROUP BY level, slot // 3
+        ), steps AS (
+            SELECT l.tree, l.slot, t.level,
+                   coalesce(string_agg(t.digest, '' ORDER BY t.slot) FILTER (t.slot < l.slot // pow(3, t.level)::BIGINT), '')
+                   || '|' || coalesce(string_agg(t.digest, '' ORDER BY t.slot) FILTER (t.slot > l.slot // pow(3, t.level)::BIGINT), '') AS step
+            FROM numbered l JOIN nodes t ON t.tree = l.tree AND t.n > 1 AND t.slot // 3 = l.slot // pow(3, t.level + 1)::BIGINT
+            GROUP BY l.tree, l.slot, t.level
+        ), ways AS (
+            SELECT tree, slot, list(step ORDER BY level) AS way FROM steps GROUP BY tree, slot
+        ), top_steps AS (
+            SELECT s.tree, t.level,
+                   coalesce(string_agg(t.digest, '' ORDER BY t.slot) FILTER (t.slot < s.slot // pow(3, t.level)::BIGINT), '')
+                   || '|' || coalesce(string_agg(t.digest, '' ORDER BY t.slot) FILTER (t.slot > s.slot // pow(3, t.level)::BIGINT), '') AS step
+            FROM subroots s JOIN tops t ON t.n > 1 AND t.slot // 3 = s.slot // pow(3, t.level + 1)::BIGINT
+            GROUP BY s.tree, t.level
+        ), top_ways AS (
+            SELECT tree, list(step ORDER BY level) AS way FROM top_steps GROUP BY tree
+        ), whole AS (
+            SELECT l.*, s.subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+                   list_concat(coalesce(w.way, []::VARCHAR[]), coalesce(u.way, []::VARCHAR[])) AS way
+            FROM numbered l JOIN subroots s ON s.tree = l.tree
+            LEFT JOIN ways w ON w.tree = l.tree AND w.slot = l.slot LEFT JOIN top_ways u ON u.tree = l.tree
+        ), folded AS (
+            SELECT doc_id, leaf, subroot, root, sha256(replace(list_aggregate(list_prepend('', way), 'string_agg', ''), '|', '')) AS proof_sha256,
+                   list_reduce(list_prepend(changed, way), lambda digest, step: sha256(split_part(step, '|', 1) || digest || split_part(step, '|', 2))) AS folded_root
+            FROM whole
+        )
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+    """,
 }

@@ -64,5 +64,5 @@ def test_an_empty_corpus(spark, folder, tmp_path):
 
 def test_registered_queries():
     assert [k for k in contract.queries() if k.startswith("op")] == list(QUERIES)
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert "pipeline" in contract.queries() and set(ORACLE) <= set(QUERIES)
