@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tables import documents, empty, save
 
+from foralytics.llm import tokenizing
 from foralytics.llm.queries import QUERIES
 from foralytics.llm.token_files import decode_segment, encode_segment
 from foralytics.llm.tokenizing import word_encoder
@@ -66,3 +67,38 @@ def test_query(spark, tmp_path, tokenizer):
 
 def test_empty_table(spark, tmp_path):
     assert QUERIES["op1_token_files"](spark, save(empty(spark), tmp_path)).collect() == []
+
+
+def test_forgotten_pieces_are_learnt_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokenizing, "KEPT_UNITS", 300)
+    encode = tokenizing._build(public_path())
+    random.seed(8)
+    for _ in range(20):
+        texts = ["".join(random.choice(["abc", "the ", "é", "漢字", " ", "\n", "don't ", "12", "!!", "x" * random.randint(1, 90), "🙂"]) for _ in range(random.randint(0, 60))) for _ in range(40)]
+        ids, lengths = encode(pa.array(texts))
+        want = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def public_path():
+    return pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+
+
+def test_pieces_of_one_hash_are_told_apart():
+    class OneHash(tokenizing.Pieces):
+        @staticmethod
+        def hashed(units):
+            return np.full(len(units), 7, np.uint64)
+
+    pieces, units = OneHash(), pa.array(["a", "bb", "c"])
+    assert pieces.add(units, pieces.hashed(units), np.array([1, 2, 2, 3], np.uint32), np.array([1, 2, 1])).tolist() == [0, 1, 2]
+    wanted = pa.array(["c", "z", "a", "bb"])
+    assert pieces.find(wanted, pieces.hashed(wanted)).tolist() == [2, -1, 0, 1]
+
+
+def test_hashes_depend_on_all_bytes():
+    random.seed(2)
+    units = ["", "a", "ab", "a\0", "é" * 40] + ["x" * k for k in range(1, 150)] + ["".join(random.choice("ab") for _ in range(random.randint(0, 80))) for _ in range(500)]
+    whole = tokenizing.Pieces.hashed(pa.array(units)).tolist()
+    assert len(set(whole)) == len(set(units))
+    assert tokenizing.Pieces.hashed(pa.array(["other", *units]).slice(1)).tolist() == whole
