@@ -9,6 +9,7 @@ is the distinct words and grams of every chunk.
 """
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -79,23 +80,43 @@ def _predicted(firsts: np.ndarray, total: int) -> np.ndarray:
     return kept[ctw.DEPTH :]
 
 
+@dataclass
+class Numbered:
+    """A slice of texts: its distinct words and grams, and which of them stands where."""
+
+    rows: tuple[int, int]
+    words: np.ndarray
+    word_at: np.ndarray
+    n_words: np.ndarray
+    grams: np.ndarray
+    gram_at: np.ndarray
+    # Whether the byte at a place is predicted, and whether a gram is that of one.
+    kept: np.ndarray
+    asked: np.ndarray
+    firsts: np.ndarray
+    sizes: np.ndarray
+
+
+def _numbered(texts: pa.Array, a: int, b: int) -> Numbered:
+    hashes, codes, counts = word_codes(texts[a:b], lower=True)
+    data, firsts = ctw.stream([x.as_buffer().to_pybytes() for x in texts[a:b]])
+    grams, number = ctw.distinct_grams(data)
+    kept = _predicted(firsts, len(data))
+    asked = np.zeros(len(grams), bool)
+    asked[number[kept]] = True
+    return Numbered((a, b), hashes, codes.astype(np.int32), counts, grams, number.astype(np.int32), kept, asked, firsts, np.diff(np.append(firsts, len(data))))
+
+
 def _distinct(texts: pa.Array, train: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
     """(distinct words, training counts) and (distinct grams, training counts) of a chunk."""
     words, grams = _Counts(), _Counts()
     for a, b in _text_slices(texts):
-        hashes, codes, counts = word_codes(texts[a:b], lower=True)
-        taught = np.repeat(train[a:b], counts)
-        words.add(hashes, np.bincount(codes, taught, len(hashes)))
-        data, firsts = ctw.stream([x.as_buffer().to_pybytes() for x in texts[a:b]])
-        distinct, number = ctw.distinct_grams(data)
-        kept = _predicted(firsts, len(data))
-        sizes = np.diff(np.append(firsts, len(data)))
-        taught = kept & np.repeat(train[a:b], sizes)[ctw.DEPTH :]
-        asked = np.zeros(len(distinct), bool)
-        asked[number[kept]] = True
-        grams.add(distinct[asked], np.bincount(number[taught], minlength=len(distinct))[asked])
+        part = _numbered(texts, a, b)
+        words.add(part.words, np.bincount(part.word_at, np.repeat(train[a:b], part.n_words), len(part.words)))
+        taught = part.kept & np.repeat(train[a:b], part.sizes)[ctw.DEPTH :]
+        grams.add(part.grams[part.asked], np.bincount(part.gram_at[taught], minlength=len(part.grams))[part.asked])
         # The next slice is numbered before these names are bound again.
-        del hashes, codes, data, distinct, number, kept, taught, asked
+        del part, taught
     return words.total(), grams.total()
 
 
@@ -173,9 +194,13 @@ def _answer(buckets: int, upper: list[tuple[np.ndarray, ...]]):
 def _score(n_all: int, n_distinct: int, n_ends: int, buckets: int):
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         texts = pc.fill_null(_column(docs, "text"), "")
+        # Numbered once: the keys of all slices are those the chunk has asked for, in their order.
+        parts = [_numbered(texts, i, j) for i, j in _text_slices(texts)]
         known = []
-        for is_gram, (keys, _) in enumerate(_distinct(texts, np.zeros(len(texts), bool))):
-            bucket = _bucket_of(keys, bool(is_gram), buckets)
+        for is_gram in (False, True):
+            keys = [p.grams[p.asked] if is_gram else p.words for p in parts]
+            keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]))
+            bucket = _bucket_of(keys, is_gram, buckets)
             mine = sorted(
                 (k, x) for k, x in zip(answers["bucket"].to_pylist(), answers["answers"].to_pylist(), strict=True)
                 if (k >= buckets) == is_gram
@@ -189,47 +214,47 @@ def _score(n_all: int, n_distinct: int, n_ends: int, buckets: int):
             keys, values = known[is_gram]
             return values[np.searchsorted(keys, wanted)] if len(wanted) else np.zeros(0)
 
-        n_tokens, n_known, base, scores = [], [], [], []
-        for a, b in _text_slices(texts):
-            hashes, codes, counts = word_codes(texts[a:b], lower=True)
-            seen = look_up(False, hashes)
-            text_of = np.repeat(np.arange(b - a), counts)
+        n_tokens, n_known, base, scores, n_bytes = [], [], [], [], []
+        while parts:
+            # A slice is given back before the next one is scored.
+            part = parts.pop(0)
+            counts, n = part.n_words, part.rows[1] - part.rows[0]
+            seen = look_up(False, part.words)
+            text_of = np.repeat(np.arange(n), counts)
             n_tokens.append(counts + 1)
-            n_known.append(np.bincount(text_of, (seen > 0)[codes], b - a).astype(np.int64) + (n_ends > 0))
+            n_known.append(np.bincount(text_of, (seen > 0)[part.word_at], n).astype(np.int64) + (n_ends > 0))
             base.append(
-                np.bincount(text_of, np.log10(seen + 1)[codes], b - a)
+                np.bincount(text_of, np.log10(seen + 1)[part.word_at], n)
                 + math.log10(n_ends + 1) - (counts + 1) * math.log10(n_all + n_distinct + 1)
             )
-            data, firsts = ctw.stream([x.as_buffer().to_pybytes() for x in texts[a:b]])
-            distinct, number = ctw.distinct_grams(data)
-            kept = _predicted(firsts, len(data))
-            asked = np.zeros(len(distinct), bool)
-            asked[number[kept]] = True
-            chance = np.zeros(len(distinct))
-            chance[asked] = look_up(True, distinct[asked])
-            each = np.where(kept, chance[number], 0.0)
+            chance = np.zeros(len(part.grams))
+            chance[part.asked] = look_up(True, part.grams[part.asked])
+            each = np.where(part.kept, chance[part.gram_at], 0.0)
             # The first zeros of the stream have no gram; a text's range begins at its own first byte.
-            scores.append(np.add.reduceat(each, firsts))
-            del hashes, codes, seen, text_of, data, distinct, number, kept, asked, chance, each
+            scores.append(np.add.reduceat(each, part.firsts))
+            n_bytes.append(part.sizes - ctw.DEPTH)
+        bits = -np.concatenate(scores) / math.log10(2) / np.concatenate(n_bytes)
         return pa.table(
             {
                 "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(np.concatenate(n_tokens)),
                 "n_known": pa.array(np.concatenate(n_known)), "train_tokens": pa.array([n_all] * docs.num_rows, pa.int64()),
                 "base_score": pa.array(np.concatenate(base)), "score": pa.array(np.concatenate(scores)),
+                "bits_per_byte": pa.array(bits),
             }
         )
 
     return score
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
 
 
 def language_model_scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, buckets: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, held_out) with the scores of both models, learnt where ``held_out`` is false.
 
     A null text is empty; an empty text is its end only. ``score`` is log10 of the
-    probability of the text's UTF-8 bytes and its end, given as a zero byte. Equal
+    probability of the text's UTF-8 bytes and its end, given as a zero byte, and
+    ``bits_per_byte`` the code length of these bytes, the end included. Equal
     texts have equal scores. Without training rows the unigram knows nothing and
     the trees give every bit one half.
     """
