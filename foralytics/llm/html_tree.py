@@ -14,14 +14,22 @@ ASIDE = frozenset(
     "head nav header footer aside form script style noscript template iframe object svg canvas button select "
     "textarea menu dialog audio video".split()
 )
-# Words in class, id and role that mark such elements.
+# Words that name such elements in class, id and role.
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner billboard menu nav navbar "
-    "navigation breadcrumb breadcrumbs sidebar side aside footer foot header masthead topbar cookie cookies "
+    "navigation breadcrumb breadcrumbs sidebar side aside footer foot masthead topbar cookie cookies "
     "consent gdpr notice notices notification alert newsletter subscribe subscription signup popup modal overlay comment comments "
     "commentlist reply replies respond disqus share sharing social related recommended recommendations widget login search toolbar "
     "pagination pager skip legal copyright disclaimer contentinfo complementary hidden".split()
 )
+# Words beside them that leave a name what it is; any other word makes it a name of something else.
+FRAME_WORDS = frozenset(
+    "site page main global primary secondary left right top bottom box block area wrapper wrap container section list item items "
+    "inner outer link links post posts article entry bar button buttons icon icons slot unit form content group panel".split()
+)
+# A header is an aside as that of a site; that of an article holds its headline.
+HEADERS = frozenset("header head".split())
+OF_SITE = frozenset("site page main global top".split())
 # A start of one of these closes an open one of the same line.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 TOKEN = re.compile(
@@ -43,6 +51,17 @@ class Element:
         self.parts: list = []
 
 
+def names_aside(name: str) -> bool:
+    """Whether one word of a class, an id or a role names an element that is no part of an article.
+
+    All of the name counts: ``ad-slot`` and ``siteFooter`` do, ``share-price`` does not.
+    """
+    words = [w.lower() for w in WORDS.findall(name) if not w.isdigit()]
+    if any(w in ASIDE_WORDS for w in words):
+        return all(w in ASIDE_WORDS or w in FRAME_WORDS for w in words)
+    return any(w in HEADERS for w in words) and all(w in HEADERS or w in OF_SITE for w in words)
+
+
 def _marks(attributes: str) -> tuple[str, bool]:
     """(key, whether the marks tell of an aside); words of classes and ids with digits are a page's own and no part of the key."""
     key, aside = "", False
@@ -53,15 +72,26 @@ def _marks(attributes: str) -> tuple[str, bool]:
             key += f".{words}" if words else ""
         elif m[1].lower() == "id" and not re.search(r"\d", value):
             key += f"#{value}"
-        aside = aside or any(w.lower() in ASIDE_WORDS for w in WORDS.findall(value))
+        aside = aside or any(names_aside(w) for w in value.split())
     return key, aside
 
 
+def _close_paragraph(stack: list[Element]) -> None:
+    """A block ends an open paragraph, with what is open inside a line of it."""
+    for i in range(len(stack) - 1, 0, -1):
+        if stack[i].tag == "p":
+            del stack[i:]
+            return
+        if stack[i].tag not in INLINE:
+            return
+
+
 def parse(source: str) -> Element:
     """The tree of a page's block elements; tags inside a line are left out, a line break is a space.
 
-    Elements that are never closed end where a browser would end them, or with
-    the element around them; stray end tags count for nothing.
+    Of elements inside a line only asides are kept, up to their end tag. Elements that
+    are never closed end where a browser would end them, or with the element around
+    them; stray end tags count for nothing.
     """
     root = Element("#page", "#page", False)
     stack = [root]
@@ -78,11 +108,17 @@ def parse(source: str) -> Element:
         if tag in INLINE:
             if tag == "br":
                 stack[-1].parts.append(" ")
-            elif token[2] or not token[4]:
-                continue
-            else:
+            elif token[2]:
+                # Only asides and what they hold are on the stack.
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag not in INLINE:
+                        break
+                    if stack[i].tag == tag:
+                        del stack[i:]
+                        break
+            elif tag not in VOID and (token[4] or stack[-1].tag in INLINE) and not token[4].endswith("/"):
                 key, aside = _marks(token[4])
-                if aside and tag not in VOID:
+                if aside or stack[-1].tag in INLINE:
                     stack[-1].parts.append(opened := Element(tag, tag + key, True))
                     stack.append(opened)
             continue
@@ -92,8 +128,7 @@ def parse(source: str) -> Element:
                     del stack[i:]
                     break
             continue
-        while stack[-1].tag == "p" or stack[-1].tag in INLINE:
-            stack.pop()
+        _close_paragraph(stack)
         if tag == "body":
             while len(stack) > 1 and stack[-1].tag == "head":
                 stack.pop()
@@ -103,7 +138,11 @@ def parse(source: str) -> Element:
         key, aside = _marks(token[4]) if token[4] else ("", False)
         # A page has one html and one body, whose classes often name the page.
         key = "" if tag in ("html", "body") else key
-        element = Element(tag, tag + key, tag in ASIDE or (aside and tag not in ("html", "body", "article", "main")))
+        if tag == "header" and any(e.tag == "article" for e in stack):
+            named = aside
+        else:
+            named = tag in ASIDE or (aside and tag not in ("html", "body", "article", "main"))
+        element = Element(tag, tag + key, named)
         stack[-1].parts.append(element)
         if tag not in VOID and not token[4].endswith("/"):
             stack.append(element)

@@ -17,11 +17,13 @@ A text is the host's own if it stands on nearly all of its distinct pages; these
 counted by a Spark aggregation. Own texts are dropped only where no element was entered,
 in the page, html or body: parts of it that hold nothing else, anywhere if they
 are containers, before and after the article if they are paragraphs or heads.
+
+A null, empty or tagless page is text or nothing, repeated rows are repeated, very long
+pages are one piece to the parser and count whole, and other columns of the pages are not looked at.
 """
 
 import hashlib
 import json
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -49,7 +51,6 @@ TEXT_KEY = 32
 # Different texts of a repeated element, at most; with more it is a slot.
 TEXTS = 64
 MAIN = ("article", "main")
-HAS_MAIN = re.compile(r"<(?:article|main)\b", re.I)
 # Elements that hold the whole page: to enter them singles nothing out.
 WHOLE = ("html", "body")
 BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption".split())
@@ -172,30 +173,31 @@ def varying(node: Node, own: frozenset[str]) -> int:
 def main_path(wrapper: Node, own: frozenset[str] = frozenset()) -> list[str]:
     """Keys from the page down to the element that holds the varying text.
 
-    An ``article`` or ``main`` element wins, the one with most of it; otherwise the way leads into a part
-    as long as it alone holds what varies and is no block of text itself.
+    The way leads into a part as long as it alone holds what varies and is no block of
+    text itself. Where several parts vary, an ``article`` or ``main`` element below is
+    entered if the wrapper finds more of the varying text in it than in all the rest.
     """
-    best: tuple[int, list[str]] = (0, [])
-    todo: list[tuple[Node, list[str]]] = [(wrapper, [])]
-    while todo:
-        node, path = todo.pop()
-        if node.aside:
-            continue
-        here = [*path, node.key]
-        held = varying(node, own)
-        if tag_of(node.key) in MAIN and held > best[0]:
-            best = (held, here)
-        todo.extend((p, here) for p in node.parts)
-    if best[1]:
-        return best[1][1:]
     path, node = [], wrapper
     while True:
         inner = [p for p in node.parts if varying(p, own)]
         # Varying text of the element itself, beside its parts, would be lost inside of one.
         if len(inner) != 1 or varying(node, own) > varying(inner[0], own) or inner[0].repeated or tag_of(inner[0].key) in BLOCK:
-            return path
+            break
         node = inner[0]
         path.append(node.key)
+    if any(tag_of(key) in MAIN for key in path):
+        return path
+    best: tuple[int, list[str]] = (0, [])
+    todo: list[tuple[Node, list[str]]] = [(p, path) for p in node.parts]
+    while todo:
+        part, above = todo.pop()
+        if part.aside:
+            continue
+        here, held = [*above, part.key], varying(part, own)
+        if tag_of(part.key) in MAIN and held > best[0]:
+            best = (held, here)
+        todo.extend((p, here) for p in part.parts)
+    return best[1] if 2 * best[0] > varying(node, own) else path
 
 
 def constants(wrapper: Node, path: list[str], own: frozenset[str]) -> list[str]:
@@ -268,9 +270,7 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             page = hashlib.blake2b(source.encode("utf-8", "surrogatepass"), digest_size=16).digest()
             out.append((host, page, None))
-            # An article needs no own texts: such a page counts, but its texts do not.
-            if not HAS_MAIN.search(source):
-                out.extend((host, page, x) for x in own_texts(parse(source)))
+            out.extend((host, page, x) for x in own_texts(parse(source)))
         columns = list(zip(*out, strict=True)) or [[]] * 3
         kinds = (pa.string(), pa.binary(), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["host", "page", "text"])

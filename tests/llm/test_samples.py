@@ -1,12 +1,13 @@
 """Sharding, mixing, spot signatures and page texts."""
 
 import hashlib
-import heapq
 import random
 import zlib
+from html.parser import HTMLParser
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from tables import awkward_rows, documents, empty, prose, rows, save
 
 from foralytics.llm.html_tree import parse
@@ -28,8 +29,7 @@ def test_longest_first_is_the_plain_schedule():
     sizes = [(random.randint(1, 50), str(i)) for i in range(60)]
     loads = [0] * 4
     for size, _ in sorted(sizes, key=lambda x: (-x[0], x[1])):
-        heapq.heapreplace(loads, loads[0] + size) if loads == sorted(loads) else None
-        loads.sort()
+        loads[loads.index(min(loads))] += size
     placed = longest_first(sizes, 4)
     got = [sum(s for s, i in sizes if placed[i] == k) for k in range(4)]
     assert max(got) - min(got) <= 50 and sum(got) == sum(s for s, _ in sizes)
@@ -303,3 +303,97 @@ def test_wrappers_are_aligned_in_rounds(spark):
     got = infer_wrappers(df)
     assert got._jdf.queryExecution().optimizedPlan().toString().count("FlatMapGroupsInArrow") == 3
     assert [r["rule"] for r in got.collect()] == ['{"path": ["html", "body", "div.entry"], "same": ["7 Welcome"]}']
+
+
+@pytest.mark.parametrize(
+    "inside, want",
+    [
+        ('<p>Before <span class="ad">Ad</span> after the advert.</p><p>Next.</p>', "Before after the advert.\nNext."),
+        ('<p>One <a class="share">S <span>T <b>u</b></span> v</a> two <span class="ad-slot">x<p>Three</p>', "One two\nThree"),
+        ('<p>A <span class="ad">never closed</p><p>B</p>', "A\nB"),
+        ('<div><span class="ad"><div>inside</div></span>rest</div>', "rest"),
+        ('<div class="share-price">Up by 3</div><p>x</p>', "Up by 3\nx"),
+        ('<section id="notice-of-1848"><p>Notice</p></section>', "Notice"),
+        ('<p>The <span class="legal-term">tort</span> law</p>', "The tort law"),
+        ('<header><h1>Headline</h1></header><p>x</p>', "Headline\nx"),
+        ('<div class="post-header"><h1>Headline</h1></div><div class="ad-slot-2">no</div><p>x</p><ul class="shareButtons"><li>no</ul>', "Headline\nx"),
+        ("<p>x</p><div class='cookie-notice'>no</div><section id=comments><p>no</p></section><footer>no</footer><div class='related-posts'>no</div>", "x"),
+    ],
+)
+def test_what_an_article_keeps(spark, inside, want):
+    page = f"<html><body><nav>menu</nav><article><p>Story {{0}}</p>{inside}</article><footer>end</footer></body></html>"
+    assert extracted(spark, [page.replace("{0}", str(k)) for k in range(4)]) == [f"Story {k}\n{want}" for k in range(4)]
+
+
+class Plain(HTMLParser):
+    """Blocks of text inside the elements marked ``data-main``, less what is marked ``data-off``; knows nothing of hosts."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.blocks, self.line = [], [], ""
+
+    def flush(self):
+        if text := " ".join(self.line.split()):
+            self.blocks.append(text)
+        self.line = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.flush()
+        self.open.append((tag, dict(attrs)))
+
+    def handle_endtag(self, tag):
+        self.flush()
+        while self.open.pop()[0] != tag:
+            pass
+
+    def handle_data(self, data):
+        marks = [a for _, a in self.open]
+        if any("data-main" in a for a in marks) and not any("data-off" in a for a in marks):
+            self.line += data
+
+
+def generated_host(draw, tag, pages=12):
+    """Pages of one layout: boilerplate in unmarked containers, articles of random parts."""
+
+    def prose(n):
+        return " ".join(draw.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(draw.randint(0, 99)) for _ in range(n))
+
+    chrome = [f"<div class='{c}'><p>{prose(6)}</p><ul><li>{prose(2)}</li><li>{prose(2)}</li></ul></div>" for c in ("strip", "band", "tail")]
+    for _ in range(pages):
+        parts = [f"<h1>{prose(4)}</h1>"]
+        for _ in range(draw.randint(2, 7)):
+            parts.append(draw.choice(["<p>{}</p>", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<ul><li>{}</li><li>{}</li></ul>", "<p>{}</p><div class='ad-slot' data-off>{}</div>"]).format(prose(9), prose(3)))
+        yield f"<html><body>{chrome[0]}{chrome[1]}<{tag} class='story' data-main>{''.join(parts)}</{tag}>{chrome[2]}</body></html>"
+
+
+@pytest.mark.parametrize("tag", ["article", "div", "section"])
+def test_hosts_against_marked_parts(spark, tag):
+    draw = random.Random(tag)
+    sources = list(generated_host(draw, tag))
+    want = []
+    for source in sources:
+        plain = Plain()
+        plain.feed(source)
+        plain.flush()
+        want.append("\n".join(plain.blocks))
+    assert extracted(spark, sources) == want
+
+
+def test_the_wrapper_decides_against_the_tag(spark):
+    """A constant article beside the varying story: the tag would pick the advice, the wrapper picks the story."""
+    page = "<html><body><article><h2>House rules</h2><p>Be kind to each other, always and everywhere.</p></article><div class=entry><h1>Title {0}</h1><p>Story {0}</p></div></body></html>"
+    assert extracted(spark, [page.format(k) for k in range(6)]) == [f"Title {k}\nStory {k}" for k in range(6)]
+    # And a teaser article that varies less than the story stays with it.
+    page = "<html><body><article><p>See {1}</p></article><div class=entry><h1>Title {0}</h1>" + "<p>Long story {0} goes on</p>" * 5 + "</div></body></html>"
+    got = extracted(spark, [page.format(k, 9 * k) for k in range(6)])
+    assert all(f"Title {k}" in t and t.count("Long story") == 5 for k, t in enumerate(got))
+
+
+def test_long_pages_and_clashing_columns(spark):
+    long = "<p>" + "word " * 400_000 + "end</p>"
+    rows_ = [(k, f"http://x.org/{k}", f"<html><body><nav>n</nav><article><h1>T {k}</h1>{long if k == 1 else '<p>short</p>'}</article></body></html>") for k in range(3)]
+    df = spark.createDataFrame(rows_, "page_id long, url string, html string")
+    for name in ("host", "text", "rule", "wrapper", "part"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = {r["page_id"]: r["text"] for r in main_texts(df).collect()}
+    assert got[0] == "T 0\nshort" and got[1] == "T 1\n" + "word " * 400_000 + "end"
