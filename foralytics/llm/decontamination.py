@@ -154,7 +154,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFra
 def drop_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """Rows of ``docs`` that hold none of the ``items``; all columns stay.
 
-    The leaks are written first: Spark then knows their size when it plans the join.
+    ``docs`` must have no column ``__key``. The leaks are written first: Spark then knows their size when it plans the join.
     """
     key = F.xxhash64("text")
     leaks = stage(find_leaks(docs.select(key.alias("doc_id"), "text"), items, rate).select(F.col("doc_id").alias("__key")).distinct(), "leaks")

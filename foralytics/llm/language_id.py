@@ -27,9 +27,10 @@ from foralytics.llm.common import remainder_of_id, slices, table
 HIDDEN = 8
 # Bytes read from one state; a longer text is several segments, all of which count.
 SEGMENT = 96
-# Labelled rows of each language that are learnt from, and bytes of each.
+# Labelled rows of each language that are learnt from.
 ROWS_PER_LANGUAGE = 400
-BYTES_PER_ROW = 4 * SEGMENT
+# Groups in which the hashes of a language's texts are cut down first.
+SALTS = 64
 STEPS = 220
 BATCH = 256
 RATE = 0.02
@@ -164,7 +165,7 @@ def train(rows: list[tuple[str, str]], seed: int = 1) -> Model:
 
     h, n = HIDDEN, len(languages)
     model = Model(languages, *(Direction(start(3 * h, 256), start(3 * h, h)) for _ in range(2)), start(n, 2 * h + 1))
-    data, text_of, used = segments([text.encode()[:BYTES_PER_ROW] for text, _ in rows])
+    data, text_of, used = segments([text.encode() for text, _ in rows])
     truth = np.array([languages.index(language) for _, language in rows])[text_of] if len(rows) else text_of
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.parameters()]
     # Every language weighs the same, however many segments it has.
@@ -217,13 +218,20 @@ def pooled(model: Model, texts: list[bytes]) -> np.ndarray:
 
 
 def sample(labelled: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """Up to ``rows`` different texts of each language, by the hash of the text: the documented bound of the training."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    texts = labelled.where("lang is not null and text is not null").select("lang", F.substring("text", 1, BYTES_PER_ROW).alias("text"))
-    # Texts that the training cannot tell apart take one place.
-    different = texts.groupBy("lang", F.substring(F.col("text").cast("binary"), 1, BYTES_PER_ROW)).agg(F.min("text").alias("text"))
-    chosen = different.select("lang", "text").withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
-    return [(r["text"], r["lang"]) for r in chosen.orderBy("lang", "place").collect()]
+    """Up to ``rows`` different texts of each language, by the hash of the text: the documented bound of the training.
+
+    Copies take one place. The hashes are cut down within salts of a language first, so no task
+    sees all of a language's; only the texts of the chosen ones are gathered, whole.
+    """
+    hashes = labelled.where("lang is not null and text is not null").select("lang", F.xxhash64("text").alias("hash")).distinct()
+    salt = F.pmod("hash", F.lit(SALTS))
+    few = hashes.withColumn("place", F.row_number().over(Window.partitionBy("lang", salt).orderBy("hash"))).where(F.col("place") <= rows)
+    order = Window.partitionBy("lang").orderBy("hash")
+    chosen = few.select("lang", "hash", F.row_number().over(order).alias("place")).where(F.col("place") <= rows)
+    # At most ``rows`` hashes a language are broadcast.
+    texts = labelled.select("lang", F.xxhash64("text").alias("hash"), "text").join(F.broadcast(chosen), ["lang", "hash"])
+    once = texts.groupBy("lang", "hash", "place").agg(F.min("text").alias("text"))
+    return [(r["text"], r["lang"]) for r in sorted(once.collect(), key=lambda r: (r["lang"], r["place"]))]
 
 
 def _predict(model: Model, names_of_result: tuple[str, str]):
@@ -257,7 +265,10 @@ def identify(docs: DataFrame, labelled: DataFrame, names: tuple[str, str] = ("la
 
 
 def keep_known(docs: DataFrame, labelled: DataFrame, least: float = LEAST) -> DataFrame:
-    """Rows of ``docs`` whose language is told with a probability of ``least`` or more; all columns stay."""
+    """Rows of ``docs`` whose language is told with a probability of ``least`` or more; all columns stay.
+
+    ``docs`` must have no column ``__lang`` or ``__chance``.
+    """
     told = identify(docs, labelled, ("__lang", "__chance"))
     return told.where((F.col("__lang") != UNKNOWN) & (F.col("__chance") >= least)).drop("__lang", "__chance")
 

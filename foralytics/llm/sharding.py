@@ -48,8 +48,8 @@ def shard_by_size(rows: DataFrame, group: str, size: str, shards: int, lots: int
 
     Rows with the same ``group`` are kept together; null is a group like any
     other. ``size`` is a long, null counts as 0. Repeated rows share a group and
-    get slots of their own. An empty table gives an empty one. Columns that begin
-    with two underscores are used inside.
+    get slots of their own. An empty table gives an empty one. ``rows`` must have no
+    columns ``shard``, ``slot``, ``row_cell``, ``in_cell``, ``first_slot``, nor any that begin with two underscores.
     """
     spark = rows.sparkSession
     rows = stage(rows, "shard-rows")

@@ -179,10 +179,54 @@ def test_pooling_covers_whole_texts():
 
 
 def test_copies_take_one_place_of_the_sample(spark):
-    cut = language_id.BYTES_PER_ROW
+    # Texts that begin alike are different texts.
+    cut = 400
     table = [("copied text " * 3, "en")] * 500 + [(f"text {k}", "en") for k in range(50)]
     table += [("é" * (cut - 1) + str(k), "fr") for k in range(9)] + [("x" * cut + str(k), "de") for k in range(9)] + [(None, "en"), ("a", None)]
     got = language_id.sample(spark.createDataFrame(table, "text string, lang string"), 40)
     by_lang = {k: [t for t, lang in got if lang == k] for k in ("en", "fr", "de")}
-    assert len(by_lang["en"]) == len(set(by_lang["en"])) == 40 and len(by_lang["fr"]) == len(by_lang["de"]) == 1
-    assert len(language_id.sample(spark.createDataFrame(table, "text string, lang string"))) == 53
+    assert len(by_lang["en"]) == len(set(by_lang["en"])) == 40 and len(by_lang["fr"]) == len(by_lang["de"]) == 9
+    assert len(language_id.sample(spark.createDataFrame(table, "text string, lang string"))) == 69
+    # The same rows however they are dealt out, and in the same order.
+    assert language_id.sample(spark.createDataFrame(table[::-1], "text string, lang string").repartition(7), 40) == got
+
+
+def plain_states(direction, sequence):
+    """States of one direction over one sequence, unit by unit."""
+    h = direction.state.shape[1]
+
+    def soft(x):
+        return x / (1 + abs(x))
+
+    last, out = [0.0] * h, []
+    for byte in sequence:
+        read = [direction.byte[k, byte] for k in range(3 * h)]
+        update = [0.5 + 0.5 * soft(read[k] + sum(direction.state[k, i] * last[i] for i in range(h))) for k in range(h)]
+        reset = [0.5 + 0.5 * soft(read[h + k] + sum(direction.state[h + k, i] * last[i] for i in range(h))) for k in range(h)]
+        new = [soft(read[2 * h + k] + sum(direction.state[2 * h + k, i] * reset[i] * last[i] for i in range(h))) for k in range(h)]
+        last = [(1 - u) * a + u * b for u, a, b in zip(update, last, new, strict=True)]
+        out.append(last)
+    return out
+
+
+def test_labels_equal_a_plain_network():
+    random_numbers = np.random.default_rng(6)
+    h = language_id.HIDDEN
+    ahead, back = (language_id.Direction(random_numbers.standard_normal((3 * h, 256)).astype(np.float32), random_numbers.standard_normal((3 * h, h)).astype(np.float32)) for _ in range(2))
+    model = language_id.Model(["x", "y", "z"], ahead, back, random_numbers.standard_normal((3, 2 * h + 1)).astype(np.float32))
+    data = random_numbers.integers(0, 256, (11, 4)).astype(np.uint8)
+    found = model.labels(data)
+    for column in range(4):
+        sequence = data[:, column].tolist()
+        states = [a + b for a, b in zip(plain_states(ahead, sequence), plain_states(back, sequence[::-1])[::-1], strict=True)]
+        for t, state in enumerate(states):
+            scores = [math.exp(sum(w * x for w, x in zip(row[:-1].tolist(), state, strict=True)) + float(row[-1])) for row in model.out]
+            assert found[t, :, column] == pytest.approx([x / sum(scores) for x in scores], abs=1e-4)
+
+
+def test_the_whole_of_a_sampled_text_is_learnt_from():
+    """Texts whose first bytes say nothing: what tells the languages apart comes late."""
+    start = "0123456789 " * 60
+    rows = [(start + "aaaa bbbb " * 200, "x"), (start + "yyyy zzzz " * 200, "y")] * 6
+    chance = language_id.pooled(language_id.train(rows), [b"aaaa bbbb aaaa", b"zzzz yyyy zzzz"])
+    assert chance[0].argmax() == 0 and chance[1].argmax() == 1
