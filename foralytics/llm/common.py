@@ -1,5 +1,6 @@
 """Column expressions and helpers that several operators share."""
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -49,3 +50,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system, as far as its allocators can.
+
+    Python workers live on from task to task; what one task has freed would count against
+    the executor's bound while another stage runs.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

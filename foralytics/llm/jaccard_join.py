@@ -42,7 +42,7 @@ from foralytics.scratch import discard, scratch_path, stage
 RATIO = 1.5
 BLOCK = 1024
 # Keys that a task gathers before it sends them, packed by bucket.
-SENT_KEYS = 1_500_000
+SENT_KEYS = 800_000
 KEY_BYTES = 6
 # Classes that a task remembers to have sent.
 SEEN = 200_000
