@@ -31,7 +31,69 @@ def _tagged(value: str) -> str:
     return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
 
 
+def _crc32(text: str) -> str:
+    """Of an ASCII text, bit by bit; NULL for NULL."""
+    return f"""xor(4294967295, list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)),
+                       lambda crc, byte: list_reduce(
+                           list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                           lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
+
+
+# Every word of every text, counted from 0, with the number of words of its row.
+_WORDS = """
+        WITH RECURSIVE docs AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+'), []) AS w
+            FROM documents
+        ), words AS (
+            SELECT row, doc_id, unnest(range(len(w))) AS i, unnest(w) AS word, len(w) AS n FROM docs
+        )"""
+
 ORACLE: dict[str, str] = {
+    "op2_jaccard_join": _WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + """
+        , runs AS (
+            SELECT row, i, n, word || coalesce(' ' || lead(word, 1) OVER w, '') || coalesce(' ' || lead(word, 2) OVER w, '') AS shingle
+            FROM words WINDOW w AS (PARTITION BY row ORDER BY i)
+        ), shingles AS (
+            SELECT DISTINCT row, shingle FROM runs WHERE i + 3 <= n OR (n < 3 AND i = 0)
+        ), sizes AS (
+            SELECT row, count(*) AS size FROM shingles GROUP BY row
+        ), common AS (
+            SELECT a.row AS a, b.row AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row < b.row
+            GROUP BY a.row, b.row
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.row = a JOIN sizes y ON y.row = b
+            WHERE 100 * common >= 90 * (x.size + y.size - common)
+        ), both_ways AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+        ), reached AS (
+            SELECT row AS a, row AS b FROM docs
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN both_ways l ON l.a = r.b
+        )
+        SELECT d.doc_id, coalesce(any_value(s.size), 0) AS n_shingles, min(e.doc_id) AS component_id
+        FROM docs d JOIN reached r ON r.a = d.row JOIN docs e ON e.row = r.b LEFT JOIN sizes s ON s.row = d.row
+        GROUP BY d.row, d.doc_id
+    """,
+    "op4_substrings": _WORDS.format(text="text") + """
+        , windows AS (
+            SELECT row, doc_id, i, md5(array_to_string(w[i + 1 : i + 50], ' ')) AS key
+            FROM (SELECT row, doc_id, w, unnest(range(len(w) - 49)) AS i FROM docs WHERE len(w) >= 50)
+        ), least AS (
+            SELECT key, min(doc_id) AS doc_id FROM windows GROUP BY key
+        ), covered AS (
+            SELECT w.row, w.i FROM windows w JOIN least l ON l.key = w.key WHERE l.doc_id < w.doc_id
+        ), marked AS (
+            SELECT x.row, x.i, x.word, coalesce(x.i - max(c.i) OVER (PARTITION BY x.row ORDER BY x.i) < 50, false) AS removed
+            FROM words x LEFT JOIN covered c ON c.row = x.row AND c.i = x.i
+        ), kept AS (
+            SELECT row, count(*) AS n_words, count(*) FILTER (removed) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (NOT removed) AS kept
+            FROM marked GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (row)
+    """,
     "op8_mixing": f"""
         WITH sized AS (
             SELECT doc_id, source,
@@ -73,11 +135,7 @@ ORACLE: dict[str, str] = {
     "op11_merkle_manifest": f"""
         WITH RECURSIVE heads AS (
             SELECT doc_id, text, coalesce('=' || source, '') AS tree, {' || '.join(_tagged(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} AS head,
-                   doc_id IS NULL OR xor(4294967295, list_reduce(
-                       list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
-                       lambda crc, byte: list_reduce(
-                           list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
-                           lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END))) % 2 = 0 AS cut
+                   doc_id IS NULL OR {_crc32('doc_id::VARCHAR')} % 2 = 0 AS cut
             FROM documents
         ), leaves AS (
             SELECT doc_id, tree, sha256(head || {_tagged('text')}) AS leaf,
@@ -128,4 +186,43 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
     """,
+    "op13_periodic_runs": f"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce({_crc32('doc_id::VARCHAR')}, 0) AS h,
+                   coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w
+            FROM documents
+        ), marked AS (
+            SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM docs
+        ), edited AS (
+            SELECT row, doc_id, CASE WHEN h % 10 = 0 AND n > 0
+                THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END + 1])
+                ELSE w END AS w
+            FROM marked
+        ), words AS (
+            SELECT row, unnest(range(len(w))) AS i, unnest(w) AS word, len(w) AS n FROM edited
+        ), same AS (
+            SELECT x.row, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.row = y.row AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+        ), islands AS (
+            SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM same
+        ), stretches AS (
+            SELECT row, min(i) AS start, count(*) + q AS length, q AS period FROM islands
+            GROUP BY row, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+        ), runs AS (
+            SELECT * FROM stretches s WHERE NOT EXISTS (
+                SELECT 1 FROM stretches r WHERE r.row = s.row AND r.period < s.period
+                AND r.start <= s.start AND r.start + r.length >= s.start + s.length)
+        ), told AS (
+            SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+                   first({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period) AS best
+            FROM runs GROUP BY row
+        ), kept AS (
+            SELECT row, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words w WHERE NOT EXISTS (
+                SELECT 1 FROM runs r WHERE r.row = w.row AND w.i >= r.start + r.period AND w.i < r.start + r.length)
+            GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+               1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+               sha256(coalesce(collapsed, '')) AS collapsed_sha256
+        FROM edited LEFT JOIN told USING (row) LEFT JOIN kept USING (row)
+    """,
 }

@@ -2,13 +2,11 @@ import hashlib
 import random
 import zlib
 
-import duckdb
 import numpy as np
 import pytest
 import tables
 
 from foralytics.llm.merkle_manifest import BLOCK, IDS, Ranks, _bitmap, in_order, levels_of, op11_merkle_manifest, pack, unpack
-from foralytics.llm.queries import ORACLE
 
 
 def sha(*parts):
@@ -119,17 +117,3 @@ def test_order_of_groups(spark):
     found = {r["tree"]: r["place"] for r in in_order(df, "tree").collect()}
     assert [n for n, _ in sorted(found.items(), key=lambda x: x[1])] == sorted(names, key=str.encode)
     assert sorted(found.values()) == list(range(len(names)))
-
-
-@pytest.mark.parametrize("seed", [0, 1])
-def test_sql_gives_the_same(spark, tmp_path, seed):
-    random.seed(seed)
-    docs = tables.awkward_rows() + [(None, f"t{k % 3}\n", "en", "a") for k in range(7 * seed)]
-    docs += [(100 + i, f"text {i % 7}\nmore", random.choice(["en", None]), random.choice(["a", "é", "Z", None])) for i in range(90 * seed)]
-    folder = tables.save(tables.documents(spark, docs, extra=True), tmp_path)
-    con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
-    found = con.sql(ORACLE["op11_merkle_manifest"])
-    ours = op11_merkle_manifest(spark, folder)
-    assert ours.columns == found.columns
-    assert tables.rows(ours) == sorted(found.fetchall(), key=repr)
