@@ -25,7 +25,9 @@ ASIDE_WORDS = frozenset(
 # Words beside them that leave a name what it is; any other word makes it a name of something else.
 FRAME_WORDS = frozenset(
     "site page main global primary secondary left right top bottom box block area wrapper wrap container section list item items "
-    "inner outer link links post posts article entry bar button buttons icon icons slot unit form content group panel".split()
+    "inner outer link links post posts article entry bar button buttons icon icons slot unit form content group panel user users "
+    "reader readers text title titles body author message media network networks inline sticky mobile desktop row col column grid "
+    "strip zone space holder placeholder heading label".split()
 )
 # A header is an aside as that of a site; that of an article holds its headline.
 HEADERS = frozenset("header head".split())

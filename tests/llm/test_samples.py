@@ -317,6 +317,7 @@ def test_wrappers_are_aligned_in_rounds(spark):
         ('<p>The <span class="legal-term">tort</span> law</p>', "The tort law"),
         ('<header><h1>Headline</h1></header><p>x</p>', "Headline\nx"),
         ('<div class="post-header"><h1>Headline</h1></div><div class="ad-slot-2">no</div><p>x</p><ul class="shareButtons"><li>no</ul>', "Headline\nx"),
+        ("<p>x</p><div class='user-comment'><p>first!</p></div><div class='ad_text'>buy</div><p class='price-alert-level'>Red</p>", "x\nRed"),
         ("<p>x</p><div class='cookie-notice'>no</div><section id=comments><p>no</p></section><footer>no</footer><div class='related-posts'>no</div>", "x"),
     ],
 )
