@@ -106,6 +106,7 @@ ORACLE: dict[str, str] = {
     "answer_counts_ordered": COUNTS + " ORDER BY n DESC, id",
     "answer_counts_topk": TOP,
     "answer_counts_topk_buckets": TOP,
+    "answer_counts_mapper": COUNTS,
     "answer_count_lines": FORUM + " SELECT id || chr(9) || n AS value FROM counts",
     "answer_audit": FORUM + """, declared AS (
           SELECT l_orderkey AS id, count(*) AS n FROM lineitem GROUP BY l_orderkey

@@ -1,17 +1,19 @@
 """The queries of the driver contract, over the star-schema tables."""
 
+import csv as plain_csv
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foralytics.operators.mapping import map_reduce
 from foralytics.operators.ranking import last_per_group
 from foralytics.operators.selection import lower_half
 from foralytics.functions.tags import tag_list
 from foralytics.plans import owners, posts, rankings, tags, trends, users, words
 from foralytics.scratch import scratch_path
-from foralytics.schemas import POSTS, PREGUNTAS, RESPUESTAS
+from foralytics.schemas import ANSWER, POSTS, PREGUNTAS, RESPUESTAS
 from foralytics.sinks import files
 from foralytics.sources import csv, parquet, star_schema, text
 
@@ -116,6 +118,23 @@ def answer_count_lines(spark: SparkSession, sf: str) -> DataFrame:
     return files.key_value_lines(counts, F.col("QuestionId"), F.col("AnswerCount"))
 
 
+def answer_counts_mapper(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers per question out of a CSV dump, line by line, by a mapper in plain Python."""
+    path = scratch_path(spark, "mapper")
+    csv.write_csv_table(csv.in_layout(star_schema.posts(spark, sf), POSTS), path)
+    kind, parent = POSTS.names.index("PostTypeId"), POSTS.names.index("ParentId")
+
+    def answered(line: str):
+        row = next(plain_csv.reader([line]))
+        if row[0].strip().lower() != "id" and int(row[kind]) == ANSWER:
+            yield int(row[parent]), 1
+
+    return map_reduce(
+        text.read_lines(spark, path), answered, "QuestionId long, n long", ["QuestionId"],
+        F.sum("n").alias("AnswerCount"), skip=(ValueError, IndexError, plain_csv.Error),
+    )
+
+
 def answers_score(spark: SparkSession, sf: str) -> DataFrame:
     return _respuestas(spark, sf)
 
@@ -442,6 +461,7 @@ QUERIES: dict[str, Query] = {
         answer_counts_topk,
         answer_counts_topk_buckets,
         answer_count_lines,
+        answer_counts_mapper,
         answer_audit,
         word_count,
         word_count_udf,

@@ -7,7 +7,8 @@ each range begins; in the second, every task cuts its ranges at the line ends th
 quotes. What a range holds of a record that began or ends elsewhere are pieces, at
 most two a range; only these are shuffled and joined up. No task reads a file as a whole.
 
-Quotes inside a field are doubled, and a field with a quote is quoted; with other uses
+Lines end in a newline, with or without a carriage return before it, which inside quotes
+is kept. Quotes inside a field are doubled, and a field with a quote is quoted; with other uses
 of quotes their parity says nothing. A quote that is never closed reaches to the end of its file.
 """
 

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from foralytics.operators.mapping import map_reduce, map_rows
 from foralytics.operators.quantiles import summary
 from foralytics.operators.selection import lower_half, row_at
 from helpers import plan, unordered
@@ -114,3 +115,24 @@ def test_half_scans_the_table_twice(spark, tmp_path):
     half = lower_half(counted, ["k"], 64)
     assert reads.value == 2
     assert half.count() == 30_000
+
+
+def test_a_mapper_yields_none_or_many_rows(spark):
+    def digits(key, text):
+        for part in text.split():
+            yield key, int(part)
+
+    df = spark.createDataFrame([(1, "1 2 3"), (2, ""), (3, "4 x 5"), (4, None), (1, "7")], "k int, t string")
+    with pytest.raises(Exception, match="AttributeError"):
+        map_rows(df, digits, "k int, n long", skip=(ValueError,)).collect()
+    made = map_rows(df, digits, "k int, n long", skip=(ValueError, AttributeError))
+    assert unordered(made) == [(1, 1), (1, 2), (1, 3), (1, 7), (3, 4)]
+    sums = map_reduce(df, digits, "k int, n long", ["k"], F.sum("n").alias("n"), F.count("n").alias("c"), skip=(ValueError, AttributeError))
+    assert unordered(sums) == [(1, 13, 4), (3, 4, 1)]
+    assert map_rows(df.limit(0), digits, "k int, n long").count() == 0
+    # Steps are chained, and a row may make more than a batch holds.
+    many = map_rows(sums, lambda k, n, c: ((k, i) for i in range(30_000)), "k int, i long").groupBy("k").count()
+    assert unordered(many) == [(1, 30_000), (3, 30_000)]
+    # The sums are partial before the shuffle.
+    text = plan(sums)
+    assert text.index("partial_sum") > text.index("Exchange hashpartitioning(k")

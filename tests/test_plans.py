@@ -12,8 +12,8 @@ from helpers import final_plan, plan
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON = "ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsIn"
-# A mapper written by the user, and records cut along a byte range, whose state no expression carries from line to line.
-WITH_PYTHON = {"word_count_udf", "posts_csv_bodies", "answer_counts_bodies", "documents_csv"}
+# Mappers written by the user, and records cut along a byte range, whose state no expression carries from line to line.
+WITH_PYTHON = {"word_count_udf", "answer_counts_mapper", "posts_csv_bodies", "answer_counts_bodies", "documents_csv"}
 # Global counts end in one row; everything else stays partitioned.
 ONE_PARTITION = {"table_counts", "file_report"}
 
