@@ -1,7 +1,8 @@
 """Quality classifier: a support vector machine over n-grams scaled by naive Bayes ratios.
 
 A text is the set of its byte n-grams, pairs as they are and triples hashed into
-``TRIPLES`` places. Every n-gram is scaled by its log-count ratio, the logarithm of its
+``TRIPLES`` places, and of the n-grams of its repeats: for ``SPAN`` words in a row, which of them
+are the word before them again. Every n-gram is scaled by its log-count ratio, the logarithm of its
 share in the documents of label 1 over its share in those of label 0, and the text's
 vector is brought to length 1. A linear hinge-loss model is fitted to these vectors
 by dual coordinate descent: one multiplier a document, changed in turn to its best
@@ -20,6 +21,7 @@ least text. With labels of one kind or none, all scores are the share of the lab
 Equal texts get equal scores; an empty table gives an empty one.
 """
 
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +35,10 @@ from foralytics.llm.common import remainder_of_id, slices, table
 
 PAIRS = 1 << 16
 TRIPLES = 1 << 17
-FEATURES = PAIRS + TRIPLES
+# Words in a row of which it counts whether each repeats the one before.
+SPAN = 4
+REPEATS = 1 << SPAN
+FEATURES = PAIRS + TRIPLES + REPEATS
 # Labelled documents of each label that are learnt from: the documented bound of the fit.
 ROWS = 2000
 SMOOTHING = 1.0
@@ -58,7 +63,17 @@ def ngrams(text: bytes, place: np.ndarray) -> np.ndarray:
     at = np.arange(len(found), dtype=place.dtype)
     # The last of equal n-grams stays in its place, so each is found once.
     place[found] = at
-    return found[place[found] == at]
+    return np.concatenate([found[place[found] == at], repeats(text)])
+
+
+def repeats(text: bytes) -> np.ndarray:
+    """The distinct n-grams of repeated words."""
+    words = text.split()
+    if len(words) <= SPAN:
+        return np.zeros(0, np.int64)
+    again = np.fromiter(map(operator.eq, words[1:], words), np.int64, len(words) - 1)
+    codes = sum(again[k : len(again) - SPAN + 1 + k] << k for k in range(SPAN))
+    return np.flatnonzero(np.bincount(codes, minlength=REPEATS)) + PAIRS + TRIPLES
 
 
 @dataclass

@@ -8,16 +8,19 @@ import tables
 from pyspark.sql import functions as F
 
 from foralytics.llm.quality_classifier import (
-    FEATURES, GOOD, PAIRS, SMOOTHING, dual_descent, fit, keep_good, learn, log_count_ratios, logistic_curve, ngrams, op12_quality, with_quality,
+    FEATURES, GOOD, PAIRS, SMOOTHING, TRIPLES, dual_descent, fit, keep_good, learn, log_count_ratios, logistic_curve, ngrams, op12_quality, with_quality,
 )
 
 
 def plain_ngrams(text):
-    """Pairs by their value, triples by the multiplicative hash of theirs."""
+    """Pairs by their value, triples by the multiplicative hash of theirs, and which of four words are the one before."""
     data = text.encode()
     pairs = {a | b << 8 for a, b in zip(data, data[1:])}
     triples = {PAIRS + (((a | b << 8 | c << 16) * 0x9E3779B1 % 2**32) >> 15) for a, b, c in zip(data, data[1:], data[2:])}
-    return pairs | triples
+    words = data.split()
+    again = [a == b for a, b in zip(words, words[1:])]
+    spans = {PAIRS + TRIPLES + sum(again[i + k] << k for k in range(4)) for i in range(len(again) - 3)}
+    return pairs | triples | spans
 
 
 def corpus(n=400, seed=1):
@@ -42,7 +45,7 @@ def held_out(doc_id):
 def test_ngrams_against_plain_sets():
     place = np.zeros(FEATURES, np.int64)
     random.seed(5)
-    for text in ["", "a", "ab", "aaaa", "漢字 かな 🙂🙂", "x" * 5000] + ["".join(random.choice("ab \n$é") for _ in range(random.randint(0, 400))) for _ in range(50)]:
+    for text in ["", "a", "ab", "aaaa", "漢字 かな 🙂🙂", "x" * 5000, "b b b b", "b b b b b", "a b b c c c d d d d d e"] + ["".join(random.choice("ab \n$é") for _ in range(random.randint(0, 400))) for _ in range(50)]:
         found = ngrams(text.encode(), place)
         assert len(found) == len(set(found.tolist())) and set(found.tolist()) == plain_ngrams(text)
 
@@ -117,6 +120,19 @@ def test_held_out_documents_of_the_test_table(spark):
     assert sum(r["predicted"] == r["quality"] for r in got) > 0.9 * len(got)
 
 
+def test_repeated_words_are_told_from_prose(spark):
+    random.seed(11)
+    rows, labels = [], []
+    for i in range(300):
+        words = ["".join(random.choice("abcdefgh") for _ in range(random.randint(2, 6))) for _ in range(60)]
+        good = i % 3 > 0
+        rows.append((i, " ".join(words if good else [w for w in words[:10] for _ in range(6)]), "en", "a"))
+        labels.append((i, int(good), 0))
+    model = learn(tables.documents(spark, rows[:200]), spark.createDataFrame(labels, LABELS).withColumnRenamed("quality", "label"))
+    got = with_quality(tables.documents(spark, rows[200:]), model).collect()
+    assert sum((r["score"] >= GOOD) == (r["doc_id"] % 3 > 0) for r in got) == len(got)
+
+
 def test_awkward_rows(spark):
     rows, labels = corpus(120)
     model = learn(tables.documents(spark, rows), spark.createDataFrame(labels, LABELS).withColumnRenamed("quality", "label"))
