@@ -2,6 +2,7 @@
 
 import ctypes
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 # The white space between words: the six ASCII characters and no others.
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+# Bytes of an Arrow batch that goes to a Python worker, a little less than the slices of most operators.
+BATCH_BYTES = 7 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +40,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> Iterator[None]:
+    """Actions inside send rows to Python workers in batches of about ``limit`` bytes; a longer row stays whole.
+
+    Left alone, Spark sends 10,000 rows at once, which for whole texts is tens of megabytes, several times
+    over in the executor's buffers and in the worker. A limit that the session has already is kept.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``limit`` bytes in each; a longer row stays whole."""
     for batch in batches:

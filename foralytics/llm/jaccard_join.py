@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foralytics.llm.common import row_key, shuffle_partitions, slices, table
+from foralytics.llm.common import row_key, shuffle_partitions, slices, small_batches, table
 from foralytics.llm.components import components
 from foralytics.llm.signature_tree import bitmaps, plausible_pairs, spanning
 from foralytics.llm.words import from_planes, mixed, planes, run_hashes, word_hashes
@@ -325,7 +325,8 @@ def _sets_of(classes: DataFrame, reps: DataFrame, docs: DataFrame, n: int, path:
     wanted = classes.join(reps.select("cls", "rep"), "cls").select("cls", row.alias("row"))
     keyed = docs.select(row_key(F.col("doc_id"), F.col("text_key")).alias("row"), "text")
     texts = keyed.join(wanted, "row").dropDuplicates(["row"])
-    return stage(texts.select("cls", "text").mapInArrow(_full_sets(n), "cls long, tokens binary"), "", path)
+    with small_batches(docs.sparkSession):
+        return stage(texts.select("cls", "text").mapInArrow(_full_sets(n), "cls long, tokens binary"), "", path)
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -355,20 +356,22 @@ def jaccard_components(
     buckets = buckets or 4 * shuffle_partitions(spark)
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     at = {name: scratch_path(spark, name) for name in ("lists", "listed", "tried", "links", "sets", "open", "more", "missing", "more-links", "more-sets")}
-    described = stage(
-        docs.mapInArrow(_describe(n), "doc_id long, text_key long, n_shingles long, cls long, bits binary"), "described"
-    )
+    with small_batches(spark):
+        described = stage(
+            docs.mapInArrow(_describe(n), "doc_id long, text_key long, n_shingles long, cls long, bits binary"), "described"
+        )
     reps = described.where("n_shingles > 0").groupBy("cls").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")).alias("rep"),
         F.first("n_shingles").alias("n"), F.first("bits").alias("bits"),
     )
     reps = stage(reps, "classes")
     owner = F.coalesce("doc_id", "text_key").alias("owner")
-    lists = stage(
-        docs.select(owner, "text").mapInArrow(_send_keys(n, num, den, buckets), "bucket int, keys binary, owners binary")
-        .groupBy("bucket").applyInArrow(_list_owners, LISTS).dropDuplicates(["list", "part"]),
-        "", at["lists"],
-    )
+    with small_batches(spark):
+        lists = stage(
+            docs.select(owner, "text").mapInArrow(_send_keys(n, num, den, buckets), "bucket int, keys binary, owners binary")
+            .groupBy("bucket").applyInArrow(_list_owners, LISTS).dropDuplicates(["list", "part"]),
+            "", at["lists"],
+        )
     members = lists.select("list", F.explode("members").alias("owner"))
     classes = described.where("n_shingles > 0").select(owner, "cls")
     listed = members.join(classes, "owner").select("list", "cls").distinct()

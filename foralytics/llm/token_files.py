@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foralytics.llm.common import shuffle_partitions, slices, table
+from foralytics.llm.common import shuffle_partitions, slices, small_batches, table
 from foralytics.llm.tokenizing import word_encoder
 from foralytics.scratch import scratch_path
 
@@ -38,6 +38,8 @@ MAGIC = b"PFOR"
 # Bytes of text that one segment holds, about; a longer document is one segment.
 SEGMENT_BYTES = 4 << 20
 END_ID = 1
+# Blocks that are packed, or unpacked, at once.
+STEP = 512
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
@@ -69,6 +71,14 @@ def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
+def _by_width(width: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(width, numbers of up to ``STEP`` blocks of that width), so that what packing takes is bounded."""
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero(width == w)
+        for a in range(0, len(rows), STEP):
+            yield w, rows[a : a + STEP]
+
+
 def encode_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     """One payload; ``ids`` are uint32, ``lengths`` the ids of each document."""
     n_blocks = -(-len(ids) // BLOCK)
@@ -77,9 +87,13 @@ def encode_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     blocks = padded.reshape(n_blocks, BLOCK)
     low = blocks.min(axis=1, initial=np.uint32(0xFFFFFFFF)) if n_blocks else np.zeros(0, np.uint32)
     rest = blocks - low[:, None]
-    bits = _bit_lengths(rest)
-    # How many values need more than w bits, for each w; then the bytes of a block at that width.
-    each = np.bincount((np.arange(n_blocks)[:, None] * 33 + bits).ravel(), minlength=33 * n_blocks).reshape(n_blocks, 33)
+    bits, each = np.empty(rest.shape, np.uint8), np.empty((n_blocks, 33), np.int64)
+    # How many values need w bits, for each w; then more than w, and the bytes of a block at that width.
+    for a in range(0, n_blocks, STEP):
+        some = _bit_lengths(rest[a : a + STEP])
+        n = len(some)
+        bits[a : a + n] = some
+        each[a : a + n] = np.bincount((np.arange(n)[:, None] * 33 + some).ravel(), minlength=33 * n).reshape(n, 33)
     above = BLOCK - np.cumsum(each, axis=1)
     cost = BLOCK // 8 * np.arange(33) + 5 * above
     cost[above > (1 - PERCENTILE) * BLOCK] = 1 << 30
@@ -91,11 +105,10 @@ def encode_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     body[first[:, None] + np.arange(4)] = low.astype("<u4").view(np.uint8).reshape(-1, 4)
     body[first + 4] = width
     body[first + 5] = n_out
-    for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
+    for w, rows in _by_width(width):
         if w:
-            kept = rest[rows] & np.uint32((1 << int(w)) - 1)
-            body[(first[rows] + 6)[:, None] + np.arange(BLOCK // 8 * w)] = _pack(kept, int(w))
+            kept = rest[rows] & np.uint32((1 << w) - 1)
+            body[(first[rows] + 6)[:, None] + np.arange(BLOCK // 8 * w)] = _pack(kept, w)
         row, place = np.nonzero(bits[rows] > w)
         at = first[rows] + 6 + BLOCK // 8 * w
         order = np.arange(len(row)) - np.searchsorted(row, row)
@@ -118,11 +131,10 @@ def decode_segment(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     low = np.ascontiguousarray(body[first[:, None] + np.arange(4)]).view("<u4").reshape(-1)
     width, n_out = body[first + 4].astype(np.int64), body[first + 5].astype(np.int64)
     ids = np.zeros((n_blocks, BLOCK), np.uint32)
-    for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
+    for w, rows in _by_width(width):
         values = np.zeros((len(rows), BLOCK), np.uint32)
         if w:
-            values = _unpack(body[(first[rows] + 6)[:, None] + np.arange(BLOCK // 8 * w)], int(w))
+            values = _unpack(body[(first[rows] + 6)[:, None] + np.arange(BLOCK // 8 * w)], w)
         at = first[rows] + 6 + BLOCK // 8 * w
         row = np.repeat(np.arange(len(rows)), n_out[rows])
         order = np.arange(len(row)) - np.searchsorted(row, row)
@@ -158,7 +170,7 @@ def write_token_files(
             if end_id is not None:
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 lengths = lengths + 1
-            payload = encode_segment(ids.astype(np.uint32), lengths)
+            payload = encode_segment(ids.astype(np.uint32, copy=False), lengths)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()), pa.array([count], pa.int64()), pa.array([start], pa.int64()),
@@ -170,14 +182,14 @@ def write_token_files(
             start, count = start + len(ids), count + 1
 
     n = partitions or shuffle_partitions(docs.sparkSession)
-    (
+    rows = (
         docs.select("doc_id", "text")
         .repartitionByRange(n, "doc_id")
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
         .mapInArrow(segments, SEGMENTS)
-        .write.option("compression", "none")
-        .parquet(path)
     )
+    with small_batches(docs.sparkSession):
+        rows.write.option("compression", "none").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -18,6 +18,8 @@ KEPT_UNITS = 700_000
 HASHED = 64
 # Pieces that are encoded in one call, joined by spaces.
 JOINED = 512
+# Pieces of texts whose ids are looked up at once.
+GATHERED = 1 << 16
 # Letters and marks whose case, normal form and class no Unicode version changes.
 PLAIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 MARKS = r"!-&(-/:-;=-@\[-`{-~"
@@ -69,6 +71,8 @@ def _build(path: str) -> Encoder:
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
         coded = split.flatten().dictionary_encode()
         units, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        # The pieces of the texts are not needed beside their ids.
+        del split, coded
         hashes = known.hashed(units)
         rows = known.find(units, hashes)
         fresh = np.flatnonzero(rows < 0)
@@ -82,14 +86,17 @@ def _build(path: str) -> Encoder:
                     at = known.add(new.take(pa.array(chosen)), hashes[fresh[chosen]], *by([texts_of[i] for i in chosen.tolist()]))
                     rows[fresh[chosen]] = at
         known.used(rows)
-        flat, edges = known.flat, known.edges
-        of_code = rows[codes] if len(units) else np.zeros(0, np.int64)
-        each = np.diff(edges)[of_code]
-        done = np.cumsum(each)
-        total = int(done[-1]) if len(done) else 0
-        places = np.arange(total) + np.repeat(edges[of_code] - (done - each), each)
-        ends = np.concatenate([[0], done])[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
-        found = flat[places]
+        starts = known.edges[rows]
+        each = (known.edges[rows + 1] - starts)[codes]
+        done = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(each, out=done[1:])
+        ends = done[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
+        found = np.empty(int(done[-1]), np.uint32)
+        for a in range(0, len(codes), GATHERED):
+            b = min(a + GATHERED, len(codes))
+            places = np.repeat(starts[codes[a:b]] - (done[a:b] - done[a]), each[a:b])
+            places += np.arange(len(places))
+            found[done[a] : done[b]] = known.flat[places]
         known.forget()
         return found, np.diff(np.concatenate([[0], ends])).astype(np.int64)
 

@@ -1,6 +1,7 @@
 """Token files: exact round trips."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -11,8 +12,9 @@ from hypothesis import strategies as st
 from tables import documents, empty, save
 
 from foralytics.llm import tokenizing
+from foralytics.llm.common import BATCH_BYTES, small_batches
 from foralytics.llm.queries import QUERIES
-from foralytics.llm.token_files import decode_segment, encode_segment
+from foralytics.llm.token_files import SEGMENTS, decode_segment, encode_segment, write_token_files
 from foralytics.llm.tokenizing import word_encoder
 
 ids_of_docs = st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=400), max_size=6)
@@ -102,3 +104,46 @@ def test_hashes_depend_on_all_bytes():
     whole = tokenizing.Pieces.hashed(pa.array(units)).tolist()
     assert len(set(whole)) == len(set(units))
     assert tokenizing.Pieces.hashed(pa.array(["other", *units]).slice(1)).tolist() == whole
+
+
+def test_packing_takes_little_memory():
+    ids = np.random.default_rng(1).integers(0, 49_000, 1_000_000).astype(np.uint32)
+    lengths = np.full(1000, 1000, np.int64)
+    tracemalloc.start()
+    payload = encode_segment(ids, lengths)
+    packing = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    got, got_lengths = decode_segment(payload)
+    unpacking = tracemalloc.get_traced_memory()[1] - len(payload)
+    tracemalloc.stop()
+    assert (got == ids).all() and (got_lengths == lengths).all()
+    # The ids are 4 MB.
+    assert packing < 30e6 and unpacking < 16e6
+
+
+def test_workers_get_small_batches(spark, tmp_path):
+    """The encoder gives, as the id of each text, the KB that the buffers of its batch hold."""
+
+    def encoder():
+        return lambda texts: (np.full(len(texts), sum(b.size for b in texts.buffers() if b) >> 10), np.ones(len(texts), np.int64))
+
+    docs = spark.range(0, 6000, 1, 1).selectExpr("id doc_id", "repeat(cast(id % 10 as string), 3000) text")
+    write_token_files(docs, f"{tmp_path}/out", encoder, None, 1)
+    segments = spark.read.schema(SEGMENTS).parquet(f"{tmp_path}/out").orderBy("segment").collect()
+    assert [i for s in segments for i in s["doc_ids"]] == list(range(6000))
+    assert max(decode_segment(s["payload"])[0].max() for s in segments) << 10 < 2 * BATCH_BYTES
+
+
+def test_a_limit_of_the_session_is_kept(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    with pytest.raises(ValueError), small_batches(spark, 1000):
+        assert spark.conf.get(key) == "1000"
+        raise ValueError
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "2000")
+    try:
+        with small_batches(spark, 1000):
+            assert spark.conf.get(key) == "2000"
+        assert spark.conf.get(key) == "2000"
+    finally:
+        spark.conf.unset(key)
